@@ -10,25 +10,39 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def one_row(spark: SparkSession) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select()
 
 
 def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day from ``start`` up to, not including, ``end``."""
-    days = F.sequence(F.lit(start), F.date_sub(F.lit(end), 1))
-    one = spark.range(1)
     if end <= start:
-        return one.select(F.lit(start).alias("date_key")).where(F.lit(False))
-    return one.select(F.explode(days).alias("date_key"))
+        return one_row(spark).select(F.lit(start).alias("date_key")).where(F.lit(False))
+    days = F.sequence(F.lit(start), F.date_sub(F.lit(end), 1))
+    return one_row(spark).select(F.explode(days).alias("date_key"))
+
 
+def literal_table(spark: SparkSession, schema: str | T.StructType, rows: list[tuple]) -> DataFrame:
+    """A table written out in the code.
 
-def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
-    """A table written out in the code, as a local relation Catalyst knows the size of."""
-    return spark.createDataFrame(rows, schema)
+    Generated from literals rather than parallelised from Python, so Catalyst knows how small it is
+    and may broadcast it.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema, strict=True)])
+        for row in rows
+    ]
+    return one_row(spark).select(F.inline(F.array(*structs)))
 
 
 def product(spark: SparkSession, **members: list[str]) -> DataFrame:
     """Every combination of the given lists."""
-    rows = spark.range(1).select()
+    rows = one_row(spark)
     for name, values in members.items():
         rows = rows.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
     return rows

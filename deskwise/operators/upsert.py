@@ -32,9 +32,10 @@ def merge_rows(
 ) -> DataFrame:
     """``target`` with the batch's rows inserted, or replacing the rows that share their key.
 
-    With ``version``, only the newest of a key's rows survives, whichever side it is on; an equal
-    version is replaced, so re-reading a batch changes nothing. Without it the batch always wins
-    and must already hold one row per key. Columns missing on one side are filled with nulls.
+    With ``version``, a key's newest row survives, whichever side it is on; an equal version is
+    replaced, so re-reading a batch changes nothing. A null version cannot be compared: the batch
+    wins. Without ``version`` the batch always wins and must already hold one row per key. Columns
+    missing on one side are filled with nulls.
     """
     if version is not None:
         batch = newest_per_key(batch, keys, [version.desc_nulls_last(), *(tiebreak or [])])
@@ -58,7 +59,7 @@ def _not_superseded(
     incoming = batch.select(*keys, version.alias(STAMP)).alias("b")
     stored = target.select(*keys, version.alias(STAMP)).alias("t")
     same_key = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys]
-    newer = F.col(f"t.{STAMP}") > F.coalesce(F.col(f"b.{STAMP}"), F.lit("0001-01-01").cast("timestamp_ntz"))
+    newer = F.col(f"t.{STAMP}") > F.col(f"b.{STAMP}")
     superseded = stored.join(incoming, [*same_key, newer], "left_semi").select(*keys)
     return batch.join(superseded, keys, "left_anti")
 

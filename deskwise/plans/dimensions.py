@@ -42,7 +42,9 @@ def dim_location(spark: SparkSession) -> DataFrame:
 
 def dim_category(seed: DataFrame) -> DataFrame:
     """Seed-driven, so a category keeps its row while nobody files under it."""
-    catch_all = seed.sparkSession.createDataFrame([(UNMAPPED, UNMAPPED, UNMAPPED, False)], seed.schema)
+    catch_all = literal_table(
+        seed.sparkSession, seed.schema, [(UNMAPPED, UNMAPPED, UNMAPPED, False)]
+    )
     members = seed.unionByName(catch_all)
     return members.select(surrogate_key("complaint_type").alias("complaint_category_key"), "*")
 
@@ -85,6 +87,8 @@ def dim_agency(staged: DataFrame) -> DataFrame:
         F.coalesce("agency_name", "agency_code").alias("agency_name"),
         F.lit(True).alias("is_known_agency"),
     )
-    unknown = staged.sparkSession.createDataFrame([(UNKNOWN_CODE, "Unknown", False)], latest.schema)
+    unknown = literal_table(
+        staged.sparkSession, latest.schema, [(UNKNOWN_CODE, "Unknown", False)]
+    )
     members = latest.unionByName(unknown)
     return members.select(surrogate_key("agency_code").alias("agency_key"), "*")

@@ -203,9 +203,7 @@ def fct_daily(
     counted = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counters})
     return counted.select(
         *DAILY_KEYS,
-        surrogate_key(F.date_format("service_date", "yyyy-MM-dd"), *DAILY_KEYS[1:]).alias(
-            "daily_service_level_key"
-        ),
+        surrogate_key(*DAILY_KEYS).alias("daily_service_level_key"),
         surrogate_key("borough_name").alias("location_key"),
         F.coalesce("__band", unknown_band_key()).alias("weather_band_key"),
         "requests_created",

@@ -1,0 +1,209 @@
+"""The nightly jobs: land, transform, check, report.
+
+Each layer's builders are plain functions; staging and intermediate models stay lazy, so a mart is
+one Catalyst plan from the raw table. Marts are stored, and later marts read the stored ones.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from deskwise.operators import history
+from deskwise.operators.upsert import lookback_start
+from deskwise.plans import checks, dimensions, facts, intermediate, reports, staging
+from deskwise.settings import RunPlan, Settings, instant
+from deskwise.sources import landing, ledger, schemas
+from deskwise.sources.tables import (
+    MONTH,
+    Folder,
+    Layout,
+    Warehouse,
+    append_rows,
+    overwrite_table,
+    read_table,
+    upsert_table,
+    write_extract,
+)
+
+RAW, MARTS, REPORTS = "raw", "marts", "reports"
+
+REQUESTS_LAYOUT = Layout(["unique_key"], "created_date", ["borough", "complaint_type"])
+WEATHER_LAYOUT = Layout(["observed_on"], "observed_on")
+FACT_LAYOUT = Layout(["request_id"], "created_date_local", ["borough_name", "service_category"])
+DAILY_LAYOUT = Layout(["daily_service_level_key"], "service_date", ["borough_name", "service_category"])
+
+
+@dataclass(frozen=True)
+class Job:
+    spark: SparkSession
+    warehouse: Warehouse
+    settings: Settings
+
+    def path(self, layer: str, name: str) -> str:
+        return self.warehouse.path(layer, name)
+
+    def read(self, layer: str, name: str) -> DataFrame | None:
+        rows = read_table(self.spark, self.path(layer, name))
+        return rows.drop(MONTH) if rows is not None and MONTH in rows.columns else rows
+
+    # Landing
+
+    def land_requests(self, paths: str | list[str], load_id: str, backfill: bool = False) -> None:
+        """New and moved requests of the landed files, merged into the raw table by key."""
+        state = self.path(RAW, "cursors")
+        cursors = ledger.read_cursors(self.spark, state)
+        landed = landing.typed_requests(landing.read_requests(self.spark, paths))
+        read = landing.changed_requests(landed, self.settings, cursors, backfill)
+        batch = read.withColumn(schemas.LOAD_ID, F.lit(load_id))
+        upsert_table(
+            self.spark,
+            self.path(RAW, "service_requests"),
+            batch,
+            REQUESTS_LAYOUT,
+            landing.request_version(self.settings),
+            landing.request_tiebreak(),
+        )
+        self._commit(load_id)
+        wanted = [landing.CREATED] if backfill else [landing.CREATED, landing.UPDATED]
+        newest = read.agg(
+            *[F.max(F.when(F.col(c) <= self.settings.now, F.col(c))).alias(c) for c in wanted]
+        ).first()
+        for column in wanted:
+            if newest[column] is not None:
+                ledger.commit_cursor(self.spark, state, column, newest[column], self.settings.as_of)
+
+    def land_weather(self, payloads: DataFrame, body: str, load_id: str, backfill: bool = False) -> None:
+        """The trailing window of observations, replacing the stored days."""
+        days = landing.unpivot_payload(payloads, body, instant(self.settings.as_of))
+        window = landing.trailing_observations(days, self.settings, backfill)
+        batch = window.withColumn(schemas.LOAD_ID, F.lit(load_id))
+        upsert_table(
+            self.spark,
+            self.path(RAW, "weather_daily"),
+            batch,
+            WEATHER_LAYOUT,
+            F.col("_extracted_at"),
+            [F.col(v).desc_nulls_last() for v in schemas.WEATHER_VARIABLES],
+        )
+        self._commit(load_id)
+
+    def _commit(self, load_id: str) -> None:
+        ledger.record_load(self.spark, self.path(RAW, "loads"), load_id, self.settings.as_of)
+
+    # Transform
+
+    def lazy_models(self, seed: DataFrame) -> dict[str, DataFrame]:
+        """Raw tables, views and ephemeral models."""
+        raw = {name: self.read(RAW, name) for name in ("service_requests", "weather_daily")}
+        stg = staging.stg_requests(raw["service_requests"])
+        stg_weather = staging.stg_weather(raw["weather_daily"])
+        return {
+            **raw,
+            "loads": ledger.read_loads(self.spark, self.path(RAW, "loads")),
+            "seed": seed,
+            "stg_requests": stg,
+            "stg_weather": stg_weather,
+            "int_requests": intermediate.int_requests(stg, seed, self.settings),
+            "int_weather_banded": intermediate.int_weather_banded(stg_weather),
+        }
+
+    def transform(self, seed: DataFrame) -> dict[str, DataFrame]:
+        """Build every mart; returns all models by name, stored ones read back."""
+        spark, settings = self.spark, self.settings
+        models = self.lazy_models(seed)
+        for name, rows in {
+            "dim_date": dimensions.dim_date(spark, settings),
+            "dim_location": dimensions.dim_location(spark),
+            "dim_category": dimensions.dim_category(seed),
+            "dim_weather_band": dimensions.dim_weather_band(spark),
+            "dim_agency": dimensions.dim_agency(models["stg_requests"]),
+        }.items():
+            overwrite_table(rows, self.path(MARTS, name))
+            models[name] = self.read(MARTS, name)
+
+        self.merge_requests(models)
+        models["fct_requests"] = self.read(MARTS, "fct_requests")
+        daily = facts.fct_daily(
+            models["fct_requests"],
+            models["dim_date"],
+            models["dim_location"],
+            models["dim_category"],
+            models["int_weather_banded"],
+        )
+        overwrite_table(daily, self.path(MARTS, "fct_daily"), DAILY_LAYOUT)
+        models["fct_daily"] = self.read(MARTS, "fct_daily")
+        models["snp_request_status"] = self.snapshot(models["stg_requests"])
+        return models
+
+    def merge_requests(self, models: dict[str, DataFrame]) -> list[str]:
+        """Incremental merge of the lifecycle fact; the first run loads the whole window."""
+        path = self.path(MARTS, "fct_requests")
+        target = self.read(MARTS, "fct_requests")
+        requests = models["int_requests"]
+        if target is not None:
+            # The watermark is read first, as a value: it then reaches the raw scan as a filter.
+            start = lookback_start(target, facts.moved_at(), self.settings)
+            if start is not None:
+                requests = requests.where(facts.moved_at() >= instant(start))
+        batch = facts.fct_requests(
+            requests, models["int_weather_banded"], models["dim_date"], self.settings
+        )
+        return upsert_table(self.spark, path, batch, FACT_LAYOUT)
+
+    def snapshot(self, staged: DataFrame) -> DataFrame:
+        """Append the versions that opened since the last run; returns the history.
+
+        The new rows are derived from the stored versions and appended to them: Spark plans the read
+        from the files listed before the append starts.
+        """
+        path = self.path(MARTS, "request_status_versions")
+        source = facts.snapshot_source(staged, self.settings)
+        fresh = history.new_versions(
+            self.read(MARTS, "request_status_versions"),
+            source,
+            "request_id",
+            "status_changed_at",
+            [F.col("status")],
+        )
+        append_rows(fresh, path)
+        return history.with_validity(self.read(MARTS, "request_status_versions"), "request_id")
+
+    # Checks and reports
+
+    def check(self, models: dict[str, DataFrame]) -> DataFrame:
+        return checks.run_checks(models, self.settings)
+
+    def report(self, models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """The four extracts, written and read back; page queries run on these."""
+        fact, daily = models["fct_requests"], models["fct_daily"]
+        extracts = {
+            "agency_performance": reports.agency_performance(fact, models["dim_agency"]),
+            "daily_service_levels": reports.daily_extract(daily),
+            "heat_season": reports.heat_season(models["dim_date"], fact, daily),
+            "pipeline_freshness": reports.pipeline_freshness(models["loads"], fact, self.settings),
+        }
+        for name, rows in extracts.items():
+            write_extract(rows, self.path(REPORTS, name))
+        return {name: self.spark.read.parquet(self.path(REPORTS, name)) for name in extracts}
+
+
+def run_nightly(
+    job: Job,
+    plan: RunPlan,
+    request_paths: str | list[str],
+    weather_payloads: DataFrame,
+    weather_body: str,
+    seed: DataFrame,
+) -> dict[str, DataFrame]:
+    """One run end to end. Any failure propagates, before the cursor of that feed is committed."""
+    stamp = job.settings.as_of.strftime("%Y%m%d%H%M%S")
+    if "requests" in plan.sources:
+        job.land_requests(request_paths, f"requests-{stamp}", plan.backfill)
+    if "weather" in plan.sources:
+        job.land_weather(weather_payloads, weather_body, f"weather-{stamp}", plan.backfill)
+    models = job.transform(seed)
+    outcome = job.check(models)
+    return {**models, "checks": outcome, **job.report(models)}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from deskwise.functions.rates import ratio, to_bucket, weighted_mean
 from deskwise.operators import counting
+from deskwise.operators.spine import one_row
 from deskwise.plans.dimensions import UNKNOWN_CODE
 from deskwise.plans.facts import THREE_DAYS
 from deskwise.settings import Settings
@@ -120,7 +121,7 @@ def pipeline_freshness(loads: DataFrame, fact: DataFrame, settings: Settings) ->
     done = loads.where(F.col("status") == 0)
     requests = fact.agg(F.max("created_at").alias("latest_request_at"), F.count(F.lit(1)).alias("n"))
     ledger = done.agg(F.max("inserted_at").alias("last_load_at"), F.count(F.lit(1)).alias("n"))
-    return fact.sparkSession.range(1).select(
+    return one_row(fact.sparkSession).select(
         ledger.select("last_load_at").scalar().alias("last_load_at"),
         ledger.select("n").scalar().alias("loads_total"),
         requests.select("latest_request_at").scalar().alias("latest_request_at"),

@@ -102,3 +102,18 @@ def trailing_observations(weather: DataFrame, settings: Settings, backfill: bool
     return weather.where(
         F.col("observed_on").between(F.lit(first.date()), F.lit(last.date()))
     )
+
+
+def request_version(settings: Settings) -> Column:
+    """Which of two copies of a request is the newer one.
+
+    A copy stamped past ``as_of`` is a typing error: it has no version, so it can neither outrank a
+    stored row for good nor keep a later correction out.
+    """
+    moved = F.greatest(UPDATED, CREATED)
+    return F.when(moved <= settings.now, moved)
+
+
+def request_tiebreak() -> list[Column]:
+    """Among copies with one version, a closed one, then the latest load, wins."""
+    return [F.col("closed_date").desc_nulls_last(), F.col(schemas.LOAD_ID).desc_nulls_last()]
