@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 # Fixed value: a reportable resolution is at most one year, in whole hours.
 MAX_PLAUSIBLE_HOURS = 8760
+UTC_NAMES = {"UTC", "Etc/UTC"}
 
 
-def local_day(moment: Column, source_tz: str, local_tz: str) -> Column:
-    """Calendar day in ``local_tz`` of a zoneless timestamp written in ``source_tz``."""
+def local_day(moment: Column, source_tz: str, local_tz: str, session_tz: str | None = None) -> Column:
+    """Calendar day in ``local_tz`` of a zoneless timestamp written in ``source_tz``.
+
+    Where the session runs in UTC and so does the source, a zoneless value and its instant coincide,
+    and shifting the instant is several times cheaper per row than converting the wall clock.
+    """
+    if session_tz in UTC_NAMES and source_tz in UTC_NAMES:
+        return F.from_utc_timestamp(moment.cast("timestamp"), F.lit(local_tz)).cast("date")
     return F.convert_timezone(F.lit(source_tz), F.lit(local_tz), moment).cast("date")
 
 

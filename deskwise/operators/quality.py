@@ -8,7 +8,7 @@ uniqueness needs a shuffle of its own.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from datetime import timedelta
 from functools import reduce
 
@@ -21,9 +21,6 @@ from deskwise.settings import Settings
 # Outcomes and severities.
 PASS, WARN, ERROR = "pass", "warn", "error"
 
-FINDINGS = ["check_name", "failures"]
-
-
 @dataclass(frozen=True)
 class Limits:
     """A check warns or errors when its failures exceed the limit; None never triggers."""
@@ -74,20 +71,45 @@ def row_findings(rows: DataFrame, predicates: Mapping[str, Column]) -> DataFrame
 
 
 def duplicates(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Values (or combinations) that occur more than once. Null is not a value."""
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    scope = rows.where(present) if len(columns) == 1 else rows
+    """Values of one column, or combinations of several, that occur more than once. A lone null is
+    not a value; within a combination it is."""
+    scope = rows.where(F.col(columns[0]).isNotNull()) if len(columns) == 1 else rows
     return scope.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def unique_findings(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    return _counted(duplicates(rows, columns), name)
+def unique_findings(rows: DataFrame, checks: Mapping[str, list[str]]) -> DataFrame:
+    """Repeated values per named check; checks without any have no row.
+
+    All checks of a table are grouping sets of one aggregate, which counts map-side: one scan and
+    one shuffle, and a value that repeats a billion times leaves each task as one row.
+    """
+    columns = list(dict.fromkeys(c for cs in checks.values() for c in cs))
+    counted = (
+        rows.groupingSets([[F.col(c) for c in cs] for cs in checks.values()], *columns)
+        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
+        .where(F.col("n") > 1)
+    )
+    name = F.lit(None).cast("string")
+    for check, cs in checks.items():
+        # A grouping id has a one-bit for each column that is not in the set.
+        gid = int("".join("0" if c in cs else "1" for c in columns), 2)
+        counts = F.col("gid") == gid
+        if len(cs) == 1:
+            counts = counts & F.col(cs[0]).isNotNull()
+        name = F.when(counts, check).otherwise(name)
+    return (
+        counted.select(name.alias("check_name"))
+        .where(F.col("check_name").isNotNull())
+        .groupBy("check_name")
+        .agg(F.count(F.lit(1)).alias("failures"))
+    )
 
 
 def orphan_findings(
     rows: DataFrame, references: Mapping[str, tuple[str, DataFrame, str]]
 ) -> DataFrame:
-    """Child rows whose key is in no parent row, per named reference (column, parent, field).
+    """Child rows whose key is in no parent row, per named reference (column, parent, field);
+    references without any have no row.
 
     All references of a table share one scan: each row yields one (check, key) entry per reference,
     which are counted map-side down to the distinct keys before anything is shuffled or joined.
@@ -108,41 +130,41 @@ def orphan_findings(
             parent.select(F.lit(n).alias("check_name"), F.col(field).cast("string").alias("key"))
             for n, (_, parent, field) in references.items()
         ],
-    ).distinct()
-    orphans = used.join(known, ["check_name", "key"], "left_anti")
-    names = literal_table(rows.sparkSession, "check_name string", [(n,) for n in references])
-    totals = orphans.groupBy("check_name").agg(F.sum("n").alias("failures"))
-    return names.join(totals, "check_name", "left").select(
-        "check_name", F.coalesce("failures", F.lit(0)).alias("failures")
     )
+    orphans = used.join(known, ["check_name", "key"], "left_anti")
+    return orphans.groupBy("check_name").agg(F.sum("n").alias("failures"))
 
 
-def _counted(failing: DataFrame, name: str) -> DataFrame:
+def findings_of(failing: DataFrame, name: str) -> DataFrame:
+    """The finding of a check written as a query for failing rows."""
     return failing.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(name).alias("check_name"), "failures"
     )
 
 
-def findings_of(failing: DataFrame, name: str) -> DataFrame:
-    """The finding of a check written as a query for failing rows."""
-    return _counted(failing, name)
+def with_all(findings: DataFrame, names: list[str]) -> DataFrame:
+    """One row per check: those without a finding have no failures."""
+    every = literal_table(findings.sparkSession, "check_name string", [(n,) for n in names])
+    return every.join(findings, "check_name", "left").select(
+        "check_name", F.coalesce("failures", F.lit(0)).alias("failures")
+    )
 
 
-def judged(findings: DataFrame, limits: Mapping[str, Limits]) -> DataFrame:
-    """Each finding with its outcome. Checks without limits of their own error on any failure."""
-    rows = [(n, v.warn_above, v.error_above) for n, v in limits.items()]
-    table = literal_table(
+def judged(findings: DataFrame, names: list[str], limits: Mapping[str, Limits]) -> DataFrame:
+    """Every check with its failures and outcome. Without limits of its own, any failure errors."""
+    rows = [(n, *astuple(limits.get(n, ERROR_ON_ANY))) for n in names]
+    every = literal_table(
         findings.sparkSession, "check_name string, warn_above bigint, error_above bigint", rows
     )
-    known = F.col("__listed").isNotNull()
-    above = F.when(known, F.col("error_above")).otherwise(F.lit(0))
     outcome = (
-        F.when(F.col("failures") > above, ERROR)
+        F.when(F.col("failures") > F.col("error_above"), ERROR)
         .when(F.col("failures") > F.col("warn_above"), WARN)
         .otherwise(PASS)
     )
-    return findings.join(table.withColumn("__listed", F.lit(True)), "check_name", "left").select(
-        *FINDINGS, outcome.alias("outcome")
+    return (
+        every.join(findings, "check_name", "left")
+        .withColumn("failures", F.coalesce("failures", F.lit(0)))
+        .select("check_name", "failures", outcome.alias("outcome"))
     )
 
 

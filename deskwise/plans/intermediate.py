@@ -27,6 +27,11 @@ def int_requests(staged: DataFrame, seed: DataFrame, settings: Settings) -> Data
         surrogate_key("complaint_type").alias("complaint_category_key"),
     )
     hours = timing.elapsed_hours(F.col("created_at"), F.col("closed_at"))
+    zones = (
+        settings.source_tz,
+        settings.local_tz,
+        staged.sparkSession.conf.get("spark.sql.session.timeZone"),
+    )
     defaults = {
         "service_category": F.lit(UNMAPPED),
         "service_subcategory": F.lit(UNMAPPED),
@@ -39,12 +44,8 @@ def int_requests(staged: DataFrame, seed: DataFrame, settings: Settings) -> Data
         .withColumns(
             {
                 "is_unmapped_complaint_type": F.col("__mapped_type").isNull(),
-                "created_date_local": timing.local_day(
-                    F.col("created_at"), settings.source_tz, settings.local_tz
-                ),
-                "closed_date_local": timing.local_day(
-                    F.col("closed_at"), settings.source_tz, settings.local_tz
-                ),
+                "created_date_local": timing.local_day(F.col("created_at"), *zones),
+                "closed_date_local": timing.local_day(F.col("closed_at"), *zones),
                 "is_closed": F.col("closed_at").isNotNull(),
                 "resolution_hours": hours,
             }

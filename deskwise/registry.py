@@ -636,7 +636,7 @@ def dq_relationships(spark, sf):
         column: (column, parents[parent], field)
         for column, (parent, field) in checks.DECLARED["fct_requests"].references.items()
     }
-    return quality.orphan_findings(feed.fact, references)
+    return quality.with_all(quality.orphan_findings(feed.fact, references), list(references))
 
 
 def dq_duplicates(spark, sf):
