@@ -6,6 +6,7 @@ tables without a key.
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,16 +29,14 @@ def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
 def literal_table(spark: SparkSession, schema: str | T.StructType, rows: list[tuple]) -> DataFrame:
     """A table written out in the code.
 
-    Generated from literals rather than parallelised from Python, so Catalyst knows how small it is
-    and may broadcast it.
+    Parsed from one literal that Catalyst folds, rather than parallelised from Python, so it knows
+    how small the table is and may broadcast it.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema, strict=True)])
-        for row in rows
-    ]
-    return one_row(spark).select(F.inline(F.array(*structs)))
+    names = schema.names
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    return one_row(spark).select(F.inline(F.from_json(F.lit(text), T.ArrayType(schema))))
 
 
 def product(spark: SparkSession, **members: list[str]) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskwise.functions.timing import last_moved
 from deskwise.settings import Settings, instant
 
 RANK = "__rank"
@@ -32,15 +33,24 @@ def merge_rows(
 ) -> DataFrame:
     """``target`` with the batch's rows inserted, or replacing the rows that share their key.
 
-    With ``version``, a key's newest row survives, whichever side it is on; an equal version is
-    replaced, so re-reading a batch changes nothing. A null version cannot be compared: the batch
-    wins. Without ``version`` the batch always wins and must already hold one row per key. Columns
-    missing on one side are filled with nulls.
+    With ``version``, the batch may repeat keys and a key's newest row survives, whichever side it
+    is on; see ``replace_rows``. Without it the batch must hold one row per key, and wins.
     """
     if version is not None:
         batch = newest_per_key(batch, keys, [version.desc_nulls_last(), *(tiebreak or [])])
-    if target is None:
-        return batch
+    return batch if target is None else replace_rows(target, batch, keys, version)
+
+
+def replace_rows(
+    target: DataFrame, batch: DataFrame, keys: list[str], version: Column | None = None
+) -> DataFrame:
+    """Merge a batch of one row per key. A stored row with a newer version stays; an equal version
+    is replaced, so re-reading a batch changes nothing; a null version cannot be compared, so the
+    batch wins. Columns missing on one side are filled with nulls.
+
+    Only the target's keys meet the batch before rows are kept: a small batch is broadcast, and the
+    target is then filtered in place without being shuffled.
+    """
     if version is not None:
         batch = _not_superseded(target, batch, keys, version)
     kept = target.join(batch.select(*keys), keys, "left_anti")
@@ -64,19 +74,25 @@ def _not_superseded(
     return batch.join(superseded, keys, "left_anti")
 
 
-def lookback_start(target: DataFrame, moved: Column, settings: Settings) -> datetime | None:
+def moved_since(updated: str, created: str, start: Column) -> Column:
+    """``coalesce(updated, created) >= start``, spelled so that Parquet can skip row groups by it."""
+    return (F.col(updated) >= start) | (F.col(updated).isNull() & (F.col(created) >= start))
+
+
+def lookback_start(
+    target: DataFrame, updated: str, created: str, settings: Settings
+) -> datetime | None:
     """Where an incremental run starts reading: the newest movement in the target less the lookback.
 
     Movements later than ``as_of`` are ignored. One mistyped future date would otherwise push the
     watermark past every real update, and the table would silently stop growing. None (an empty
     target) means everything is to be read.
     """
-    newest = target.where(moved <= settings.now).agg(F.max(moved).alias("m")).first()["m"]
-    return None if newest is None else newest - timedelta(days=settings.incremental_lookback_days)
+    return _watermark(target, updated, created, settings).first()[0]
 
 
 def lookback_filter(
-    rows: DataFrame, target: DataFrame | None, moved: Column, settings: Settings
+    rows: DataFrame, target: DataFrame | None, updated: str, created: str, settings: Settings
 ) -> DataFrame:
     """Rows that moved within the lookback of the target's watermark; all rows without a watermark.
 
@@ -84,8 +100,11 @@ def lookback_filter(
     """
     if target is None:
         return rows
-    watermark = target.where(moved <= settings.now).agg(
-        (F.max(moved) - F.make_dt_interval(F.lit(settings.incremental_lookback_days))).alias("w")
-    )
-    floor = F.coalesce(watermark.scalar(), instant(datetime.min))
-    return rows.where(moved >= floor)
+    watermark = _watermark(target, updated, created, settings).scalar()
+    return rows.where(moved_since(updated, created, F.coalesce(watermark, instant(datetime.min))))
+
+
+def _watermark(target: DataFrame, updated: str, created: str, settings: Settings) -> DataFrame:
+    moved = last_moved(F.col(updated), F.col(created))
+    lookback = F.make_dt_interval(F.lit(settings.incremental_lookback_days))
+    return target.where(moved <= settings.now).agg((F.max(moved) - lookback).alias("start"))

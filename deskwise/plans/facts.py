@@ -56,10 +56,6 @@ FACT_COLUMNS = [
 ]
 
 
-def moved_at():
-    return last_moved(F.col("resolution_updated_at"), F.col("created_at"))
-
-
 def unknown_band_key():
     return surrogate_key(*[F.lit(bands.UNKNOWN)] * 3)
 
@@ -88,7 +84,7 @@ def fct_requests(
     With a ``target`` this is the incremental batch: only requests that moved within the lookback.
     """
     rows = in_window(requests, settings, dim_date)
-    rows = lookback_filter(rows, target, moved_at(), settings)
+    rows = lookback_filter(rows, target, "resolution_updated_at", "created_at", settings)
     agency = F.coalesce("agency_code", F.lit(UNKNOWN_CODE))
     borough = F.coalesce("borough_name", F.lit(UNKNOWN_CODE))
     daily = weather.select(
@@ -238,5 +234,5 @@ def snapshot_source(staged: DataFrame, settings: Settings) -> DataFrame:
         "created_at",
         "closed_at",
         "resolution_updated_at",
-        moved_at().alias("status_changed_at"),
+        last_moved(F.col("resolution_updated_at"), F.col("created_at")).alias("status_changed_at"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskwise.operators import history
-from deskwise.operators.upsert import lookback_start
+from deskwise.operators.upsert import lookback_start, moved_since
 from deskwise.plans import checks, dimensions, facts, intermediate, reports, staging
 from deskwise.settings import RunPlan, Settings, instant
 from deskwise.sources import landing, ledger, schemas
@@ -45,9 +45,14 @@ class Job:
     def path(self, layer: str, name: str) -> str:
         return self.warehouse.path(layer, name)
 
-    def read(self, layer: str, name: str) -> DataFrame | None:
+    def read(self, layer: str, name: str, from_month: str | None = None) -> DataFrame | None:
+        """A stored table; ``from_month`` leaves the folders of older months unread."""
         rows = read_table(self.spark, self.path(layer, name))
-        return rows.drop(MONTH) if rows is not None and MONTH in rows.columns else rows
+        if rows is None or MONTH not in rows.columns:
+            return rows
+        if from_month is not None:
+            rows = rows.where(F.col(MONTH) >= from_month)
+        return rows.drop(MONTH)
 
     # Landing
 
@@ -139,19 +144,25 @@ class Job:
         return models
 
     def merge_requests(self, models: dict[str, DataFrame]) -> list[str]:
-        """Incremental merge of the lifecycle fact; the first run loads the whole window."""
-        path = self.path(MARTS, "fct_requests")
+        """Incremental merge of the lifecycle fact; the first run loads the whole window.
+
+        The raw months before the window are not read, and the watermark is taken as a value, so it
+        reaches the raw scan as a plain filter.
+        """
+        settings, moment = self.settings, ("resolution_updated_at", "created_at")
+        first_month = settings.window_start.strftime("%Y-%m")
+        staged = staging.stg_requests(self.read(RAW, "service_requests", first_month))
         target = self.read(MARTS, "fct_requests")
-        requests = models["int_requests"]
-        if target is not None:
-            # The watermark is read first, as a value: it then reaches the raw scan as a filter.
-            start = lookback_start(target, facts.moved_at(), self.settings)
-            if start is not None:
-                requests = requests.where(facts.moved_at() >= instant(start))
+        start = None if target is None else lookback_start(target, *moment, settings)
+        if start is not None:
+            staged = staged.where(moved_since(*moment, instant(start)))
         batch = facts.fct_requests(
-            requests, models["int_weather_banded"], models["dim_date"], self.settings
+            intermediate.int_requests(staged, models["seed"], settings),
+            models["int_weather_banded"],
+            models["dim_date"],
+            settings,
         )
-        return upsert_table(self.spark, path, batch, FACT_LAYOUT)
+        return upsert_table(self.spark, self.path(MARTS, "fct_requests"), batch, FACT_LAYOUT)
 
     def snapshot(self, staged: DataFrame) -> DataFrame:
         """Append the versions that opened since the last run; returns the history.

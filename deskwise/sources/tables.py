@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskwise.functions.calendar import month_label
-from deskwise.operators.upsert import merge_rows, newest_per_key
+from deskwise.operators.upsert import newest_per_key, replace_rows
 
 MONTH = "month_part"
 NO_MONTH = "none"
@@ -173,7 +173,7 @@ def upsert_table(
         r[0] for r in stored.select(MONTH).union(batch.select(MONTH)).distinct().collect()
     )
     if touched:
-        merged = merge_rows(
+        merged = replace_rows(
             target.where(F.col(MONTH).isin(touched)).drop(MONTH),
             batch.drop(MONTH),
             layout.keys,
