@@ -434,14 +434,14 @@ PAGE = 100
 
 
 def _landed_chunks(events: DataFrame) -> DataFrame:
-    """A walk over the events in pages that start on the previous page's last row, with faults:
-    some pages do not start there, some did not land, some stopped on the boundary row."""
-    page = F.floor(F.col("event_id") / PAGE)
+    """Two walks that take turns over the events in pages that start on the walk's previous last
+    row, with faults: some pages do not start there, some did not land, some stopped on that row."""
+    turn, page = F.floor(F.col("event_id") / PAGE), F.floor(F.col("event_id") / (2 * PAGE))
     is_last = F.col("event_id") % PAGE == PAGE - 1
     own = F.struct(page.alias("chunk_no"), F.lit(False).alias("boundary"))
     next_page = F.struct((page + 1).alias("chunk_no"), F.lit(True).alias("boundary"))
     entries = events.select(
-        F.lit("created").alias("walk"),
+        F.when(turn % 2 == 0, "created").otherwise("updated").alias("walk"),
         "event_id",
         F.col("ts").alias("cursor"),
         F.inline(F.when(is_last, F.array(own, next_page)).otherwise(F.array(own))),

@@ -61,10 +61,11 @@ CHANGED = """select * from x2_raw where created_date >= timestamp '2024-01-25'
 UPSERTED = f"""with c as ({CHANGED})
   from c union all by name from x1_raw where unique_key not in (select unique_key from c)"""
 
-# Pages of 100 rows, with the same faults as the landed chunks: see the registry.
+# Pages of 100 rows by turns in two walks, with the faults of the landed chunks: see the registry.
 CHUNKS = """select * from (
-  select 'created' as walk, event_id, ts as cursor, event_id // 100 as chunk_no, false as boundary from events
-  union all select 'created', event_id, ts, event_id // 100 + 1, true from events where event_id % 100 = 99)
+  select case when event_id // 100 % 2 = 0 then 'created' else 'updated' end as walk, event_id,
+    ts as cursor, unnest(case when event_id % 100 = 99 then [false, true] else [false] end) as boundary,
+    event_id // 200 + boundary::int as chunk_no from events)
   where not (chunk_no % 7 = 3 and boundary) and chunk_no % 11 <> 5
     and not (chunk_no % 13 = 6 and not boundary)"""
 

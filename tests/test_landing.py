@@ -1,0 +1,209 @@
+import json
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import raw_requests, request, rows_of
+from pyspark.sql import functions as F
+
+from deskwise.settings import Settings, instant
+from deskwise.sources import audit, landing, ledger, schemas, tables
+from deskwise.streaming import jobs
+
+CLOCK = Settings(as_of=datetime(2026, 2, 1))
+
+
+def payload(**arrays):
+    days = arrays.pop("time")
+    full = {v: [None] * len(days) for v in schemas.WEATHER_VARIABLES}
+    return json.dumps({"daily": {"time": days, **full, **arrays}})
+
+
+def unpivot(spark, *bodies):
+    frame = spark.createDataFrame([(b,) for b in bodies], "body string")
+    return landing.unpivot_payload(frame, "body", instant(CLOCK.as_of))
+
+
+def test_parallel_arrays_become_rows_and_keep_nulls(spark):
+    body = payload(
+        time=["2026-01-01", "2026-01-02", "2026-01-03"],
+        temperature_2m_max=[1.0, 2.0, 3.0],
+        snowfall_sum=[None, 0.5, None],
+    )
+    got = rows_of(unpivot(spark, body), "observed_on", "temperature_2m_max", "snowfall_sum", "_extracted_at")
+    assert got == [
+        (date(2026, 1, 1), 1.0, None, CLOCK.as_of),
+        (date(2026, 1, 2), 2.0, 0.5, CLOCK.as_of),
+        (date(2026, 1, 3), 3.0, None, CLOCK.as_of),
+    ]
+    assert unpivot(spark, payload(time=[])).count() == 0
+
+
+def test_trailing_window_ends_yesterday(spark):
+    first, last = landing.observation_window(CLOCK)
+    assert (first.date(), last.date()) == (date(2026, 1, 17), date(2026, 1, 31))
+    assert landing.observation_window(CLOCK, backfill=True)[0] == last - timedelta(days=720)
+    days = spark.createDataFrame([(date(2026, 1, d),) for d in range(10, 32)], "observed_on date")
+    assert landing.trailing_observations(days, CLOCK).count() == 15
+
+
+def test_cursors_are_inclusive_and_start_at_their_reach(spark):
+    rows = raw_requests(
+        spark, [request("a", "2026-01-10T00:00:00"), request("b", "2026-01-11T00:00:00"), request("c", "2026-03-01T00:00:00")]
+    )
+    read = landing.since_cursor(rows, landing.CREATED, datetime(2026, 1, 11), CLOCK)
+    assert rows_of(read, "unique_key") == [("b",), ("c",)]
+    # The mistyped future date is read but does not move the cursor.
+    assert landing.next_cursor(read, landing.CREATED, CLOCK).first()[0] == datetime(2026, 1, 11)
+    assert landing.first_cursor(CLOCK, landing.CREATED) == datetime(2026, 2, 1) - timedelta(days=720)
+    assert landing.first_cursor(CLOCK, landing.UPDATED) == datetime(2026, 1, 2)
+
+
+def test_both_walks_land_and_a_backfill_reads_one(spark):
+    rows = raw_requests(
+        spark,
+        [
+            request("new", "2026-01-20T00:00:00"),
+            request("moved", "2020-01-01T00:00:00", "2026-01-20T00:00:00"),
+            request("both", "2026-01-20T00:00:00", "2026-01-21T00:00:00"),
+            request("neither", "2020-01-01T00:00:00", "2020-01-02T00:00:00"),
+        ],
+    )
+    cursors = {landing.CREATED: datetime(2026, 1, 15), landing.UPDATED: datetime(2026, 1, 15)}
+    daily = landing.changed_requests(rows, CLOCK, cursors)
+    assert rows_of(daily, "unique_key") == [("both",), ("moved",), ("new",)]
+    backfill = landing.changed_requests(rows, CLOCK, cursors, backfill=True)
+    assert rows_of(backfill, "unique_key") == [("both",), ("new",)]
+
+
+# Walks: (cursor second, key) pairs per landed chunk.
+
+
+def chunks(spark, *pages):
+    rows = [
+        ("created", n, datetime(2026, 1, 1) + timedelta(seconds=second), key)
+        for n, page in enumerate(pages)
+        if page is not None
+        for second, key in page
+    ]
+    return spark.createDataFrame(rows, "walk string, chunk_no bigint, cursor timestamp_ntz, key string")
+
+
+def findings(spark, *pages):
+    return rows_of(audit.chunk_findings(chunks(spark, *pages), "cursor"), "chunk_no", "finding")
+
+
+def page(*seconds):
+    return [(s, f"k{s}") for s in seconds]
+
+
+def test_a_whole_walk_has_no_findings(spark):
+    assert findings(spark, page(0, 1, 2), page(2, 3, 4), page(4, 5)) == []
+    assert findings(spark, page(0)) == []
+    # Pages cut short still join up; the last page may sit on the boundary.
+    assert findings(spark, page(0, 1, 2), page(2, 3), page(3, 4), page(4)) == []
+    # Tied rows at the end.
+    assert findings(spark, page(0, 1, 9), [(9, "a"), (9, "b"), (9, "c")]) == []
+
+
+def test_gaps_stalls_and_missing_chunks_are_found(spark):
+    assert findings(spark, page(0, 1, 2), page(3, 4)) == [(1, "gap")]
+    assert findings(spark, page(0, 1), [(1, "x")], [(1, "y")], page(1, 2)) == [(1, "stalled"), (2, "stalled")]
+    assert findings(spark, page(0, 1), None, page(2, 3)) == [(2, "missing_before")]
+    rows = chunks(spark, page(0, 1), None, page(2, 3))
+    manifest = spark.createDataFrame([(f"k{i}",) for i in range(5)], "key string")
+    assert rows_of(audit.never_landed(manifest, rows, "key"), "key") == [("k4",)]
+
+
+# Files
+
+
+def write_pages(folder, pages, per_page):
+    for n in range(pages):
+        lines = [
+            {f: None for f in schemas.REQUEST_FIELDS}
+            | {"unique_key": f"{n}-{i}", "created_date": f"2026-01-{n + 1:02d}T00:00:{i:02d}.000", "extra": 1}
+            for i in range(per_page)
+        ]
+        # One page as a JSON array on a line, the others as lines of records.
+        text = json.dumps(lines) if n == 0 else "\n".join(map(json.dumps, lines))
+        with open(f"{folder}/page-{n}.json", "w") as out:
+            out.write(text)
+
+
+def test_records_are_read_by_the_declared_fields(spark, folder):
+    write_pages(folder, 2, 3)
+    landed = landing.read_requests(spark, folder)
+    assert landed.columns == schemas.REQUEST_FIELDS and landed.count() == 6
+    typed = landing.typed_requests(landed)
+    assert typed.agg(F.max("created_date")).first()[0] == datetime(2026, 1, 2, 0, 0, 2)
+
+
+def test_bounded_ingest_resumes_and_loses_nothing(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    write_pages(source, 5, 4)
+    sizes = []
+
+    def keep(batch, batch_id):
+        sizes.append(batch.count())
+        batch.write.mode("append").parquet(out)
+
+    for expected_batches in (3, 3):
+        stream = jobs.landing_stream(spark, source, schemas.REQUESTS, files_per_batch=2)
+        jobs.run_available(stream, state, keep)
+        assert len(sizes) == expected_batches
+    assert sorted(sizes, reverse=True) == [8, 8, 4]
+    assert spark.read.parquet(out).select("unique_key").distinct().count() == 20
+
+
+def test_streamed_upserts_are_idempotent_across_runs(spark, tmp_path):
+    source, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
+    (tmp_path / "in").mkdir()
+    write_pages(source, 3, 4)
+    for _ in range(2):
+        stream = landing.typed_requests(
+            jobs.landing_stream(spark, source, schemas.REQUESTS, files_per_batch=1)
+        ).withColumn(schemas.LOAD_ID, F.lit("l"))
+        jobs.upsert_stream(
+            stream,
+            table,
+            tables.Layout(["unique_key"], "created_date"),
+            landing.request_version(CLOCK),
+            state,
+            landing.request_tiebreak(),
+        )
+        write_pages(source, 3, 4)
+    assert tables.read_table(spark, table).count() == 12
+
+
+def test_ledger_and_cursors(spark, folder):
+    loads, state = f"{folder}/loads", f"{folder}/cursors"
+    assert ledger.read_loads(spark, loads).count() == 0
+    assert ledger.read_cursors(spark, state) == {}
+    ledger.record_load(spark, loads, "a", datetime(2026, 1, 1))
+    ledger.record_load(spark, loads, "b", datetime(2026, 1, 2), status=1)
+    assert rows_of(ledger.completed(ledger.read_loads(spark, loads)), "load_id") == [("a",)]
+    for day in (3, 2):
+        ledger.commit_cursor(spark, state, "created_date", datetime(2026, 1, day), datetime(2026, 1, 5))
+    assert ledger.read_cursors(spark, state) == {"created_date": datetime(2026, 1, 3)}
+
+
+def test_seed_is_read_by_declared_types(spark, folder):
+    with open(f"{folder}/seed.csv", "w") as out:
+        out.write(",".join(schemas.SEED.names) + "\nX,Cat,Sub,true\nY,Cat,Sub,false\n")
+    got = landing.read_seed(spark, f"{folder}/seed.csv")
+    assert got.schema == schemas.SEED
+    assert rows_of(got, "complaint_type", "is_weather_sensitive") == [("X", True), ("Y", False)]
+
+
+@pytest.mark.parametrize("kind", ["ephemeral", "view", "table"])
+def test_materialisations(spark, folder, kind):
+    rows = spark.range(3)
+    got = tables.materialise(kind, rows, "three", f"{folder}/three")
+    assert got.count() == 3
+    assert (kind == "view") == spark.catalog.tableExists("three")
+    spark.catalog.dropTempView("three")
+
+
+def test_layer_names_are_used_as_given():
+    assert tables.Warehouse("/w/", "p_").path(" marts ", "fct") == "/w/p_marts/fct"
