@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # The JVM never compiles methods above 8,000 bytes of bytecode. Wide projections would run
+    # interpreted beyond that; below it Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python line of every expression doubles the time it takes to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Streaming state on local disk rather than on the heap.
