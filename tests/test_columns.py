@@ -15,7 +15,7 @@ def one(spark, ddl, values, *columns):
 
 
 def test_blank_text_becomes_null_whatever_the_white_space(spark):
-    values = [("  a b ",), ("",), (" \t\n",), (" x　",), (None,), ("Unspecified ",), ("unspecified",)]
+    values = [("  a b ",), ("",), (" \t\n",), ("\u2003x\u3000",), (None,), ("Unspecified ",), ("unspecified",)]
     got = one(spark, "v string", values, cleaning.blank_to_null("v"), cleaning.sentinel_to_null("v", "Unspecified"))
     assert [g[0] for g in got] == ["a b", None, None, "x", None, "Unspecified", "unspecified"]
     assert [g[1] for g in got][-2:] == [None, "unspecified"]
