@@ -430,36 +430,26 @@ def payload_unpivot(spark, sf):
     return landing.unpivot_payload(payloads, "body", instant(adapters.EVENTS_AS_OF))
 
 
-PAGE = 100
-
-
-def _landed_chunks(events: DataFrame) -> DataFrame:
-    """Two walks that take turns over the events in pages that start on the walk's previous last
-    row, with faults: some pages do not start there, some did not land, some stopped on that row."""
-    turn, page = F.floor(F.col("event_id") / PAGE), F.floor(F.col("event_id") / (2 * PAGE))
-    is_last = F.col("event_id") % PAGE == PAGE - 1
-    own = F.struct(page.alias("chunk_no"), F.lit(False).alias("boundary"))
-    next_page = F.struct((page + 1).alias("chunk_no"), F.lit(True).alias("boundary"))
-    entries = events.select(
-        F.when(turn % 2 == 0, "created").otherwise("updated").alias("walk"),
-        "event_id",
-        F.col("ts").alias("cursor"),
-        F.inline(F.when(is_last, F.array(own, next_page)).otherwise(F.array(own))),
-    )
-    chunk = F.col("chunk_no")
-    gap = (chunk % 7 == 3) & F.col("boundary")
-    missing = chunk % 11 == 5
-    stalled = (chunk % 13 == 6) & ~F.col("boundary")
-    return entries.where(~(gap | missing | stalled))
+PAGE = 16
 
 
 def extract_audit(spark, sf):
-    return audit.chunk_findings(_landed_chunks(Events(spark, sf).events), "cursor")
+    """The events as one walk per type, landed in pages by id with an hourly cursor. Busy hours
+    overflow a page (stalled), some pages open a new hour (gap) or lack a type (missing_before)."""
+    chunks = Events(spark, sf).events.select(
+        F.col("event_type").alias("walk"),
+        F.floor(F.col("event_id") / PAGE).alias("chunk_no"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("cursor"),
+    )
+    return audit.chunk_findings(chunks, "cursor")
 
 
 def extract_manifest(spark, sf):
-    events = Events(spark, sf).events
-    return audit.never_landed(events.select("event_id"), _landed_chunks(events), "event_id")
+    """Orders, as the manifest, of which no line has landed."""
+    feed = Orders(spark, sf)
+    manifest = feed.table("orders").select("o_orderkey")
+    landed = feed.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return audit.never_landed(manifest, landed, "o_orderkey")
 
 
 def landing_json(spark, sf):
