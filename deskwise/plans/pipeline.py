@@ -25,6 +25,7 @@ from deskwise.sources.tables import (
     overwrite_table,
     read_table,
     upsert_table,
+    widen_shuffles,
     write_extract,
 )
 
@@ -54,6 +55,11 @@ class Job:
             rows = rows.where(F.col(MONTH) >= from_month)
         return rows.drop(MONTH)
 
+    def widen(self) -> int:
+        """Size this run's shuffles by its largest tables."""
+        stored = [self.path(RAW, "service_requests"), self.path(MARTS, "fct_requests")]
+        return widen_shuffles(self.spark, stored)
+
     # Landing
 
     def land_requests(self, paths: str | list[str], load_id: str, backfill: bool = False) -> None:
@@ -210,11 +216,13 @@ def run_nightly(
     seed: DataFrame,
 ) -> dict[str, DataFrame]:
     """One run end to end. Any failure propagates, before the cursor of that feed is committed."""
+    job.widen()
     stamp = job.settings.as_of.strftime("%Y%m%d%H%M%S")
     if "requests" in plan.sources:
         job.land_requests(request_paths, f"requests-{stamp}", plan.backfill)
     if "weather" in plan.sources:
         job.land_weather(weather_payloads, weather_body, f"weather-{stamp}", plan.backfill)
+    job.widen()
     models = job.transform(seed)
     outcome = job.check(models)
     return {**models, "checks": outcome, **job.report(models)}

@@ -32,9 +32,12 @@ AGENCY = "A1"
 class Feed:
     """The models over one adapter, each built on first use and all of them lazy."""
 
+    sources: tuple[str, ...] = ()
+
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings):
         # Streams and date parts read zoned timestamps in the session zone.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        tables.widen_shuffles(spark, [f"{sf_dir}/{name}.parquet" for name in self.sources])
         self.spark, self.sf_dir, self.settings = spark, sf_dir, settings
 
     def table(self, name: str) -> DataFrame:
@@ -101,6 +104,8 @@ class Feed:
 
 
 class Events(Feed):
+    sources = ("events",)
+
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = adapters.EVENTS):
         super().__init__(spark, sf_dir, settings)
 
@@ -136,6 +141,8 @@ class Extract(Events):
 
 
 class Orders(Feed):
+    sources = ("orders", "lineitem", "customer")
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir, adapters.ORDERS)
 

@@ -75,6 +75,10 @@ class Folder:
         if not self.fs.rename(self._at(name), target._at(name)):
             raise OSError(f"could not move {self.path}/{name} to {target.path}")
 
+    def size(self) -> int:
+        """Bytes below the folder (or of the file); a metadata call."""
+        return self.fs.getContentSummary(self._at()).getLength() if self.exists() else 0
+
     def names(self) -> list[str]:
         return [s.getPath().getName() for s in self.fs.listStatus(self._at())] if self.exists() else []
 
@@ -91,6 +95,28 @@ class Folder:
             source.close()
 
 
+# Stored bytes per shuffle partition to aim for, and the most partitions worth having.
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 20_000
+WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def widen_shuffles(spark: SparkSession, paths: list[str]) -> int:
+    """Start shuffles wide enough that a partition of the inputs fits in executor memory.
+
+    AQE packs small partitions together but never splits an aggregation's, so the starting width has
+    to follow the data. It is only ever raised. Returns the width.
+    """
+    configured = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(WIDTH, None) or 0)
+    )
+    stored = sum(Folder(spark, p).size() for p in paths)
+    width = max(configured, min(-(-stored // PARTITION_BYTES), MAX_PARTITIONS))
+    if width > configured:
+        spark.conf.set(WIDTH, str(width))
+    return width
+
+
 def write_clustered(rows: DataFrame, path: str, layout: Layout) -> None:
     """Month partitions whose files are sorted by the cluster columns.
 
@@ -215,8 +241,9 @@ def append_rows(rows: DataFrame, path: str) -> None:
 
 
 def write_extract(rows: DataFrame, path: str) -> None:
-    """A report extract: already aggregated to thousands of rows, so one file."""
-    rows.coalesce(1).write.mode("overwrite").parquet(path)
+    """A report extract: thousands of rows, which AQE packs into one file or a few. Coalescing here
+    would instead pull the last aggregation into a single task."""
+    rows.write.mode("overwrite").parquet(path)
 
 
 def materialise(

@@ -168,3 +168,23 @@ def test_a_null_version_never_blocks_a_correction(spark):
     fixed = spark.createDataFrame([("a", START, "fixed")], ddl)
     assert merge_rows(typo, fixed, ["k"], version()).first()["text"] == "fixed"
     assert merge_rows(fixed, typo, ["k"], version()).first()["text"] == "typo"
+
+
+def test_shuffles_widen_with_the_stored_bytes(spark, folder, monkeypatch):
+    spark.range(1000).write.parquet(f"{folder}/t")
+    paths = [f"{folder}/t", f"{folder}/absent"]
+    assert tables.widen_shuffles(spark, paths) == 4
+    assert spark.conf.get(tables.WIDTH, None) is None
+    monkeypatch.setattr(tables, "PARTITION_BYTES", 100)
+    monkeypatch.setattr(tables, "MAX_PARTITIONS", 7)
+    try:
+        assert tables.widen_shuffles(spark, paths) == 7
+        monkeypatch.setattr(tables, "MAX_PARTITIONS", 1000)
+        wide = tables.widen_shuffles(spark, paths)
+        assert wide == -(-Folder(spark, paths[0]).size() // 100) > 7
+        assert spark.conf.get(tables.WIDTH) == str(wide)
+        # It is never lowered.
+        monkeypatch.undo()
+        assert tables.widen_shuffles(spark, paths) == wide
+    finally:
+        spark.conf.unset(tables.WIDTH)
