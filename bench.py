@@ -20,14 +20,12 @@ HEADLINE = [
     "agency_performance",
     "heat_season",
     "dim_agency",
-    "fct_orders",
     "orders_daily",
     "raw_upsert",
     "incremental_merge",
     "incremental_merge_table",
     "scd2_history",
     "scd2_point_in_time",
-    "clustered_sink",
     "dq_row_checks",
     "dq_relationships",
     "dq_summary",

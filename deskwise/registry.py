@@ -18,7 +18,7 @@ from deskwise.functions.keys import surrogate_key
 from deskwise.operators import history, quality
 from deskwise.operators.upsert import merge_rows
 from deskwise.plans import checks, dimensions, facts, intermediate, reports, staging
-from deskwise.plans.pipeline import DAILY_LAYOUT, FACT_LAYOUT, REQUESTS_LAYOUT
+from deskwise.plans.nightly import DAILY_LAYOUT, FACT_LAYOUT, REQUESTS_LAYOUT
 from deskwise.session import scratch_dir
 from deskwise.settings import Settings, instant
 from deskwise.sources import adapters, audit, landing, schemas, tables
@@ -294,7 +294,7 @@ def _freshness(feed: Events):
     return reports.pipeline_freshness(feed.loads, feed.fact, feed.settings)
 
 
-def pipeline_freshness(spark, sf):
+def freshness(spark, sf):
     return _freshness(Events(spark, sf))
 
 
@@ -756,7 +756,7 @@ QUERIES: dict[str, Query] = {
         agency_performance,
         daily_service_levels,
         heat_season,
-        pipeline_freshness,
+        freshness,
         freshness_banner,
         citywide_daily,
         agency_rollup,

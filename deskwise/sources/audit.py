@@ -39,9 +39,9 @@ def chunk_findings(rows: DataFrame, cursor: str) -> DataFrame:
     ends = chunks.groupBy("walk").agg(
         F.min("chunk_no").alias("first_no"), F.max("last_cursor").alias("walk_end")
     )
-    # One row per walk, and there are as many walks as cursors: always small enough to broadcast,
-    # which spares the chunks a shuffle onto a handful of keys.
-    compared = with_previous(chunks).join(F.broadcast(ends), "walk")
+    # Only chunk summaries are joined here, and the walks' ends are far fewer still: AQE turns this
+    # into a broadcast once it has measured them, and splits a long walk if it does not.
+    compared = with_previous(chunks).join(ends, "walk")
     # An inclusive boundary re-reads the previous end, so the last chunk of a finished walk may sit
     # exactly on it. Only a chunk that fails to advance while rows lie beyond is a stall.
     stalled = (F.col("last_cursor") <= F.col("previous_last")) & (

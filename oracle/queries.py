@@ -230,7 +230,7 @@ SELECTS: dict[str, str] = {
     "daily_service_levels": """select * exclude (daily_service_level_key, location_key, weather_band_key)
       from ev_daily order by service_date""",
     "heat_season": "select * from od_heat order by service_date",
-    "pipeline_freshness": FRESHNESS,
+    "freshness": FRESHNESS,
     "freshness_banner": BANNER,
     "citywide_daily": """select service_date, sum(requests_created)::bigint as requests_created,
       sum(requests_closed)::bigint as requests_closed from ev_daily group by 1 order by 1""",

@@ -8,8 +8,9 @@ from helpers import request, rows_of, seed
 from pyspark.sql import functions as F
 
 from deskwise.operators.history import VALID_TO
-from deskwise.plans import facts, pipeline
-from deskwise.plans.pipeline import MARTS, RAW, Job, run_nightly
+from deskwise.plans import facts
+from deskwise.plans import nightly as job_module
+from deskwise.plans.nightly import MARTS, RAW, Job, run_nightly
 from deskwise.settings import RunPlan, Settings
 from deskwise.sources import landing, ledger, schemas
 from deskwise.sources.tables import Warehouse
@@ -120,7 +121,7 @@ def test_a_failing_load_commits_nothing(spark, folder, monkeypatch):
         raise RuntimeError("disk")
 
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "upsert_table", fail)
+        patch.setattr(job_module, "upsert_table", fail)
         with pytest.raises(RuntimeError, match="disk"):
             nightly(spark, root, FIRST, files)
     job = Job(spark, Warehouse(root), clock(FIRST))

@@ -37,7 +37,7 @@ LAZY = [
     "dq_row_checks",
     "dq_relationships",
     "dq_reconcile",
-    "pipeline_freshness",
+    "freshness",
 ]
 
 
