@@ -11,14 +11,25 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 from functools import lru_cache
 
 import numpy as np
 
-# A worker forgets all chunks once it keeps this many (about 200 bytes each).
-CACHED_CHUNKS = 1_000_000
+# A worker keeps chunks that it has met in two groups of texts, at most twice so many (about 200 bytes
+# each): when it has that many, those not met again before the next time are forgotten.
+CACHED_CHUNKS = 400_000
+# One byte each, by hash: chunks met before.
+MET = 1 << 23
+MARKS = ".,;:"
+# Up to here Unicode versions do not differ in what is a letter.
+LATIN_END = "\u0250"
+# What a byte-level vocabulary writes for a space.
+SPACE = "\u0120"
 # Chunks encoded by one call of the library.
 CALL_CHUNKS = 4096
+# Characters of text whose chunks are in memory at a time.
+GROUP_CHARS = 4 << 20
 
 
 class Encoder:
@@ -30,6 +41,8 @@ class Encoder:
         # With plain_specials the string of a special token in a text is ordinary text.
         self.library.encode_special_tokens = plain_specials
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.met = bytearray(MET)
         vocabulary = self.library.get_vocab()
         self.width = max(vocabulary.values()) + 1
         kind = json.loads(self.library.to_str())
@@ -45,14 +58,34 @@ class Encoder:
         self.token_bytes = np.zeros(self.width, np.int64)
         for token, number in vocabulary.items():
             self.token_bytes[number] = len(token)
+        self.marks = dict(zip(MARKS, self._whole(list(MARKS)), strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of ' ' + word for words that neither begin nor end with white space: many in one call,
-        told apart by the bytes their tokens stand for."""
+    def _learn(self, words: set[str]) -> None:
+        """Ids of ' ' + word for words that neither begin nor end with white space."""
+        chunks, older = self.chunks, self.older
+        for word in words & older.keys():
+            chunks[word] = older[word]
+        new = words - older.keys()
+        # A mark behind nothing but letters is split off before any merge.
+        marked = [w for w in new if w[-1] in MARKS and w[:-1].isalpha() and max(w) < LATIN_END]
+        bare = new.difference(marked).union(w[:-1] for w in marked) - chunks.keys()
+        self.learned |= bare | new
+        letters = [w for w in bare if w.isascii() and w.isalpha()]
+        # ASCII letters stand for themselves in a byte-level vocabulary, and make one piece to merge.
+        merge = self.library.model.tokenize
+        for word in letters:
+            ids = [token.id for token in merge(SPACE + word)]
+            chunks[word] = struct.pack(f"<{len(ids)}I", *ids)
+        self._learn_joined(list(bare.difference(letters)))
+        for word in marked:
+            chunks[word] = chunks[word[:-1]] + self.marks[word[-1]]
+
+    def _learn_joined(self, words: list[str]) -> None:
+        """Many in one call, told apart by the bytes their tokens stand for."""
         for k in range(0, len(words), CALL_CHUNKS):
             some = words[k : k + CALL_CHUNKS]
             (encoded,) = self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
@@ -66,28 +99,48 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, unsigned 32-bit little-endian, without special tokens added."""
-        if not self.splits_at_spaces:
-            return self._whole(texts)
+        out, group, size = [], [], 0
+        encode = self._by_chunk if self.splits_at_spaces else self._whole
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                out += encode(group)
+                group, size = [], 0
+        return out + (encode(group) if group else [])
+
+    def _by_chunk(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
+            self.chunks, self.older = {}, self.chunks
         parts = [text.split(" ") for text in texts]
         unseen = {w for p in parts for w in p[1:]} - self.chunks.keys()
-        plain = [w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()]
+        self.learned: set[str] = set()
+        plain = {w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()}
         self._learn(plain)
         if len(plain) < len(unseen):
             parts = [p if unseen.isdisjoint(p) else _joined(p) for p in parts]
             more = {w for p in parts for w in p[1:-1]} - self.chunks.keys()
-            self._learn(list(more))
+            self._learn(more)
         heads = self._whole([p[0] for p in parts])
         known = self.chunks.get
         out = []
         for head, p in zip(heads, parts, strict=True):
             last = known(p[-1]) if len(p) > 1 else b""
-            if last is None:  # it ends with white space
+            if last is None:  # it ends with white space, or stands alone behind a space
                 (last,) = self._whole([" " + p[-1]])
             out.append(head + b"".join(map(self.chunks.__getitem__, p[1:-1])) + last)
+        self._forget_new(self.learned)
         return out
 
+    def _forget_new(self, words: set[str]) -> None:
+        """Most chunks never come again: keep those of a group that were met before."""
+        met = self.met
+        for word in words & self.chunks.keys():
+            at = hash(word) % MET
+            if not met[at]:
+                met[at] = 1
+                del self.chunks[word]
+
 
 def _joined(parts: list[str]) -> list[str]:
     """Parts put together again where the space between them touches other white space."""
