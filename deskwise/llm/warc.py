@@ -45,8 +45,9 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _record_id(page_id, row: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page/{page_id}/{row}')}>"
+def _record_id(page_id, digest: str, url, nth: int) -> str:
+    """The same for the same page: its id, payload, address and place among rows equal in all three."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, repr((page_id, digest, url, nth)))}>"
 
 
 def _member(fields: list[tuple[str, object]], block: bytes) -> bytes:
@@ -65,8 +66,9 @@ def _uri(url, page_id) -> str:
     return quote(url, safe="!#$%&'()*+,/:;=?@[]~") if url else f"urn:page:{page_id}"
 
 
-def _page_record(page: dict) -> bytes:
-    payload, revisit = page["payload"], page["first_row"] is not None
+def _page_record(page: dict, nth: int, first: dict | None) -> bytes:
+    """A response, or a revisit of the page ``first`` tells of."""
+    payload, revisit = page["payload"], first is not None
     digest = base32_sha1(payload)
     block = (
         f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
@@ -76,17 +78,17 @@ def _page_record(page: dict) -> bytes:
     return _member(
         [
             ("WARC-Type", "revisit" if revisit else "response"),
-            ("WARC-Record-ID", _record_id(page["page_id"], page["row"])),
+            ("WARC-Record-ID", _record_id(page["page_id"], digest, page["url"], nth)),
             ("WARC-Date", DATE),
             ("WARC-Target-URI", _uri(page["url"], page["page_id"])),
             ("Content-Type", "application/http; msgtype=response"),
             ("WARC-Payload-Digest", f"sha1:{digest}"),
             ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"),
             ("WARC-Profile", PROFILE if revisit else None),
-            ("WARC-Refers-To", _record_id(page["first_id"], page["first_row"]) if revisit else None),
+            ("WARC-Refers-To", _record_id(first["first_id"], digest, first["first_url"], 0) if revisit else None),
             ("X-Page-ID", page["page_id"]),
             ("X-Payload-Length", len(payload)),
-            ("X-Refers-To-Page-ID", page["first_id"] if revisit else None),
+            ("X-Refers-To-Page-ID", first["first_id"] if revisit else None),
         ],
         block,
     )
@@ -110,6 +112,7 @@ def _writer(folder: str, roll_bytes: int, schema: pa.Schema):
     def run(batches):
         partition, sequence, out = task()[0], 0, None
         name, records, digest, size = "", 0, None, 0
+        key, nth, first = None, 0, None
 
         def put(data: bytes) -> int:
             out.write(data)
@@ -123,13 +126,19 @@ def _writer(folder: str, roll_bytes: int, schema: pa.Schema):
         with ExitStack() as stack:
             for batch in batches:
                 for page in batch.to_pylist():
+                    own = (page["page_id"], page["sha1"], page["url"])
+                    key, nth, first = (key, nth, first) if own == key else (own, 0, None)
+                    if not page["is_page"]:
+                        first = page
+                        continue
                     if out is None:
                         name = f"pages-{partition:06d}-{sequence:05d}.warc.gz"
                         records, digest = 0, hashlib.sha1()
                         out = stack.enter_context(publishing(folder, name))
                         size = put(_info_record(name))
-                    size += put(_page_record(page))
-                    records += 1
+                    holds = not nth and first and (first["first_id"], first["first_url"]) == (own[0], own[2])
+                    size += put(_page_record(page, nth, None if holds else first))
+                    records, nth = records + 1, nth + 1
                     if size >= roll_bytes:
                         stack.close()
                         yield line()
@@ -140,30 +149,24 @@ def _writer(folder: str, roll_bytes: int, schema: pa.Schema):
     return run
 
 
-def classify(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
-    """Pages with payload, row, and for revisits first_id and first_row: the page they refer to.
+def revisits(rows: DataFrame, revisit_bytes: int = 0) -> DataFrame:
+    """page_id, sha1 and url of every page whose payload occurs again, with the first of its pages.
 
-    Equal payloads are counted map-side, so a payload that a third of all pages share is a few rows
-    of the shuffle; only payloads that occur twice are joined back, and adaptive execution splits a
-    skewed one.
+    Equal payloads are counted map-side, so one that a third of all pages share is a few rows of that
+    shuffle. Those that occur twice are written out and joined to pages without their payloads, where
+    adaptive execution splits a skewed one.
     """
-    rows = pages.select(
-        "page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"),
-        F.monotonically_increasing_id().alias("row"),
-    ).withColumns({"sha1": F.sha1("payload"), "bytes": F.octet_length("payload")})
-    repeated = (
+    repeated = held(
         rows.where(F.col("bytes") >= revisit_bytes)
         .groupBy("sha1", "bytes")
-        .agg(F.min(rank_struct("page_id", F.col("row"))).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(rank_struct("page_id", F.col("url"))).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("sha1", "bytes", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"))
+        .select("sha1", "bytes", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url")),
+        "repeated-payloads",
     )
-    joined = rows.join(repeated, ["sha1", "bytes"], "left")
-    own = F.col("first_row").isNull() | (F.col("first_row") == F.col("row"))
-    return joined.select(
-        "page_id", "url", "payload", "row",
-        F.when(~own, F.col("first_id")).alias("first_id"),
-        F.when(~own, F.col("first_row")).alias("first_row"),
+    return (
+        rows.select("page_id", "url", "sha1", "bytes").join(repeated, ["sha1", "bytes"])
+        .select("page_id", "sha1", "url", "first_id", "first_url").distinct()
     )
 
 
@@ -172,13 +175,32 @@ def write_archives(
 ) -> DataFrame:
     """Write a record per page (page_id, url, html) and return the manifest of files.
 
-    A null html is an empty payload. Pages without a page_id come first and are named by their row;
-    among equal payloads they are chosen to hold it only if no page has an id. Rows that repeat a page
-    are records of their own, the first of them holding the payload. No pages: no files.
+    A null html is an empty payload. Pages without a page_id come first, and among equal payloads they
+    are chosen to hold it only if no page has an id; ties of id go by url. Rows that repeat a page are
+    records of their own, the first of them holding the payload. No pages: no files.
+
+    What a page refers to travels as a row of its own that sorts right before the page, so payloads
+    are shuffled once, by the range partitioning.
     """
     ship(pages.sparkSession)
     manifest = typed(MANIFEST)
-    ordered = classify(pages, revisit_bytes).repartitionByRange("page_id", "row").sortWithinPartitions("page_id", "row")
+    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = pages.select(
+        "page_id", "url", payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha1"),
+        F.octet_length(payload).alias("bytes"),
+    )
+    none = F.lit(None)
+    both = rows.select(
+        "page_id", "sha1", "url", F.lit(True).alias("is_page"), "payload",
+        none.cast(rows.schema["page_id"].dataType).alias("first_id"), none.cast("string").alias("first_url"),
+    ).unionByName(
+        revisits(rows, revisit_bytes).select(
+            "page_id", "sha1", "url", F.lit(False).alias("is_page"), none.cast("binary").alias("payload"),
+            "first_id", "first_url",
+        )
+    )
+    key = ["page_id", "sha1", "url"]
+    ordered = both.repartitionByRange(*key).sortWithinPartitions(*key, "is_page")
     return held(ordered.mapInArrow(_writer(folder, roll_bytes, arrow_schema(manifest)), manifest), "warc-manifest")
 
 
