@@ -18,6 +18,7 @@ from deskwise.settings import RunPlan, Settings, instant
 from deskwise.sources import landing, ledger, schemas
 from deskwise.sources.tables import (
     MONTH,
+    WIDTH,
     Folder,
     Layout,
     Warehouse,
@@ -25,7 +26,7 @@ from deskwise.sources.tables import (
     overwrite_table,
     read_table,
     upsert_table,
-    widen_shuffles,
+    shuffle_width,
     write_extract,
 )
 
@@ -58,7 +59,9 @@ class Job:
     def widen(self) -> int:
         """Size this run's shuffles by its largest tables."""
         stored = [self.path(RAW, "service_requests"), self.path(MARTS, "fct_requests")]
-        return widen_shuffles(self.spark, stored)
+        width = shuffle_width(self.spark, stored)
+        self.spark.conf.set(WIDTH, str(width))
+        return width
 
     # Landing
 
@@ -171,11 +174,7 @@ class Job:
         return upsert_table(self.spark, self.path(MARTS, "fct_requests"), batch, FACT_LAYOUT)
 
     def snapshot(self, staged: DataFrame) -> DataFrame:
-        """Append the versions that opened since the last run; returns the history.
-
-        The new rows are derived from the stored versions and appended to them: Spark plans the read
-        from the files listed before the append starts.
-        """
+        """Append the versions that opened since the last run; returns the history."""
         path = self.path(MARTS, "request_status_versions")
         source = facts.snapshot_source(staged, self.settings)
         fresh = history.new_versions(
@@ -204,7 +203,7 @@ class Job:
         }
         for name, rows in extracts.items():
             write_extract(rows, self.path(REPORTS, name))
-        return {name: self.spark.read.parquet(self.path(REPORTS, name)) for name in extracts}
+        return {name: self.read(REPORTS, name) for name in extracts}
 
 
 def run_nightly(

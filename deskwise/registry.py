@@ -32,12 +32,9 @@ AGENCY = "A1"
 class Feed:
     """The models over one adapter, each built on first use and all of them lazy."""
 
-    sources: tuple[str, ...] = ()
-
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings):
         # Streams and date parts read zoned timestamps in the session zone.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        tables.widen_shuffles(spark, [f"{sf_dir}/{name}.parquet" for name in self.sources])
         self.spark, self.sf_dir, self.settings = spark, sf_dir, settings
 
     def table(self, name: str) -> DataFrame:
@@ -57,8 +54,8 @@ class Feed:
 
     @cached_property
     def weather(self) -> DataFrame:
-        """One row per day of a bounded calendar (see ``adapters.weather_from``)."""
-        return F.broadcast(intermediate.int_weather_banded(self.staged_weather))
+        """One row per day; adaptive execution measures it and picks the join."""
+        return intermediate.int_weather_banded(self.staged_weather)
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -104,7 +101,6 @@ class Feed:
 
 
 class Events(Feed):
-    sources = ("events",)
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = adapters.EVENTS):
         super().__init__(spark, sf_dir, settings)
@@ -141,7 +137,6 @@ class Extract(Events):
 
 
 class Orders(Feed):
-    sources = ("orders", "lineitem", "customer")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir, adapters.ORDERS)
@@ -680,7 +675,7 @@ def source_freshness(spark, sf):
     sources = {
         "service_requests": feed.raw,
         "weather_daily": feed.raw_weather,
-        "loads": feed.loads.where(F.col("status") == 0),
+        "loads": feed.loads,
     }
     return checks.freshness(sources, feed.settings)
 
@@ -721,16 +716,24 @@ def stream_dedup(spark, sf):
     return spark.read.schema(events.schema).parquet(f"{out}/rows")
 
 
+DEMAND_LAYOUT = tables.Layout(["service_date", "event_type"], "service_date")
+
+
 def stream_daily_demand(spark, sf):
-    """Requests per local day and type, emitted once a day lies two days behind the newest row."""
+    """Requests per local day and type, as current as the newest row: each micro-batch hands on the
+    counts it changed, which replace the stored ones by key."""
     out = scratch_dir(spark, "stream-demand")
     events = _event_stream(spark, sf)
     local = events.withColumn(
         "local_ts", F.convert_timezone(F.lit("UTC"), F.lit(adapters.EVENTS.local_tz), F.col("ts"))
     )
     demand = jobs.daily_demand(local, "local_ts", "event_type", "2 days")
-    jobs.to_files(demand, f"{out}/rows", f"{out}/checkpoint")
-    return spark.read.schema(demand.schema).parquet(f"{out}/rows")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        tables.upsert_table(batch.sparkSession, f"{out}/table", batch, DEMAND_LAYOUT)
+
+    jobs.run_available(demand, f"{out}/checkpoint", merge, "update")
+    return tables.read_table(spark, f"{out}/table").drop(tables.MONTH)
 
 
 QUERIES: dict[str, Query] = {

@@ -39,11 +39,13 @@ def build_session(app: str = "deskwise", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediates, under the folder all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only a session without one (tests, a laptop)
-    gets a local temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; only a local session without one (tests, a
+    laptop) gets a temporary folder. Elsewhere every executor would write to its own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="deskwise-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -149,22 +149,15 @@ def requests_from_orders(
     )
 
 
-def weather_from(rows: DataFrame, moment: str, one: str, other: str, settings: Settings) -> DataFrame:
+def weather_from(rows: DataFrame, moment: str, one: str, other: str) -> DataFrame:
     """One observation per UTC day of a table, with every seventh day of the month missing.
 
-    Grouped by day and clipped to the calendar of the run, so the result holds at most a few hundred
-    rows a year: that bound is what allows callers to broadcast it. Only remainders are summed, so
-    the totals cannot overflow however large the table is.
+    Only remainders are summed, so the totals cannot overflow however large the table is.
     """
     first, second = F.col(one), F.col(other)
     daily = (
         rows.select(F.col(moment).cast("date").alias("observed_on"), one, other)
-        .where(
-            (F.dayofmonth("observed_on") % 7 != 0)
-            & F.col("observed_on").between(
-                F.date_sub(F.lit(settings.spine_start), 1), F.lit(settings.spine_end)
-            )
-        )
+        .where(F.dayofmonth("observed_on") % 7 != 0)
         .groupBy("observed_on")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -190,11 +183,11 @@ def weather_from(rows: DataFrame, moment: str, one: str, other: str, settings: S
 
 
 def weather_from_events(events: DataFrame) -> DataFrame:
-    return weather_from(events, "ts", "event_id", "user_id", EVENTS)
+    return weather_from(events, "ts", "event_id", "user_id")
 
 
 def weather_from_orders(orders: DataFrame) -> DataFrame:
-    return weather_from(orders, "o_orderdate", "o_orderkey", "o_custkey", ORDERS)
+    return weather_from(orders, "o_orderdate", "o_orderkey", "o_custkey")
 
 
 def loads_from_events(events: DataFrame) -> DataFrame:

@@ -18,7 +18,10 @@ COMPLETE = 0
 
 
 def record_load(spark: SparkSession, path: str, load_id: str, at: datetime, status: int = COMPLETE) -> None:
-    append_rows(spark.createDataFrame([(load_id, status, at)], schemas.LOADS), path)
+    """One row per load: a run that is repeated finds its row there and adds none."""
+    done = read_table(spark, path)
+    if done is None or done.where(F.col("load_id") == load_id).isEmpty():
+        append_rows(spark.createDataFrame([(load_id, status, at)], schemas.LOADS), path)
 
 
 def read_loads(spark: SparkSession, path: str) -> DataFrame:

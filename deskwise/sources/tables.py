@@ -1,7 +1,11 @@
-"""Parquet tables: naming, month-partitioned clustered sinks, and the keyed upsert job.
-
-Every write is one Spark job into a fresh folder; publishing it is a rename per touched month. No
-step reads a folder it is overwriting, and a run that dies between the two is finished by the next.
+"""Parquet tables published by manifest: naming, month-partitioned clustered sinks, keyed upsert.
+
+A write goes to a folder of its own, ``table_version=<id>``, and becomes part of the table when a new
+numbered manifest lists it. The manifest names the live folders and the schema, so a table always is
+what one manifest says: readers take the newest and change nothing, a run that dies before its
+manifest leaves the table as it was, and months that a write does not touch stay where they are.
+There is one writer: a manifest whose number exists already is never replaced, the later of two
+writers fails. ``vacuum`` deletes folders that the kept manifests no longer list.
 """
 
 from __future__ import annotations
@@ -20,10 +24,9 @@ from deskwise.operators.upsert import newest_per_key, replace_rows
 
 MONTH = "month_part"
 NO_MONTH = "none"
-# Bookkeeping files; readers skip names that begin with an underscore.
-SCHEMA_FILE = "_schema.json"
-PUBLISH_FILE = "_publish.json"
-EMPTIED_FILE = "_emptied.json"
+VERSION = "table_version"
+# Readers of plain Parquet skip names that begin with an underscore.
+MANIFESTS = "_manifests"
 
 
 @dataclass(frozen=True)
@@ -95,77 +98,121 @@ class Folder:
             source.close()
 
 
-# Stored bytes per shuffle partition to aim for, and the most partitions worth having.
+# Stored bytes per shuffle partition to aim for.
 PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 20_000
 WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def widen_shuffles(spark: SparkSession, paths: list[str]) -> int:
-    """Start shuffles wide enough that a partition of the inputs fits in executor memory.
+def shuffle_width(spark: SparkSession, paths: list[str]) -> int:
+    """Partitions for the shuffles of a run over stored inputs, at least as many as configured.
 
     AQE packs small partitions together but never splits an aggregation's, so the starting width has
-    to follow the data. It is only ever raised. Returns the width.
+    to follow the data. A job sets WIDTH to it for its session; queries leave the session alone.
     """
     configured = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(WIDTH, None) or 0)
     )
     stored = sum(Folder(spark, p).size() for p in paths)
-    width = max(configured, min(-(-stored // PARTITION_BYTES), MAX_PARTITIONS))
-    if width > configured:
-        spark.conf.set(WIDTH, str(width))
-    return width
+    return max(configured, -(-stored // PARTITION_BYTES))
 
 
-def write_clustered(rows: DataFrame, path: str, layout: Layout) -> None:
-    """Month partitions whose files are sorted by the cluster columns.
+@dataclass(frozen=True)
+class Manifest:
+    """One state of a table: its schema and the live folders, relative to the table."""
 
-    REBALANCE lets AQE size the write tasks from the measured shuffle: a month (or one cluster value)
-    with a third of all rows is split over many tasks, and small ones are packed together.
-    """
+    number: int
+    schema: T.StructType
+    folders: list[str]
+
+    def text(self) -> str:
+        return json.dumps({"schema": self.schema.json(), "folders": self.folders})
+
+
+def _name(number: int) -> str:
+    return f"{number:012d}.json"
+
+
+def manifests(spark: SparkSession, path: str) -> list[int]:
+    names = Folder(spark, f"{path}/{MANIFESTS}").names()
+    return sorted(int(n.split(".")[0]) for n in names if n[0].isdigit())
+
+
+def latest(spark: SparkSession, path: str) -> Manifest | None:
+    numbers = manifests(spark, path)
+    if not numbers:
+        return None
+    stored = json.loads(Folder(spark, f"{path}/{MANIFESTS}").read_text(_name(numbers[-1])))
+    return Manifest(numbers[-1], T.StructType.fromJson(json.loads(stored["schema"])), stored["folders"])
+
+
+def publish(spark: SparkSession, path: str, after: Manifest | None, schema: T.StructType, folders: list[str]) -> Manifest:
+    """The state that follows ``after``. It is complete before it takes its name."""
+    manifest = Manifest((after.number if after else 0) + 1, schema, folders)
+    home, name = Folder(spark, f"{path}/{MANIFESTS}"), _name(manifest.number)
+    pending = f"_{uuid.uuid4().hex}"
+    home.write_text(pending, manifest.text())
+    if home.exists(name) or not home.fs.rename(home._at(pending), home._at(name)):
+        home.delete(pending)
+        raise RuntimeError(f"{path} was written by another run meanwhile")
+    return manifest
+
+
+def _write_version(rows: DataFrame, path: str, layout: Layout | None) -> tuple[T.StructType, list[str]]:
+    """Write rows to a new version; its schema and folders. Nothing reads it yet."""
+    version = f"{VERSION}={uuid.uuid4().hex}"
+    target = f"{path}/{version}"
+    if layout is None:
+        rows.write.parquet(target)
+        return rows.schema, [version]
     order = [MONTH, *layout.cluster_by]
     labelled = rows.withColumn(MONTH, layout.month())
-    (
-        labelled.hint("rebalance", *order)
-        .sortWithinPartitions(*order)
-        .write.partitionBy(MONTH)
-        .parquet(path)
-    )
-    _record_schema(Folder(rows.sparkSession, path), labelled.schema)
+    # REBALANCE lets AQE size the write tasks from the measured shuffle: a month (or one cluster value)
+    # with a third of all rows is split over many tasks, and small ones are packed together.
+    labelled.hint("rebalance", *order).sortWithinPartitions(*order).write.partitionBy(MONTH).parquet(target)
+    months = [n for n in Folder(rows.sparkSession, target).names() if n.startswith(f"{MONTH}=")]
+    return labelled.schema, [f"{version}/{m}" for m in sorted(months)]
+
+
+def _month_of(folder: str) -> str:
+    return folder.rsplit(f"{MONTH}=", 1)[1] if MONTH in folder else ""
+
+
+def _merged(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """The stored columns, then those that are new; a stored column is never dropped."""
+    if old is None:
+        return new
+    known = {f.name for f in old.fields}
+    return T.StructType([*old.fields, *(f for f in new.fields if f.name not in known)])
+
+
+def write_clustered(rows: DataFrame, path: str, layout: Layout) -> None:
+    """Month partitions whose files are sorted by the cluster columns, as the table's whole contents."""
+    overwrite_table(rows, path, layout)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None before its first write.
+    """The table, or None before its first write. Reads what the newest manifest lists.
 
-    The schema comes from the table folder, so no file footers are merged however many files there
-    are; files written before a column was added read as nulls in it.
+    The schema comes from the manifest, so no file footers are merged however many files there are;
+    files written before a column was added read as nulls in it.
     """
-    finish_publish(spark, path)
-    folder = Folder(spark, path)
-    if not folder.exists(SCHEMA_FILE):
-        return None
-    schema = T.StructType.fromJson(json.loads(folder.read_text(SCHEMA_FILE)))
-    return spark.read.schema(schema).parquet(path)
+    manifest = latest(spark, path)
+    return None if manifest is None else _read(spark, path, manifest, manifest.folders)
 
 
-def _record_schema(folder: Folder, schema: T.StructType) -> None:
-    folder.write_text(SCHEMA_FILE, schema.json())
+def _read(spark: SparkSession, path: str, manifest: Manifest, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], manifest.schema)
+    schema = T.StructType([*manifest.schema.fields, T.StructField(VERSION, T.StringType())])
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[f"{path}/{f}" for f in folders]).select(*manifest.schema.names)
 
 
 def overwrite_table(rows: DataFrame, path: str, layout: Layout | None = None) -> None:
-    """Replace a table in full. The new contents are complete before the old ones go."""
+    """Replace a table in full. Readers see the old contents or the new."""
     spark = rows.sparkSession
-    staged = f"{path}__new-{uuid.uuid4().hex}"
-    if layout is None:
-        rows.write.parquet(staged)
-        _record_schema(Folder(spark, staged), rows.schema)
-    else:
-        write_clustered(rows, staged, layout)
-    parent, table = path.rsplit("/", 1)
-    Folder(spark, path).delete()
-    home = Folder(spark, parent)
-    if not home.fs.rename(Folder(spark, staged)._at(), home._at(table)):
-        raise OSError(f"could not move {staged} to {path}")
+    before = latest(spark, path)
+    publish(spark, path, before, *_write_version(rows, path, layout))
 
 
 def upsert_table(
@@ -182,68 +229,76 @@ def upsert_table(
     batch and those where its keys are stored now. The batch is written out first: it is read
     several times below, and it may itself be derived from the table.
     """
-    finish_publish(spark, path)
+    before = latest(spark, path)
     if version is not None:
         batch = newest_per_key(batch, layout.keys, [version.desc_nulls_last(), *(tiebreak or [])])
-    if not Folder(spark, path).exists():
-        overwrite_table(batch, path, layout)
-        return sorted(n.split("=", 1)[1] for n in Folder(spark, path).names() if "=" in n)
+    if before is None:
+        schema, folders = _write_version(batch, path, layout)
+        publish(spark, path, None, schema, folders)
+        return sorted(map(_month_of, folders))
 
     held = f"{path}__batch-{uuid.uuid4().hex}"
     batch.withColumn(MONTH, layout.month()).write.parquet(held)
     batch = spark.read.parquet(held)
-    target = read_table(spark, path)
+    target = _read(spark, path, before, before.folders)
     stored = target.select(*layout.keys, MONTH).join(batch.select(*layout.keys), layout.keys, "left_semi")
     # Month labels only: a dozen a year, whatever the size of the table.
     touched = sorted(
         r[0] for r in stored.select(MONTH).union(batch.select(MONTH)).distinct().collect()
     )
     if touched:
+        own = [f for f in before.folders if _month_of(f) in touched]
         merged = replace_rows(
-            target.where(F.col(MONTH).isin(touched)).drop(MONTH),
-            batch.drop(MONTH),
-            layout.keys,
-            version,
+            _read(spark, path, before, own).drop(MONTH), batch.drop(MONTH), layout.keys, version
         )
-        staged = Folder(spark, f"{path}__staged")
-        staged.delete()
-        write_clustered(merged, staged.path, layout)
-        staged.write_text(PUBLISH_FILE, json.dumps([f"{MONTH}={m}" for m in touched]))
-        finish_publish(spark, path)
+        schema, folders = _write_version(merged, path, layout)
+        rest = [f for f in before.folders if _month_of(f) not in touched]
+        publish(spark, path, before, _merged(before.schema, schema), rest + folders)
     Folder(spark, held).delete()
     return touched
 
 
-def finish_publish(spark: SparkSession, path: str) -> None:
-    """Move staged months into place; also resumes a publish that was cut short.
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Add rows to an unpartitioned table. Columns that only one side has are null in the other."""
+    spark = rows.sparkSession
+    before = latest(spark, path)
+    schema, folders = _write_version(rows, path, None)
+    publish(
+        spark, path, before, _merged(before and before.schema, schema), (before.folders if before else []) + folders
+    )
 
-    The staged folder lists its months once its data is complete. A listed month that is still
-    staged replaces the live one; a listed month that neither staged nor stayed was emptied.
-    """
-    staged, live = Folder(spark, f"{path}__staged"), Folder(spark, path)
-    if not staged.exists(PUBLISH_FILE):
-        return
-    if not staged.exists(EMPTIED_FILE):
-        months = json.loads(staged.read_text(PUBLISH_FILE))
-        staged.write_text(EMPTIED_FILE, json.dumps(sorted(set(months) - set(staged.names()))))
-    for month in json.loads(staged.read_text(EMPTIED_FILE)):
-        live.delete(month)
-    for month in [n for n in staged.names() if n.startswith(f"{MONTH}=")]:
-        live.delete(month)
-        staged.move_in(month, live)
-    live.write_text(SCHEMA_FILE, staged.read_text(SCHEMA_FILE))
-    staged.delete()
 
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete versions that none of the newest ``keep`` manifests lists, and older manifests.
 
-def append_rows(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
-    _record_schema(Folder(rows.sparkSession, path), rows.schema)
+    Not to be run beside a writer; readers of kept states are not disturbed.
+    """
+    numbers = manifests(spark, path)
+    home, table = Folder(spark, f"{path}/{MANIFESTS}"), Folder(spark, path)
+    kept = numbers[-keep:]
+    live = {f for n in kept for f in json.loads(home.read_text(_name(n)))["folders"]}
+    gone = []
+    for version in [n for n in table.names() if n.startswith(f"{VERSION}=")]:
+        inside = [n for n in Folder(spark, f"{path}/{version}").names() if n.startswith(f"{MONTH}=")]
+        if version in live:
+            continue
+        dead = [m for m in inside if f"{version}/{m}" not in live]
+        if len(dead) == len(inside):
+            table.delete(version)
+            gone.append(version)
+        else:
+            for month in dead:
+                table.delete(f"{version}/{month}")
+                gone.append(f"{version}/{month}")
+    for number in numbers[:-keep]:
+        home.delete(_name(number))
+    return gone
 
 
 def write_extract(rows: DataFrame, path: str) -> None:
     """A report extract: thousands of rows, which AQE packs into one file or a few. Coalescing here
-    would instead pull the last aggregation into a single task."""
-    rows.write.mode("overwrite").parquet(path)
+    would instead pull the last aggregation into a single task. Readers see the old one or the new."""
+    overwrite_table(rows, path)
 
 
 def materialise(
@@ -258,4 +313,4 @@ def materialise(
         "table": lambda: overwrite_table(rows, path, layout),
     }
     kinds[kind]()
-    return spark.read.parquet(path) if kind == "table" else rows
+    return read_table(spark, path) if kind == "table" else rows

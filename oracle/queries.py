@@ -310,15 +310,14 @@ SELECTS: dict[str, str] = {
         [
             aged("service_requests", "select max(created_date) from ev_raw", 72, 168),
             aged("weather_daily", "select max(observed_on)::timestamp from ev_wx_raw", 192, 336),
-            aged("loads", "select max(inserted_at) from ev_loads where status = 0", 36, 72),
+            aged("loads", "select max(inserted_at) from ev_loads", 36, 72),
         ]
     ),
     "stream_upsert": "select * from ev_raw",
     "stream_dedup": "select * from events",
     "stream_daily_demand": """with t as (
         select ((ts at time zone 'UTC') at time zone 'America/New_York') as local_ts, event_type from events)
-      select local_ts::date as service_date, event_type, count(*) as requests_created from t
-      where local_ts::date + interval 1 day <= (select max(local_ts) - interval 2 day from t) group by all""",
+      select local_ts::date as service_date, event_type, count(*) as requests_created from t group by all""",
 }
 
 

@@ -55,7 +55,7 @@ def measured(source: str, seed: str) -> str:
     from {source} s left join {seed} c using (complaint_type)"""
 
 
-def weather_raw(table: str, moment: str, one: str, other: str, low: str, high: str) -> str:
+def weather_raw(table: str, moment: str, one: str, other: str) -> str:
     return f"""
     select d as observed_on, mean + 5 as temperature_2m_max, mean - 5 as temperature_2m_min,
       mean as temperature_2m_mean, rain as precipitation_sum, rain as rain_sum, snow as snowfall_sum,
@@ -66,7 +66,6 @@ def weather_raw(table: str, moment: str, one: str, other: str, low: str, high: s
         greatest(sum({other}) % 240 - 60, 0)::double / 10 as rain,
         greatest(sum({one}) % 110 - 50, 0)::double / 10 as snow
       from {table}
-      where {moment}::date between date '{low}' - 1 and date '{high}'
       group by 1 having day({moment}::date) % 7 <> 0)"""
 
 
@@ -266,7 +265,7 @@ TABLES: dict[str, str] = {
       t(complaint_type, service_category, service_subcategory, is_weather_sensitive)""",
     "ev_stg": staged("ev_raw"),
     "ev_int": measured("ev_stg", "ev_seed"),
-    "ev_wx_raw": weather_raw("events", "ts", "event_id", "user_id", "2023-01-01", "2025-01-31"),
+    "ev_wx_raw": weather_raw("events", "ts", "event_id", "user_id"),
     "ev_wx_stg": weather_staged("ev_wx_raw"),
     "ev_wx": weather_banded("ev_wx_stg"),
     "ev_cal": calendar("2023-01-01", "2025-01-31"),
@@ -318,9 +317,7 @@ TABLES: dict[str, str] = {
       t(complaint_type, service_category, service_subcategory, is_weather_sensitive)""",
     "od_stg": staged("od_raw"),
     "od_int": measured("od_stg", "od_seed"),
-    "od_wx_raw": weather_raw(
-        "orders", "o_orderdate", "o_orderkey", "o_custkey", "1995-01-01", "2000-12-31"
-    ),
+    "od_wx_raw": weather_raw("orders", "o_orderdate", "o_orderkey", "o_custkey"),
     "od_wx_stg": weather_staged("od_wx_raw"),
     "od_wx": weather_banded("od_wx_stg"),
     "od_cal": calendar("1995-01-01", "2000-12-31"),

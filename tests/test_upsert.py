@@ -72,43 +72,99 @@ def test_a_hot_key_leaves_each_task_as_one_row(spark):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
+def months_of(spark, path):
+    """Month to the folder that holds it in the newest state."""
+    return {f.rsplit("=", 1)[1]: f for f in tables.latest(spark, path).folders}
+
+
+def four_months(spark, path):
+    rows = [(f"k{i}", datetime(2026, 1 + i, 5), START, "a") for i in range(4)]
+    tables.upsert_table(spark, path, spark.createDataFrame(rows, DDL), LAYOUT)
+    return rows
+
+
 def test_untouched_months_are_not_rewritten(spark, folder):
     path = f"{folder}/table"
-    days = ["2026-01-05", "2026-02-05", "2026-03-05"]
-    rows = [(f"k{i}", datetime.fromisoformat(d), START, "a") for i, d in enumerate(days)]
-    tables.upsert_table(spark, path, spark.createDataFrame(rows, DDL), LAYOUT)
-    month = f"{tables.MONTH}=2026-01"
-    before = Folder(spark, f"{path}/{month}").names()
+    four_months(spark, path)
+    before = months_of(spark, path)
     change = [("k1", datetime(2026, 3, 1), START, "b")]
     touched = tables.upsert_table(spark, path, spark.createDataFrame(change, DDL), LAYOUT)
     assert touched == ["2026-02", "2026-03"]
-    assert Folder(spark, f"{path}/{month}").names() == before
-    # k1 was February's only row: its folder is gone.
-    assert not Folder(spark, path).exists(f"{tables.MONTH}=2026-02")
-    assert rows_of(tables.read_table(spark, path), "k", "text") == [("k0", "a"), ("k1", "b"), ("k2", "a")]
+    after = months_of(spark, path)
+    assert after["2026-01"] == before["2026-01"] and after["2026-03"] != before["2026-03"]
+    # k1 was February's only row.
+    assert "2026-02" not in after
+    got = rows_of(tables.read_table(spark, path), "k", "text")
+    assert got == [("k0", "a"), ("k1", "b"), ("k2", "a"), ("k3", "a")]
 
 
-def test_a_publish_cut_short_is_finished_by_the_next_reader(spark, folder, monkeypatch):
+def test_a_reader_sees_one_state_and_changes_nothing(spark, folder):
     path = f"{folder}/table"
-    rows = [(f"k{i}", datetime(2026, 1 + i, 5), START, "a") for i in range(4)]
-    tables.upsert_table(spark, path, spark.createDataFrame(rows, DDL), LAYOUT)
-    moved = []
-
-    def fail_on_second(self, name, target, real=Folder.move_in):
-        if len(moved) == 1:
-            raise OSError("lost")
-        moved.append(name)
-        real(self, name, target)
+    rows = four_months(spark, path)
+    early = tables.read_table(spark, path)  # planned before, read after the write
+    changed = [(k, day, v, "b") for k, day, v, _ in rows]
+    tables.upsert_table(spark, path, spark.createDataFrame(changed, DDL), LAYOUT)
+    assert {t for _, t in rows_of(early, "k", "text")} == {"a"}
+    assert {t for _, t in rows_of(tables.read_table(spark, path), "k", "text")} == {"b"}
+    assert tables.manifests(spark, path) == [1, 2]
+
+
+@pytest.mark.parametrize("step", ["_write_version", "publish"])
+@pytest.mark.parametrize("write", ["upsert", "overwrite", "append", "first append"])
+def test_a_run_that_dies_leaves_the_table_as_it_was(spark, folder, monkeypatch, step, write):
+    path = f"{folder}/table"
+    if write != "first append":
+        tables.overwrite_table(spark.createDataFrame([("k0", datetime(2026, 1, 5), START, "a")], DDL), path, LAYOUT if write == "upsert" else None)
+    batch = spark.createDataFrame([("k1", datetime(2026, 1, 6), START, "b")], DDL)
+    run = {
+        "upsert": lambda: tables.upsert_table(spark, path, batch, LAYOUT),
+        "overwrite": lambda: tables.overwrite_table(batch, path),
+    }.get(write, lambda: tables.append_rows(batch, path))
+    real = getattr(tables, step)
+
+    def die(*args, **kwargs):
+        if step == "_write_version":
+            real(*args, **kwargs)  # the files are there, the manifest is not
+        raise OSError("lost")
 
-    changed = [(k, day, v, "b") for k, day, v, _ in rows[:3]]
     with monkeypatch.context() as patch:
-        patch.setattr(Folder, "move_in", fail_on_second)
+        patch.setattr(tables, step, die)
         with pytest.raises(OSError, match="lost"):
-            tables.upsert_table(spark, path, spark.createDataFrame(changed, DDL), LAYOUT)
-    assert len(moved) == 1
+            run()
+    stored = tables.read_table(spark, path)
+    assert (stored is None) if write == "first append" else rows_of(stored, "k") == [("k0",)]
+    run()
+    want = {"overwrite": [("k1",)], "first append": [("k1",)]}.get(write, [("k0",), ("k1",)])
+    assert rows_of(tables.read_table(spark, path), "k") == want
+
+
+def test_the_later_of_two_writers_fails(spark, folder):
+    path = f"{folder}/table"
+    four_months(spark, path)
+    before = tables.latest(spark, path)
+    tables.publish(spark, path, before, before.schema, before.folders)
+    with pytest.raises(RuntimeError, match="another run"):
+        tables.publish(spark, path, before, before.schema, [])
+    assert tables.read_table(spark, path).count() == 4
+
+
+def test_a_narrower_append_keeps_the_columns(spark, folder):
+    path = f"{folder}/table"
+    tables.append_rows(spark.createDataFrame([("a", 1)], "k string, n int"), path)
+    tables.append_rows(spark.createDataFrame([("b",)], "k string"), path)
+    assert rows_of(tables.read_table(spark, path), "k", "n") == [("a", 1), ("b", None)]
+
+
+def test_vacuum_deletes_what_no_kept_state_lists(spark, folder):
+    path = f"{folder}/table"
+    rows = four_months(spark, path)
+    for text in "bcd":
+        changed = [(k, day, v, text) for k, day, v, _ in rows[:2]]
+        tables.upsert_table(spark, path, spark.createDataFrame(changed, DDL), LAYOUT)
+    assert tables.vacuum(spark, path) and tables.manifests(spark, path) == [3, 4]
     got = rows_of(tables.read_table(spark, path), "k", "text")
-    assert got == [("k0", "b"), ("k1", "b"), ("k2", "b"), ("k3", "a")]
-    assert not Folder(spark, f"{path}__staged").exists()
+    assert got == [("k0", "d"), ("k1", "d"), ("k2", "a"), ("k3", "a")]
+    assert tables.vacuum(spark, path) == []
 
 
 def test_columns_are_added_not_lost(spark, folder):
@@ -173,18 +229,7 @@ def test_a_null_version_never_blocks_a_correction(spark):
 def test_shuffles_widen_with_the_stored_bytes(spark, folder, monkeypatch):
     spark.range(1000).write.parquet(f"{folder}/t")
     paths = [f"{folder}/t", f"{folder}/absent"]
-    assert tables.widen_shuffles(spark, paths) == 4
-    assert spark.conf.get(tables.WIDTH, None) is None
+    assert tables.shuffle_width(spark, paths) == 4
     monkeypatch.setattr(tables, "PARTITION_BYTES", 100)
-    monkeypatch.setattr(tables, "MAX_PARTITIONS", 7)
-    try:
-        assert tables.widen_shuffles(spark, paths) == 7
-        monkeypatch.setattr(tables, "MAX_PARTITIONS", 1000)
-        wide = tables.widen_shuffles(spark, paths)
-        assert wide == -(-Folder(spark, paths[0]).size() // 100) > 7
-        assert spark.conf.get(tables.WIDTH) == str(wide)
-        # It is never lowered.
-        monkeypatch.undo()
-        assert tables.widen_shuffles(spark, paths) == wide
-    finally:
-        spark.conf.unset(tables.WIDTH)
+    assert tables.shuffle_width(spark, paths) == -(-Folder(spark, paths[0]).size() // 100) > 7
+    assert spark.conf.get(tables.WIDTH, None) is None
