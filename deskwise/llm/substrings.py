@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskwise.llm.common import arrow_schema, row_key, ship, text_of, typed
+from deskwise.llm.common import arrow_schema, held, row_key, ship, text_of, typed
 
 MIN_WORDS = 8
 SPACES = " \t\n\r\x0b\x0c"
@@ -98,11 +98,13 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # Rows equal in id and text are one document.
     found = keyed.mapInArrow(_occurrences(min_words, arrow_schema(schema)), schema)
     rank = F.struct("key_id", "key_text", "begin")
-    first = (
+    # Written out, so that it is a plain side of the join, whose skewed partitions can then be split.
+    first = held(
         found.groupBy("high", "low")
         .agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
         .where("first != last")
-        .select("high", "low", "first")
+        .select("high", "low", "first"),
+        "repeated-digests",
     )
     later = found.join(first, ["high", "low"]).where(rank != F.col("first"))
     return later.select("key_id", "key_text", "begin", "until").distinct()
