@@ -44,7 +44,7 @@ MANIFEST = (
     "partition int, sequence int, file string, file_tokens long, "
     "first_document long, documents long, first_token long"
 )
-DOCUMENTS = "doc_id {id}, file string, document long, file_start long, n_tokens long, ids binary"
+DOCUMENTS = "doc_id {id}, start long, n_tokens long, ids binary"
 
 
 def write_file(out, ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> None:
@@ -204,11 +204,9 @@ def _reader(folder: str, schema: pa.Schema):
                     ids = file.ids(unit["first_token"], unit["first_token"] + int(lengths.sum()))
                 ends = np.cumsum(lengths)
                 raw = [ids[a:b].astype("<u4").tobytes() for a, b in zip(ends - lengths, ends, strict=True)]
-                n = len(lengths)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays(some.column("doc_id").chunks), pa.array([unit["file"]] * n),
-                     pa.array(np.arange(n) + unit["first_document"]),
-                     pa.array(unit["first_token"] + ends - lengths), pa.array(lengths),
+                    [pa.concat_arrays(some.column("doc_id").chunks),
+                     pa.array(unit["files_before"] + unit["first_token"] + ends - lengths), pa.array(lengths),
                      pa.array(raw, pa.binary())],
                     schema=schema,
                 )
@@ -224,11 +222,13 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, id_t
     before = Window.orderBy("partition", "sequence").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("file", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("files_before"))
     documents = typed(DOCUMENTS.format(id=id_type))
-    units = manifest.select("file", "first_document", "documents", "first_token").repartition("file", "first_token")
-    rows = units.mapInArrow(_reader(folder, arrow_schema(documents)), documents)
-    return rows.join(starts, "file").select(
-        "doc_id", (F.col("files_before") + F.col("file_start")).alias("start"), "n_tokens", "ids"
+    # Units are a few rows per file; each knows where its file starts before any ids are read.
+    units = held(
+        manifest.join(starts, "file").select("file", "first_document", "documents", "first_token", "files_before"),
+        "token-units",
     )
+    spread = units.repartition("file", "first_token")
+    return spread.mapInArrow(_reader(folder, arrow_schema(documents)), documents)
 
 
 def encode_corpus(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2) -> DataFrame:
