@@ -27,10 +27,15 @@ class Table:
         self.frequencies = frequencies.astype(np.uint64)
         self.before = np.cumsum(self.frequencies) - self.frequencies
         self._lookup: np.ndarray | None = None
+        # Symbols are numbers of a vocabulary, so this has as many entries as that.
+        self.index_of = np.zeros(int(self.symbols.max(initial=0)) + 1, np.int32)
+        self.index_of[self.symbols] = np.arange(len(self.symbols))
 
     @classmethod
     def count(cls, ids: np.ndarray) -> Table:
-        symbols, n = np.unique(ids, return_counts=True)
+        every = np.bincount(ids)
+        symbols = np.flatnonzero(every)
+        n = every[symbols]
         if len(symbols) > 1 << SCALE:
             raise ValueError(f"more than {1 << SCALE} different symbols")
         scaled = np.maximum(1, n * (1 << SCALE) // n.sum())
@@ -46,20 +51,23 @@ class Table:
     def lookup(self) -> np.ndarray:
         """The index of the symbol that owns each slot."""
         if self._lookup is None:
-            self._lookup = np.repeat(np.arange(len(self.symbols)), self.frequencies.astype(np.int64))
+            self._lookup = np.repeat(
+                np.arange(len(self.symbols), dtype=np.int32), self.frequencies.astype(np.int64)
+            )
         return self._lookup
 
 
 def encode(table: Table, ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Blocks of equal length, shape (blocks, steps * LANES): their final states and their words."""
     blocks = len(ids)
-    index = np.searchsorted(table.symbols, ids).reshape(blocks, -1, LANES)
-    steps = index.shape[1]
+    # By steps, so that what a step reads lies together.
+    index = table.index_of[ids].reshape(blocks, -1, LANES).swapaxes(0, 1).copy()
+    steps = len(index)
     state = np.full((blocks, LANES), LOW)
     moved = np.empty((blocks, steps, LANES), bool)
     words = np.empty((blocks, steps, LANES), np.uint32)
     for t in range(steps - 1, -1, -1):
-        f, before = table.frequencies[index[:, t]], table.before[index[:, t]]
+        f, before = table.frequencies[index[t]], table.before[index[t]]
         full = state >= f << _ROOM
         moved[:, t], words[:, t] = full, state.astype(np.uint32)
         state = np.where(full, state >> _WORD, state)
@@ -75,15 +83,15 @@ def decode(table: Table, states: np.ndarray, words: list[np.ndarray], steps: int
     stream = np.concatenate([*words, np.zeros(1, np.uint32)]).astype(np.uint64)
     place = np.cumsum([0, *map(len, words)])[:-1]
     state = states.astype(np.uint64)
-    out = np.empty((blocks, steps, LANES), np.uint32)
+    out = np.empty((steps, blocks, LANES), np.int32)
     for t in range(steps):
         slot = state & _SLOTS
         index = lookup[slot.astype(np.int64)]
-        out[:, t] = table.symbols[index]
+        out[t] = index
         state = table.frequencies[index] * (state >> _SCALE) + slot - table.before[index]
         empty = state < LOW
         nth = np.cumsum(empty, axis=1)
         take = (place[:, None] + nth - 1)[empty]
         state[empty] = state[empty] << _WORD | stream[take]
         place = place + nth[:, -1]
-    return out.reshape(blocks, -1)
+    return table.symbols[out.swapaxes(0, 1).reshape(blocks, -1)]

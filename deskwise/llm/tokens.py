@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import struct
 from functools import lru_cache
 
@@ -21,17 +22,33 @@ import numpy as np
 CACHED_CHUNKS = 400_000
 # One byte each, by hash: chunks met before.
 MET = 1 << 23
-MARKS = ".,;:"
+MARKS = string.punctuation
 # Up to here Unicode versions do not differ in what is a letter.
 LATIN_END = "\u0250"
-# What a byte-level vocabulary writes for a space.
-SPACE = "\u0120"
+
+
+def _byte_letters() -> dict[int, int]:
+    """What a byte-level vocabulary writes for each byte: printable Latin-1 bytes stand for
+    themselves, the others are numbered from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b if b in plain else 256 + others.index(b) for b in range(256)}
+
+
+BYTE_LETTERS = _byte_letters()
+SPACE = chr(BYTE_LETTERS[0x20])
 # Chunks encoded by one call of the library.
 CALL_CHUNKS = 4096
 # Characters of text whose chunks are in memory at a time.
 GROUP_CHARS = 4 << 20
 
 
+def _is_plain(word: str) -> bool:
+    """Letters, marks, or letters and then marks."""
+    stem = word.rstrip(MARKS)
+    return not stem or stem.isalpha()
+
+
 class Encoder:
     def __init__(self, path: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
@@ -52,13 +69,16 @@ class Encoder:
             and before.get("type") == "ByteLevel"
             and not before.get("add_prefix_space")
             and before.get("use_regex", True)
-            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in kind["added_tokens"])
+            and not any(
+                " " in t["content"] or t["lstrip"] or t["rstrip"] or _is_plain(t["content"])
+                for t in kind["added_tokens"]
+            )
         )
         # In a byte-level vocabulary every character of an entry stands for one byte of text.
         self.token_bytes = np.zeros(self.width, np.int64)
         for token, number in vocabulary.items():
             self.token_bytes[number] = len(token)
-        self.marks = dict(zip(MARKS, self._whole(list(MARKS)), strict=True))
+        self.marks = lru_cache(maxsize=1 << 14)(self._piece)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -70,19 +90,30 @@ class Encoder:
         for word in words & older.keys():
             chunks[word] = older[word]
         new = words - older.keys()
-        # A mark behind nothing but letters is split off before any merge.
-        marked = [w for w in new if w[-1] in MARKS and w[:-1].isalpha() and max(w) < LATIN_END]
-        bare = new.difference(marked).union(w[:-1] for w in marked) - chunks.keys()
-        self.learned |= bare | new
-        letters = [w for w in bare if w.isascii() and w.isalpha()]
-        # ASCII letters stand for themselves in a byte-level vocabulary, and make one piece to merge.
-        merge = self.library.model.tokenize
-        for word in letters:
-            ids = [token.id for token in merge(SPACE + word)]
-            chunks[word] = struct.pack(f"<{len(ids)}I", *ids)
-        self._learn_joined(list(bare.difference(letters)))
-        for word in marked:
-            chunks[word] = chunks[word[:-1]] + self.marks[word[-1]]
+        # Letters are split from the marks behind them before any merge, and each is one piece.
+        stems, marked = {}, []
+        for word in new:
+            stem = word.rstrip(MARKS)
+            if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END):
+                stems[stem] = None
+                if len(stem) < len(word):
+                    marked.append((word, stem))
+        rest = list(new.difference(stems, (w for w, _ in marked)))
+        learned = stems.keys() - chunks.keys()
+        self.learned |= learned | new
+        for stem in learned:
+            chunks[stem] = self._piece(SPACE, stem)
+        self._learn_joined(rest)
+        marks = self.marks
+        for word, stem in marked:
+            chunks[word] = chunks[stem] + marks("", word[len(stem) :])
+
+    def _piece(self, before: str, text: str) -> bytes:
+        """Ids of what the library would not split, given in the vocabulary's letters for bytes."""
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = [token.id for token in self.library.model.tokenize(before + text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn_joined(self, words: list[str]) -> None:
         """Many in one call, told apart by the bytes their tokens stand for."""
