@@ -140,12 +140,10 @@ def count_tokens(
     whole = F.assert_true(F.col("bytes") % width == 0, F.concat(F.col("file"), F.lit(" ends within an id")))
     blocks = typed(BLOCKS)
     last = F.floor((F.col("bytes") - 1) / block_bytes)
-    units = (
-        files.where(F.col("bytes") > 0)
-        .where(whole.isNull())
-        .select("file", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
-        .repartition("file", "block")
-    )
+    some = files.where(F.col("bytes") > 0).where(whole.isNull())
+    units = some.select("file", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+    # By number: adaptive execution would pack these few bytes, and with them all searching, into one task.
+    units = units.repartition(max(1, units.count()), "file", "block")
     found = units.mapInArrow(_search(folder, separator, width, block_bytes, arrow_schema(blocks)), blocks)
     # A file has bytes / block_bytes rows here, and its size is bounded by the writer.
     file = Window.partitionBy("file")
