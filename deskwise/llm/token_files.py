@@ -227,7 +227,8 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, id_t
         manifest.join(starts, "file").select("file", "first_document", "documents", "first_token", "files_before"),
         "token-units",
     )
-    spread = units.repartition("file", "first_token")
+    # By number: adaptive execution would pack these few bytes, and with them all reading, into one task.
+    spread = units.repartition(max(1, units.count()), "file", "first_token")
     return spread.mapInArrow(_reader(folder, arrow_schema(documents)), documents)
 
 
