@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskwise.operators import history
+from deskwise.operators.quality import ERROR
 from deskwise.operators.upsert import lookback_start, moved_since
 from deskwise.plans import checks, dimensions, facts, intermediate, reports, staging
 from deskwise.settings import RunPlan, Settings, instant
@@ -30,7 +31,7 @@ from deskwise.sources.tables import (
     write_extract,
 )
 
-RAW, MARTS, REPORTS = "raw", "marts", "reports"
+RAW, MARTS, REPORTS, CHECKS = "raw", "marts", "reports", "checks"
 
 REQUESTS_LAYOUT = Layout(["unique_key"], "created_date", ["borough", "complaint_type"])
 WEATHER_LAYOUT = Layout(["observed_on"], "observed_on")
@@ -38,6 +39,14 @@ FACT_LAYOUT = Layout(["request_id"], "created_date_local", ["borough_name", "ser
 DAILY_LAYOUT = Layout(["daily_service_level_key"], "service_date", ["borough_name", "service_category"])
 
 
+class ChecksFailed(RuntimeError):
+    """Checks of a run with the outcome ``error``; its marts are stored, its reports were not written."""
+
+    def __init__(self, names: list[str]):
+        super().__init__(", ".join(names))
+        self.names = names
+
+
 @dataclass(frozen=True)
 class Job:
     spark: SparkSession
@@ -190,7 +199,20 @@ class Job:
     # Checks and reports
 
     def check(self, models: dict[str, DataFrame]) -> DataFrame:
-        return checks.run_checks(models, self.settings)
+        """Run and store all checks; raises if any of them errs. Warnings and the sources' freshness
+        are stored as well, and stop nothing."""
+        found = {
+            "results": checks.run_checks(models, self.settings),
+            "freshness": checks.freshness(models, self.settings),
+        }
+        for name, rows in found.items():
+            overwrite_table(rows, self.path(CHECKS, name))
+        results = self.read(CHECKS, "results")
+        # As many rows as there are declared checks.
+        failed = results.where(F.col("outcome") == ERROR).select("check_name").orderBy("check_name").collect()
+        if failed:
+            raise ChecksFailed([r["check_name"] for r in failed])
+        return results
 
     def report(self, models: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """The four extracts, written and read back; page queries run on these."""
@@ -214,7 +236,8 @@ def run_nightly(
     weather_body: str,
     seed: DataFrame,
 ) -> dict[str, DataFrame]:
-    """One run end to end. Any failure propagates, before the cursor of that feed is committed."""
+    """One run end to end. Any failure propagates, before the cursor of that feed is committed; a check
+    that errs raises ``ChecksFailed``, and the reports stay as the last good run left them."""
     job.widen()
     stamp = job.settings.as_of.strftime("%Y%m%d%H%M%S")
     if "requests" in plan.sources:
@@ -224,4 +247,4 @@ def run_nightly(
     job.widen()
     models = job.transform(seed)
     outcome = job.check(models)
-    return {**models, "checks": outcome, **job.report(models)}
+    return {**models, "checks": outcome, "freshness": job.read(CHECKS, "freshness"), **job.report(models)}

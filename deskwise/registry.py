@@ -446,6 +446,16 @@ def extract_audit(spark, sf):
     return audit.chunk_findings(chunks, "cursor")
 
 
+def extract_audit_edges(spark, sf):
+    """One walk per user over all pages of the table: whose first or last page holds no event of theirs."""
+    events = Events(spark, sf).events
+    page = F.floor(F.col("event_id") / PAGE)
+    chunks = events.select(F.col("user_id").alias("walk"), page.alias("chunk_no"))
+    first, last = events.agg(F.min(page)).scalar(), events.agg(F.max(page)).scalar()
+    walks = chunks.select("walk").distinct().select("walk", first.alias("first_no"), last.alias("last_no"))
+    return audit.edge_findings(chunks, walks)
+
+
 def extract_manifest(spark, sf):
     """Orders, as the manifest, of which no line has landed."""
     feed = Orders(spark, sf)
@@ -783,6 +793,7 @@ QUERIES: dict[str, Query] = {
         trailing_reload,
         payload_unpivot,
         extract_audit,
+        extract_audit_edges,
         extract_manifest,
         landing_json,
         resumable_ingest,

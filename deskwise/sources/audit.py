@@ -62,3 +62,23 @@ def chunk_findings(rows: DataFrame, cursor: str) -> DataFrame:
 def never_landed(manifest: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Keys the manifest lists that no landed chunk holds."""
     return manifest.join(rows.select(key), key, "left_anti")
+
+
+def edge_findings(rows: DataFrame, walks: DataFrame) -> DataFrame:
+    """Walks that lack their first or last chunk, which no comparison of landed neighbours can tell.
+
+    ``walks`` lists walk, first_no and last_no as the extract committed them. A walk of which nothing
+    landed has both findings, with a null landed_no.
+    """
+    landed = rows.groupBy("walk").agg(F.min("chunk_no").alias("low"), F.max("chunk_no").alias("high"))
+    ends = F.array(
+        F.struct(F.lit("missing_first").alias("finding"), F.col("first_no").alias("expected_no"),
+                 F.col("low").alias("landed_no")),
+        F.struct(F.lit("missing_last").alias("finding"), F.col("last_no").alias("expected_no"),
+                 F.col("high").alias("landed_no")),
+    )
+    return (
+        walks.join(landed, "walk", "left")
+        .select("walk", F.inline(ends))
+        .where(~F.col("expected_no").eqNullSafe(F.col("landed_no")))
+    )

@@ -267,6 +267,12 @@ SELECTS: dict[str, str] = {
     "payload_unpivot": """select * exclude (_dlt_load_id), timestamp '2024-02-01' as _extracted_at
       from ev_wx_raw""",
     "extract_audit": AUDIT,
+    "extract_audit_edges": """with pages as (select user_id as walk, event_id // 16 as page from events),
+      whole as (select min(page) as lo, max(page) as hi from pages),
+      per as (select walk, min(page) as lo, max(page) as hi from pages group by 1)
+      select walk, 'missing_first' as finding, whole.lo as expected_no, per.lo as landed_no
+        from per, whole where per.lo <> whole.lo
+      union all select walk, 'missing_last', whole.hi, per.hi from per, whole where per.hi <> whole.hi""",
     "extract_manifest": """select o_orderkey from orders
       where not exists (select 1 from lineitem where l_orderkey = o_orderkey)""",
     "landing_json": f"select {RAW_COLUMNS} from ev_raw",

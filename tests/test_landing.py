@@ -114,6 +114,15 @@ def test_gaps_stalls_and_missing_chunks_are_found(spark):
     assert rows_of(audit.never_landed(manifest, rows, "key"), "key") == [("k4",)]
 
 
+def test_lost_first_and_last_chunks_are_found(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 0), ("b", 3)], "walk string, chunk_no long")
+    walks = spark.createDataFrame(
+        [("a", 0, 2), ("b", 0, 3), ("c", 0, 0)], "walk string, first_no long, last_no long"
+    )
+    found = rows_of(audit.edge_findings(rows, walks), "walk", "finding", "expected_no", "landed_no")
+    assert found == [("a", "missing_first", 0, 1), ("c", "missing_first", 0, None), ("c", "missing_last", 0, None)]
+
+
 # Files
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from deskwise.operators.history import VALID_TO
 from deskwise.plans import facts
 from deskwise.plans import nightly as job_module
-from deskwise.plans.nightly import MARTS, RAW, Job, run_nightly
+from deskwise.plans.nightly import CHECKS, MARTS, RAW, REPORTS, ChecksFailed, Job, run_nightly
 from deskwise.settings import RunPlan, Settings
 from deskwise.sources import landing, ledger, schemas
 from deskwise.sources.tables import Warehouse
@@ -101,6 +101,8 @@ def test_two_nights(spark, folder):
     before = {n: rows_of(models[n], *sorted(models[n].columns)) for n in names}
     again = nightly(spark, root, SECOND, [first, second], warmer=0.5)[1]
     assert before == {n: rows_of(again[n], *sorted(again[n].columns)) for n in names}
+    outcome = {r["check_name"]: r["outcome"] for r in again["checks"].collect()}
+    assert len(outcome) == 148 and "error" not in outcome.values()
 
 
 def test_incremental_equals_full_within_the_window(spark, folder):
@@ -135,3 +137,24 @@ def test_only_the_selected_feed_is_landed(spark, folder):
     assert job.read(RAW, "service_requests") is None
     assert job.read(RAW, "weather_daily").count() == 9
     assert job.read(MARTS, "fct_requests") is None
+
+
+def test_an_error_stops_the_reports_and_is_stored(spark, folder, monkeypatch):
+    root = f"{folder}/wh"
+    files = land(folder, "one", NIGHT_1)
+    monkeypatch.setattr(job_module.checks, "MAX_UNMAPPED_TYPES", 0)
+    with pytest.raises(ChecksFailed) as raised:
+        nightly(spark, root, FIRST, files)
+    job = Job(spark, Warehouse(root), clock(FIRST))
+    stored = {r["check_name"]: r["outcome"] for r in job.read(CHECKS, "results").collect()}
+    assert raised.value.names == [n for n, o in stored.items() if o == "error"] == ["fct_requests.types_are_mapped"]
+    assert job.read(REPORTS, "agency_performance") is None
+
+
+def test_stale_sources_are_stored_and_stop_nothing(spark, folder):
+    files = land(folder, "one", NIGHT_1)
+    late = FIRST + timedelta(days=30)
+    job, models = nightly(spark, f"{folder}/wh", late, files)
+    outcome = {r["source_name"]: r["outcome"] for r in models["freshness"].collect()}
+    assert outcome == {"service_requests": "error", "weather_daily": "pass", "loads": "pass"}
+    assert job.read(REPORTS, "agency_performance") is not None
