@@ -182,3 +182,11 @@ def test_packing_the_given_table_is_whole(spark, sf):
     rows = QUERIES["op1_lexical_packing"](spark, sf)
     got = rows.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
     assert {r.doc_id: (r.n, r.t) for r in got} == {k: (n, n) for k, n in ends.items()}
+
+
+@settings(deadline=None)
+@given(st.lists(st.text("aZéñß'.,%#\n\t 1ªµ<|>_-Ωж", max_size=40), min_size=1, max_size=20))
+def test_words_with_marks_have_the_ids_of_the_library(texts):
+    texts = [*texts, "que,### naïve%%% don't word' l'été a_b <|endoftext|> x<|endoftext|>."]
+    expected = [np.array(library_ids(t), "<u4").tobytes() for t in texts]
+    assert ENCODER.encode(texts) == expected
