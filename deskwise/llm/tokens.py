@@ -17,11 +17,9 @@ from functools import lru_cache
 
 import numpy as np
 
-# A worker keeps chunks that it has met in two groups of texts, at most twice so many (about 200 bytes
-# each): when it has that many, those not met again before the next time are forgotten.
-CACHED_CHUNKS = 400_000
-# One byte each, by hash: chunks met before.
-MET = 1 << 23
+# When a worker has so many chunks (about 200 bytes each), those not met again before the next time are
+# forgotten. It has at most twice so many, and those of one group of texts.
+CACHED_CHUNKS = 300_000
 MARKS = string.punctuation
 # Up to here Unicode versions do not differ in what is a letter.
 LATIN_END = "\u0250"
@@ -59,7 +57,6 @@ class Encoder:
         self.library.encode_special_tokens = plain_specials
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.met = bytearray(MET)
         vocabulary = self.library.get_vocab()
         self.width = max(vocabulary.values()) + 1
         kind = json.loads(self.library.to_str())
@@ -89,7 +86,7 @@ class Encoder:
         chunks, older = self.chunks, self.older
         for word in words & older.keys():
             chunks[word] = older[word]
-        new = words - older.keys()
+        new = words.difference(older)
         # Letters are split from the marks behind them before any merge, and each is one piece.
         stems, marked = {}, []
         for word in new:
@@ -99,10 +96,9 @@ class Encoder:
                 if len(stem) < len(word):
                     marked.append((word, stem))
         rest = list(new.difference(stems, (w for w, _ in marked)))
-        learned = stems.keys() - chunks.keys()
-        self.learned |= learned | new
-        for stem in learned:
-            chunks[stem] = self._piece(SPACE, stem)
+        for stem in stems:
+            if stem not in chunks:
+                chunks[stem] = older.get(stem) or self._piece(SPACE, stem)
         self._learn_joined(rest)
         marks = self.marks
         for word, stem in marked:
@@ -144,13 +140,13 @@ class Encoder:
         if len(self.chunks) > CACHED_CHUNKS:
             self.chunks, self.older = {}, self.chunks
         parts = [text.split(" ") for text in texts]
-        unseen = {w for p in parts for w in p[1:]} - self.chunks.keys()
-        self.learned: set[str] = set()
+        # With a dict itself, not its keys, this costs what is looked up and not what is stored.
+        unseen = set().union(*(p[1:] for p in parts)).difference(self.chunks)
         plain = {w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()}
         self._learn(plain)
         if len(plain) < len(unseen):
             parts = [p if unseen.isdisjoint(p) else _joined(p) for p in parts]
-            more = {w for p in parts for w in p[1:-1]} - self.chunks.keys()
+            more = set().union(*(p[1:-1] for p in parts)).difference(self.chunks)
             self._learn(more)
         heads = self._whole([p[0] for p in parts])
         known = self.chunks.get
@@ -160,18 +156,8 @@ class Encoder:
             if last is None:  # it ends with white space, or stands alone behind a space
                 (last,) = self._whole([" " + p[-1]])
             out.append(head + b"".join(map(self.chunks.__getitem__, p[1:-1])) + last)
-        self._forget_new(self.learned)
         return out
 
-    def _forget_new(self, words: set[str]) -> None:
-        """Most chunks never come again: keep those of a group that were met before."""
-        met = self.met
-        for word in words & self.chunks.keys():
-            at = hash(word) % MET
-            if not met[at]:
-                met[at] = 1
-                del self.chunks[word]
-
 
 def _joined(parts: list[str]) -> list[str]:
     """Parts put together again where the space between them touches other white space."""

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from deskwise.llm import rans
+from deskwise.llm import rans, tokens
 from deskwise.llm.packing import InvertedIndex, fill_windows, pack
 from deskwise.llm.token_counts import corpus_token_counts, count_tokens
 from deskwise.llm.token_files import File, encode_corpus, write_file
@@ -190,3 +190,13 @@ def test_words_with_marks_have_the_ids_of_the_library(texts):
     texts = [*texts, "que,### naïve%%% don't word' l'été a_b <|endoftext|> x<|endoftext|>."]
     expected = [np.array(library_ids(t), "<u4").tobytes() for t in texts]
     assert ENCODER.encode(texts) == expected
+
+
+def test_ids_stay_right_while_chunks_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 20)
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 60)
+    small = Encoder(PATH)
+    texts = [" ".join(f"w{'abcdefg'[(k * j) % 7]}{'xyz'[j % 3] * (k % 5)}," for j in range(9)) for k in range(80)]
+    texts += ODD + texts
+    assert [as_ids(raw) for raw in small.encode(texts)] == [library_ids(t) for t in texts]
+    assert small.older
