@@ -5,8 +5,9 @@ its postings, its largest weight in every block, and its largest anywhere. A pas
 words, long enough that any item lies whole in one of them. WAND skips a passage whose terms' largest
 weights cannot reach the lowest threshold of all items; block-max WAND skips the blocks whose own
 maxima cannot reach their lowest threshold; what is left is scored exactly. All items that score at
-least THRESHOLD of their own score are candidates, and each is verified: SIMILARITY of the five-word
-shingles of question and answer (of the words of a short answer) must stand in the passage.
+least THRESHOLD of their own score are candidates, and each is verified: SIMILARITY of the whole item's
+five-word shingles must stand in the passage, or of those of question and answer each (of the words of
+a short answer).
 
 The index is built for blocks of items of bounded size, and documents are scanned once per block of
 items, so nothing that is sent to the executors grows with the data. Document frequencies and the mean
@@ -94,7 +95,10 @@ class Index:
         np.maximum.at(self.block_max, (term, item // BLOCK_ITEMS), weight.astype(np.float32))
         self.most = self.block_max.max(axis=1)
         self.longest = max(len(q) + len(a) for _, q, a in items)
-        self.checks = [(shingles(q), shingles(a, 1 if len(a) < SHORT_ANSWER else SHINGLE_WORDS)) for _, q, a in self.items]
+        self.checks = [
+            (shingles(q), shingles(a, 1 if len(a) < SHORT_ANSWER else SHINGLE_WORDS), shingles(q + a))
+            for _, q, a in self.items
+        ]
 
     def passages(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The sets of terms of a document's windows, as rows (window, term), and where each begins."""
@@ -148,12 +152,11 @@ class Index:
             own = heads[(heads >= a) & (heads < b)] - a
             for at, item, score in zip(*map(np.ndarray.tolist, self.search(window[a:b], terms[a:b], own)), strict=True):
                 passage = words[at * STRIDE : at * STRIDE + self.longest + STRIDE]
-                question, answer = self.checks[item]
-                in_answer = _share(answer, passage)
-                if in_answer < SIMILARITY:
+                question, answer, whole = self.checks[item]
+                in_question, in_answer = _share(question, passage), _share(answer, passage)
+                if min(in_question, in_answer) < SIMILARITY and _share(whole, passage) < SIMILARITY:
                     continue
-                in_question = _share(question, passage)
-                if in_question >= SIMILARITY and (item not in found or found[item][0] < score):
+                if item not in found or found[item][0] < score:
                     found[item] = (score, in_question, in_answer, at * STRIDE)
         return found
 
@@ -246,7 +249,8 @@ def index_blocks(items: DataFrame, index_words: int = INDEX_WORDS):
 
 def contaminated(docs: DataFrame, items: DataFrame, keys: list | None = None) -> DataFrame:
     """Test items found in documents: the keys (doc_id), item_id, score, question_overlap,
-    answer_overlap and word, the number of the document's word the best passage begins at.
+    answer_overlap and word, the number of the document's word the best passage begins at. An overlap of
+    one part is under SIMILARITY where the item as a whole reaches it.
 
     One row per row of ``docs`` and item. Documents and items whose text is null or holds no word
     match nothing, no items or no documents give no rows. Items that share an id or a text are items

@@ -49,6 +49,21 @@ def test_items_are_found_where_they_are_pasted(spark, docs_of):
     assert dec.decontaminate(docs, items_of(spark, [])).count() == len(rows)
 
 
+def test_whole_items_count_however_their_last_sentence_fares(spark, docs_of):
+    items = [(k, f"{prose(40, 3000 + k)}. {prose(a, 4000 + k)}.") for k, a in enumerate([3, 12, 4, 12])]
+    one_word = lambda k, n: " ".join("other" if i == n else w for i, w in enumerate(items[k][1].split()))
+    rows = [
+        (1, f"{prose(90, 1, 3000)} {one_word(0, 41)} {prose(90, 2, 3000)}"), (2, one_word(1, 46)),
+        (3, f"{items[2][1].split('.')[0]} {prose(90, 3, 3000)}"), (4, items[3][1].split(".")[1]),
+    ]
+    got = dec.contaminated(docs_of(rows), items_of(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 0), (2, 1), (3, 2)]
+    assert all(r.question_overlap == 1 and r.answer_overlap < dec.SIMILARITY for r in got)
+    columns = [(k, *t.split(". ")) for k, t in items]
+    apart = spark.createDataFrame(columns, "item_id long, question string, answer string")
+    assert dec.contaminated(docs_of(rows), apart).count() == 3
+
+
 def test_blocks_of_items_together_are_one_index(spark):
     rows = [(k, f"{prose(12, k)}. {prose(5, k + 500)}") for k in range(50)]
     (whole,) = [b.value for b in dec.index_blocks(items_of(spark, rows))]
