@@ -2,9 +2,10 @@
 
 A unit is a line; lines are cut further where a sentence ends and before a capital letter, so that a
 passage pasted into the middle of a line is still made of whole units. Units are normalised (lower
-case, no ASCII punctuation, single spaces) and hashed to 128 bits; a unit of fewer than MIN_WORDS words
-is hashed together with as many of the next ones as it takes to reach them, as short sentences recur
-by chance. Digests are grouped globally. The occurrence that ranks first (smallest doc_id, then place)
+case, no ASCII punctuation, single spaces) and hashed to 128 bits. Every line of a text of several is
+hashed whole, however short. A piece of a line of fewer than MIN_WORDS words is hashed together with as
+many of the next ones as it takes to reach them, and with as many of those before it, as short sentences
+recur by chance. Digests are grouped globally. The occurrence that ranks first (smallest doc_id, then place)
 stays, the spans of all others are removed, and their offsets in the original text are kept.
 
 The first occurrence of any unit survives: a removed one always has an earlier one.
@@ -33,33 +34,59 @@ OCCURRENCE = "high long, low long, key_id long, key_text long, begin int, until
 LAST_ID = (1 << 63) - 1
 
 
-def units(text: str) -> list[tuple[int, int, list[str]]]:
-    """Begin, end and normalised words of each unit that has any; offsets count code points."""
-    found, begin = [], 0
+def units(text: str) -> list[tuple[int, int, list[str], int]]:
+    """Begin, end, normalised words and line of each unit that has any; offsets count code points.
+
+    What stands before the first word of a line belongs to that line's first unit.
+    """
+    found, begin, line, head = [], 0, 0, True
     plain = text.lower()
     if len(plain) != len(text):  # a few letters grow in lower case; then offsets would not fit
         plain = "".join(low if len(low := c.lower()) == 1 else c for c in text)
     for end, after in [*(m.span() for m in CUT.finditer(text)), (len(text), len(text))]:
         words = plain[begin:end].translate(NO_PUNCTUATION).split()
         if words:
-            found.append((begin, end, words))
-        begin = after
+            found.append((begin, end, words, line))
+            head = False
+        if text[end:after] == "\n":
+            begin, line, head = after, line + 1, True
+        elif not head:
+            begin = after
     return found
 
 
 def occurrences(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int]]:
-    """(high, low, begin, end) of each unit, short ones joined with those that follow."""
-    own, out = units(text), []
-    for k, (begin, end, words) in enumerate(own):
-        last = k
-        while len(words) < min_words and last + 1 < len(own):
+    """(high, low, begin, end) of each line and unit, by begin, the longest first.
+
+    Short units are joined with those that follow, and once more with those before them. The line of a
+    text that has only one counts as any other unit: such a text is no boilerplate of another.
+    """
+    own, found = units(text), set()
+    several = "\n" in text
+
+    def add(first: int, last: int) -> None:
+        words = [w for u in own[first : last + 1] for w in u[2]]
+        found.add((xxhash.xxh3_128_intdigest(" ".join(words)), own[first][0], own[last][1]))
+
+    head = 0
+    for k, (_, _, words, line) in enumerate(own):
+        last, n = k, len(words)
+        while n < min_words and last + 1 < len(own):
             last += 1
-            words = words + own[last][2]
-            end = own[last][1]
-        if len(words) >= min_words:
-            number = xxhash.xxh3_128_intdigest(" ".join(words))
-            out.append((number >> 64, number & (1 << 64) - 1, begin, end))
-    return out
+            n += len(own[last][2])
+        if n >= min_words:
+            add(k, last)
+        first, n = k, len(words)
+        while n < min_words and first:
+            first -= 1
+            n += len(own[first][2])
+        if first < k and n >= min_words:
+            add(first, k)
+        if several and (k + 1 == len(own) or own[k + 1][3] != line):
+            add(head, k)
+            head = k + 1
+    spans = sorted(found, key=lambda f: (f[1], -f[2]))
+    return [(number >> 64, number & (1 << 64) - 1, begin, end) for number, begin, end in spans]
 
 
 def _occurrences(min_words: int, schema: pa.Schema):

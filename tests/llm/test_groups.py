@@ -169,6 +169,18 @@ def test_short_units_join_their_followers():
     assert all(len(WORD.findall(t)) >= MIN_WORDS for t in found)
 
 
+def test_short_lines_and_tails_go_too(docs_of):
+    own = [prose(30, 60 + k) for k in range(8)]
+    tail = "Alpha beta gamma delta epsilon zeta eta theta iota. Kappa lambda."
+    rows = [
+        (1, f"{own[0]}\nShare this.\n{own[1]}\n  - 所有文字都在这里。\n{own[2]}"),
+        (2, f"Share this\n{own[3]}\n所有文字都在这里。\n{own[4]}\nSHARE THIS!"), (3, "Share this."),
+        (4, f"{own[5]} {tail}"), (5, f"{own[6]}\n{tail}"), (6, f"{own[7]}. {tail} Mu."),
+    ]
+    got = {r.doc_id: r.text for r in remove_repeats(docs_of(rows)).collect()}
+    assert got == dict(rows) | {2: f"{own[3]}\n{own[4]}\n", 5: f"{own[6]}\n", 6: f"{own[7]}. Mu."}
+
+
 def plain_measures(text):
     words = WORD.findall(text)
     windows = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
