@@ -7,6 +7,8 @@ digests equal that of a known licence are that licence; whole texts are compared
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,8 +55,8 @@ EQUIVALENT_SPELLINGS = {
     "wilful": "wilfull",
 }
 
-# Texts by which works state their licence, and short licences in full.
-KNOWN_LICENCES = [
+# Texts by which works state their licence, and two licences in full without a title.
+NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
@@ -96,6 +98,43 @@ ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
     ),
 ]
 
+# Further licences in full, a file each by its name; the first paragraph of a file is the title.
+TEXTS = Path(__file__).with_name("licence_texts")
+# Titles under which short licences are found, besides those of their files.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["The BSD 2-Clause License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["The BSD 3-Clause License", "New BSD License", "BSD License"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License (0BSD)"],
+    "Zlib": ["The zlib License", "zlib/libpng License"],
+    "Unlicense": ["Unlicense"],
+}
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _known() -> list[tuple[str, str]]:
+    """The notices, and each full text with and without titles, what follows its terms, and numbers."""
+    whole = [(name, "", text) for name, text in NOTICES if "\n" in text]
+    for file in sorted(TEXTS.glob("*.txt")):
+        title, body = file.read_text(encoding="utf-8").strip().split("\n\n", 1)
+        whole.append((file.stem, title, body))
+    known = list(NOTICES)
+    for name, title, body in whole:
+        bodies = [body]
+        if TERMS_END in body:
+            bodies.append(body[: body.index(TERMS_END) + len(TERMS_END)])
+            bodies.append(body[: body.index(TERMS_END)])
+        if name.startswith("BSD-"):
+            bodies.append(body.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))
+        titles = [t for t in [title, *TITLES.get(name, [])] if t]
+        known += [(name, b) for b in bodies] + [(name, f"{t}\n\n{b}") for t in titles for b in bodies]
+    return known
+
+
+# (licence, text) of all known texts.
+KNOWN_LICENCES = _known()
+
 # A line that does nothing but state a copyright.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
 NOT_WORDS = r"[^\p{L}\p{N}]+"
@@ -119,8 +158,14 @@ def canonical(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, licences: list[tuple[str, str]] = KNOWN_LICENCES) -> DataFrame:
-    """licence, digest and the number of words of each canonical form; one row per digest."""
-    texts = spark.createDataFrame(licences, "licence string, known string")
+    return digests_of(spark.createDataFrame(licences, "licence string, known string"))
+
+
+def digests_of(texts: DataFrame) -> DataFrame:
+    """licence, digest and the number of words of each canonical form; one row per digest.
+
+    ``texts`` has licence and known, the full text: the known licences, or any table of that form.
+    """
     words = texts.select("licence", canonical(F.col("known")).alias("canonical"))
     return (
         words.groupBy(F.sha2("canonical", 256).alias("digest"))

@@ -9,7 +9,7 @@ import corpus_pipeline
 from compare import connect, differences
 from deskwise.llm import decontaminate as dec
 from deskwise.llm import warc
-from deskwise.llm.licences import EQUIVALENT_SPELLINGS, document_licences, find_licences, known_digests
+from deskwise.llm.licences import EQUIVALENT_SPELLINGS, KNOWN_LICENCES, TEXTS, digests_of, document_licences, find_licences, known_digests
 from deskwise.llm.queries import ORACLE_SQL, QUERIES
 
 
@@ -122,6 +122,23 @@ def test_licences_in_other_spellings(spark, docs_of):
     assert document_licences(docs_of([])).count() == 0
 
 
+def test_whole_licence_files_are_found(spark, docs_of, folder):
+    mine = "Copyright (c) 2020 Someone"
+    mit = next(t for n, t in KNOWN_LICENCES if n == "MIT" and "\n" in t)
+    files = {f.stem: f.read_text() for f in sorted(TEXTS.glob("*.txt"))}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "Zlib", "Unlicense", "GPL-2.0", "GPL-3.0"} <= set(files)
+    want = [("MIT", f"MIT License\n\n{mine}\n\n{mit}"), ("MIT", f"The MIT License (MIT)\n{mine}\n\n{mit}")]
+    for name, text in files.items():
+        title, body = text.split("\n\n", 1)
+        want += [(name, text), (name, f"{title}\n\n{mine}\n\n{body}"), (name, f"{mine}\n\n{body}")]
+    rows = list(enumerate(t for _, t in want))
+    got = {r.doc_id: r.licence for r in document_licences(docs_of(rows)).where("line is null").collect()}
+    assert got == dict(enumerate(n for n, _ in want))
+    spark.createDataFrame([("own", "My own terms.")], "licence string, known string").write.parquet(f"{folder}/known")
+    known = digests_of(spark.read.parquet(f"{folder}/known"))
+    assert [r.licence for r in document_licences(docs_of([(1, "MY OWN TERMS")]), known).where("line is null").collect()] == ["own"]
+
+
 def test_spellings_are_words_for_words(spark):
     assert all(" " not in x for pair in EQUIVALENT_SPELLINGS.items() for x in pair)
     known = known_digests(spark, [("b", "the licence"), ("a", "The License")])
