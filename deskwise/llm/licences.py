@@ -1,7 +1,7 @@
 """Licence texts found by canonical digest, in DataFrame operations alone.
 
 A text is brought to a canonical form: lower case, no copyright lines, punctuation and white space as
-single spaces, and one spelling for words that licences spell in two ways. Texts whose canonical
+single spaces, and one spelling for words and phrases that licences spell in two ways. Texts whose canonical
 digests equal that of a known licence are that licence; whole texts are compared, never parts.
 """
 
@@ -31,6 +31,7 @@ EQUIVALENT_SPELLINGS = {
     "favourite": "favorite",
     "fulfil": "fulfill",
     "fulfilment": "fulfillment",
+    "https": "http",
     "initialise": "initialize",
     "judgement": "judgment",
     "labelling": "labeling",
@@ -55,6 +56,14 @@ EQUIVALENT_SPELLINGS = {
     "wilful": "wilfull",
 }
 
+# The same for phrases and for spellings of several words, as patterns of folded texts.
+EQUIVALENT_PHRASES = {
+    r"\bcopyright owner": "copyright holder",
+    r"\bnon commercial": "noncommercial",
+    r"\bper cent\b": "percent",
+    r"\bsub licen([cs])": "sublicen$1",
+}
+
 # Texts by which works state their licence, and two licences in full without a title.
 NOTICES = [
     ("MIT", "Released under the MIT License."),
@@ -135,15 +144,28 @@ def _known() -> list[tuple[str, str]]:
 # (licence, text) of all known texts.
 KNOWN_LICENCES = _known()
 
-# A line that does nothing but state a copyright.
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# Lines that state a copyright: by a sign, a year, a name behind 'by' or a place for them, or as the first
+# line of a text or paragraph. A line of a licence may begin with 'copyright' wherever it is wrapped.
+COPYRIGHT_LINE = (
+    r"(?m)(?:\A|\n)[^\p{L}\p{N}\n]*(?:"
+    r"copyright[ \t:,]*(?:\(c\)|©|[<\[{(]*(?:\d{4}|year|yyyy)|by\b)[^\n]*"
+    r"|copyright[^\n]*all rights reserved[^\n]*"
+    r"|\(c\)[ \t]*(?:copyright|[<\[{(]*(?:\d{4}|year|yyyy))[^\n]*"
+    r"|©[^\n]*"
+    r"|all rights reserved[^\p{L}\p{N}\n]*$)"
+    r"|(?:\A|\n[ \t\r]*\n)[ \t#*/%;.-]*copyright[ \t][^\n]*"
+    r"|\A[ \t#*/%;.-]*\(c\)[ \t][^\n]*"
+)
 NOT_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def folded(text: Column) -> Column:
-    """Lower case, without copyright lines, words apart by single spaces."""
+    """Lower case, without copyright lines, words apart by single spaces, one form for each phrase."""
     plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
-    return F.trim(F.regexp_replace(plain, NOT_WORDS, " "))
+    words = F.trim(F.regexp_replace(plain, NOT_WORDS, " "))
+    for phrase, form in EQUIVALENT_PHRASES.items():
+        words = F.regexp_replace(words, phrase, form)
+    return words
 
 
 def respelled(words: Column) -> Column:

@@ -1,6 +1,8 @@
 import base64
 import hashlib
+import re
 import sys
+import textwrap
 
 import numpy as np
 import pytest
@@ -139,6 +141,22 @@ def test_whole_licence_files_are_found(spark, docs_of, folder):
     assert [r.licence for r in document_licences(docs_of([(1, "MY OWN TERMS")]), known).where("line is null").collect()] == ["own"]
 
 
+def test_wraps_and_phrases_do_not_matter(spark, docs_of):
+    def wrapped(text, width):
+        # Paragraphs with a notice stay as they are: notices are lines.
+        parts = re.split(r"\n\s*\n", text)
+        return "\n\n".join(p if re.search(r"(?i)copyright (\(c\)|\[)", p) else textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in parts)
+
+    full = [(n, t) for n, t in KNOWN_LICENCES if "\n" in t]
+    mine = ["Copyright (c) 2020 Someone", "© Someone\nAll rights reserved.", "Copyright 2019, 2020 A and B", "Copyright Someone, Inc. and others"]
+    want = [(n, f"{mine[k % 4]}\n\n{wrapped(t, width)}") for width in (30, 47, 64, 72, 79, 100) for k, (n, t) in enumerate(full)]
+    changes = [("copyright owner", "copyright holder"), ("non-commercial", "noncommercial"), ("sublicens", "sub-licens"), ("percent", "per cent"), ("https:", "http:")]
+    want += [(n, t.replace(a, b)) for n, t in full for a, b in changes if a in t]
+    got = document_licences(docs_of(list(enumerate(t for _, t in want)))).where("line is null").collect()
+    assert {r.doc_id: r.licence for r in got} == dict(enumerate(n for n, _ in want))
+    assert {a for a, _ in changes if any(a in t for _, t in full)} == {a for a, _ in changes}
+
+
 def test_spellings_are_words_for_words(spark):
     assert all(" " not in x for pair in EQUIVALENT_SPELLINGS.items() for x in pair)
     known = known_digests(spark, [("b", "the licence"), ("a", "The License")])
