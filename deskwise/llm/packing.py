@@ -1,7 +1,10 @@
 """Packing documents into fixed windows with lexical neighbours.
 
 A document is cut into pieces of at most one window. Full windows are sequences of their own. The
-rest are dealt at random over shards of bounded size; each shard holds a BM25 inverted index over
+rest are dealt over shards of bounded size by lexical affinity: terms have one order for all pieces, in
+which a rare one tends to come first, and a piece goes to the shard of its first term, so that pieces
+meet the more often the more of their rare terms they share. A term with more than a shard's tokens has
+several shards, over which its pieces are dealt at random. No other shard is asked. Each shard holds a BM25 inverted index over
 token ids of its pieces, with document frequencies and the mean length counted over all pieces of the
 corpus. A seed piece opens a sequence, the index ranks the unused pieces for it, the best that still
 fit are added whole, and the best one that does not is cut to fill what is left of the window. What
@@ -134,6 +137,52 @@ def fill_windows(pieces: list[np.ndarray], index: InvertedIndex, window: int):
         sequence += 1
 
 
+def term_order(df: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A number for each term; the smallest of a piece's names it, the term with the chance idf^2 has
+    among all of its terms (weighted min-hash). Terms of one piece only bring none together."""
+    chance = -np.log1p(-np.random.default_rng(0).random(len(df)))
+    return np.where(df > 1, chance / np.maximum(idf, 1e-9) ** 2, np.inf)
+
+
+def first_terms(order: np.ndarray, ids: pa.Array) -> np.ndarray:
+    return np.array([k[np.argmin(order[k])] for k in (np.frombuffer(raw, "<u4") for raw in ids.to_pylist())], np.int64)
+
+
+def _first_tokens(order):
+    """Per batch: the tokens of the pieces of each first term."""
+
+    def run(batches):
+        for batch in batches:
+            terms, at = np.unique(first_terms(order.value, batch.column(0)), return_inverse=True)
+            n = np.bincount(at, weights=batch.column(1).to_numpy(), minlength=len(terms)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n)], names=["term", "n"])
+
+    return run
+
+
+def deal(tokens: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where on the line of shards each term's pieces begin, and over how much of it they are spread: a
+    term of up to a shard's tokens lies at one point, so that its pieces stay together."""
+    size = tokens.sum() / shards
+    begin = np.cumsum(tokens) - tokens
+    small = tokens <= size
+    return np.where(small, begin + tokens / 2, begin) / size, np.where(small, 0, tokens) / size
+
+
+def _dealt(order, places, shards: int, schema: pa.Schema):
+    """Pieces with a number from 0 to 1 last to pieces with their shard last."""
+
+    def run(batches):
+        for batch in batches:
+            begin, spread = places.value
+            terms = first_terms(order.value, batch.column("ids"))
+            at = begin[terms] + spread[terms] * batch.columns[-1].to_numpy()
+            shard = pa.array(np.minimum(at.astype(np.int64), shards - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], shard], schema=schema)
+
+    return run
+
+
 def _pack_shard(idf, window: int, schema: pa.Schema):
     """Fills the windows of one shard, whose rows arrive in any order."""
 
@@ -198,11 +247,19 @@ def pack(
         (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
     shards = max(1, -(-rest // shard_tokens))
-    short = (
-        numbered.where(F.col("length") < window)
-        .withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-        .groupBy("shard")
-        .applyInArrow(_pack_shard(idf, window, arrow_schema(packed)), packed)
-    )
+    rows = numbered.where(F.col("length") < window)
+    if shards == 1:
+        rows = rows.withColumn("shard", F.lit(0).cast("long"))
+    else:
+        order = spark.sparkContext.broadcast(term_order(df, idf.value[0]))
+        tokens = rows.select("ids", "length").mapInArrow(_first_tokens(order), "term long, n long")
+        sums = np.zeros(len(df))
+        for r in tokens.groupBy("term").agg(F.sum("n").alias("n")).collect():  # as bounded as the counts
+            sums[r.term] = r.n
+        places = spark.sparkContext.broadcast(deal(sums, shards))
+        dealt = typed(f"{PIECE.format(id=kind)}, row long, shard long")
+        chance = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        rows = rows.withColumn("chance", chance).mapInArrow(_dealt(order, places, shards, arrow_schema(dealt)), dealt)
+    short = rows.groupBy("shard").applyInArrow(_pack_shard(idf, window, arrow_schema(packed)), packed)
     return full.unionByName(short)
 

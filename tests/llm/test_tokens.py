@@ -119,6 +119,18 @@ def test_pack_places_every_id_once(docs_of):
     assert pack(docs_of([])).count() == 0
 
 
+def test_alike_pieces_meet_in_one_of_many_shards(docs_of):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(4000)]
+    topics = [list(rng.choice(words, 40, replace=False)) for _ in range(100)]
+    rows = [(2 * k + j, " ".join(rng.permutation(topics[k])[:36])) for k in range(100) for j in range(2)]
+    packed = pack(docs_of(rows), window=2048, shard_tokens=2048).collect()
+    shards = {r.doc_id: r.sequence_id >> 32 for r in packed if r.start == 0}
+    assert len(set(shards.values())) > 8
+    assert sum(shards[2 * k] == shards[2 * k + 1] for k in range(100)) > 50
+    assert sum(r.length for r in packed) == sum(len(library_ids(t, 1)) for _, t in rows)
+
+
 def test_index_scores_match_a_plain_bm25():
     rng = np.random.default_rng(3)
     pieces = [rng.integers(0, 30, n) for n in (20, 5, 40, 1)]
