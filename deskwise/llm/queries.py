@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deskwise.llm import decontaminate, licences, oracle
 from deskwise.llm.common import read
+from deskwise.llm.merkle import proof_digest, verified_documents
 from deskwise.llm.packing import pack
 from deskwise.llm.repetition import repetition
 from deskwise.llm.sharding import stratified_shards
@@ -70,12 +71,18 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_documents(read(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lexical_packing, op2_benchmark_decontamination, op3_licence_digests, op4_separator_token_counts,
         op5_rans_token_files, op6_repetition_coverage, op7_line_dedup, op8_stratified_shards,
-        op9_simhash_groups, op10_warc_archives,
+        op9_simhash_groups, op10_warc_archives, op11_merkle_manifest,
     )
 }
 
