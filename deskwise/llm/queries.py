@@ -14,6 +14,7 @@ from deskwise.llm.packing import pack
 from deskwise.llm.repetition import repetition
 from deskwise.llm.sharding import stratified_shards
 from deskwise.llm.simhash import near_duplicates
+from deskwise.llm.spelling import spelling_variants
 from deskwise.llm.substrings import remove_repeats
 from deskwise.llm.token_counts import corpus_token_counts
 from deskwise.llm.token_files import encode_corpus
@@ -77,12 +78,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lexical_packing, op2_benchmark_decontamination, op3_licence_digests, op4_separator_token_counts,
         op5_rans_token_files, op6_repetition_coverage, op7_line_dedup, op8_stratified_shards,
-        op9_simhash_groups, op10_warc_archives, op11_merkle_manifest,
+        op9_simhash_groups, op10_warc_archives, op11_merkle_manifest, op12_spelling_variants,
     )
 }
 
