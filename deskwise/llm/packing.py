@@ -33,7 +33,7 @@ PACKED = "doc_id {id}, start long, length long, doc_tokens long, ids binary, seq
 N_PIECES, N_TOKENS, N_REST = -1, -2, -3
 
 
-def _cut(tokenizer: str, end_id: int, window: int, schema: pa.Schema):
+def cut_documents(tokenizer: str, end_id: int, window: int, schema: pa.Schema):
     """Documents to pieces of at most a window, each with its ids."""
 
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -228,7 +228,7 @@ def pack(
     kind = docs.schema["doc_id"].dataType.simpleString()
     pieces = typed(PIECE.format(id=kind))
     cut = docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        _cut(tokenizer, end_id, window, arrow_schema(pieces)), pieces
+        cut_documents(tokenizer, end_id, window, arrow_schema(pieces)), pieces
     )
     stored = held(cut, "pieces")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deskwise.llm import decontaminate, licences, oracle
 from deskwise.llm.common import read
+from deskwise.llm.genetic import best_fit_pack
 from deskwise.llm.merkle import proof_digest, verified_documents
 from deskwise.llm.packing import pack
 from deskwise.llm.repetition import repetition
@@ -82,12 +83,19 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read(spark, sf_dir, "documents"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_pack(read(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lexical_packing, op2_benchmark_decontamination, op3_licence_digests, op4_separator_token_counts,
         op5_rans_token_files, op6_repetition_coverage, op7_line_dedup, op8_stratified_shards,
         op9_simhash_groups, op10_warc_archives, op11_merkle_manifest, op12_spelling_variants,
+        op13_best_fit_packing,
     )
 }
 
