@@ -82,7 +82,8 @@ def _sibling_indices(arity: int) -> Column:
 def _with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
     """Each node of the trees of more than one, with the digests of its run before and after it."""
     sent = nodes.select(
-        "tree", "n", F.struct((F.col("idx") % arity).alias("slot"), "digest").alias("sent"),
+        "tree", "n",
+        F.named_struct(F.lit("slot"), F.col("idx") % arity, F.lit("digest"), F.col("digest")).alias("sent"),
         F.explode(_sibling_indices(arity)).alias("idx"),
     ).where("idx < n").drop("n")
     kept = [c for c in nodes.columns if c not in ("tree", "idx")]

@@ -17,7 +17,7 @@ plain grams of two, in which an edit affects three grams at most.
 from __future__ import annotations
 
 import zlib
-from math import ceil, log, log2
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -326,12 +326,19 @@ def near_words(words: DataFrame, longest: int = LONGEST, selective: int = SELECT
     return _pairs(indexed).unionByName(_pairs(unbound)).distinct()
 
 
+def longest_chain(most: int) -> int:
+    """The most forms that follow one another up to a word that occurs ``most`` times, one at least."""
+    steps, n = 0, MIN_COUNT * MORE_FREQUENT
+    while n <= most:
+        steps, n = steps + 1, n * MORE_FREQUENT
+    return max(1, steps)
+
+
 def _with_roots(forms: DataFrame, most: int) -> DataFrame:
     """word and root of the words that have a form, by following two, four, eight ... forms at a time. On
     the way n grows MORE_FREQUENT-fold with each form, so the longest way follows from the largest n."""
     reached = held(forms.select("word", F.col("form").alias("root")), "roots")
-    steps = max(1, int(log(max(most, MIN_COUNT) / MIN_COUNT, MORE_FREQUENT) + 1e-9))
-    for _ in range(ceil(log2(steps))):
+    for _ in range(ceil(log2(longest_chain(most)))):
         ahead = reached.select(F.col("word").alias("root"), F.col("root").alias("further"))
         reached = held(
             reached.join(ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root")), "roots"
