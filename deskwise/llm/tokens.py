@@ -1,28 +1,39 @@
 """Token ids by the ``tokenizers`` library, as little-endian bytes.
 
-Encoding a short string costs ten times what looking it up does, and words repeat. A byte-level BPE
-splits a text, before any merge, at every single space that stands between two characters that are
-not white space, so the ids of a text are those of its chunks between such spaces, one after the
-other. Each worker keeps the ids of chunks it has seen; the library computes every one of them. Other
-kinds of tokenizer get whole texts.
+A BPE tokenizer cuts a text into pieces by a pattern before it merges anything, and the ids of a text are
+those of its pieces, one after the other. Pieces recur: many texts are cut at once with numpy, equal pieces
+are found with Arrow, and only pieces that the worker has not met are given to the library's merge model.
+
+That is done for the two patterns below, and for texts of characters about whose class all versions of
+Unicode agree. Other tokenizers, texts with other characters and texts that hold the string of a special
+token are given to the library whole.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import string
 import struct
 from functools import lru_cache
+from unicodedata import category, normalize, ucd_3_2_0
 
 import numpy as np
+import pyarrow as pa
 
-# When a worker has so many chunks (about 200 bytes each), those not met again before the next time are
+# When a worker has so many pieces (about 220 bytes each), those not met again before the next time are
 # forgotten. It has at most twice so many, and those of one group of texts.
-CACHED_CHUNKS = 300_000
-MARKS = string.punctuation
-# Up to here Unicode versions do not differ in what is a letter.
-LATIN_END = "\u0250"
+KEPT_PIECES = 400_000
+# Characters of text that are cut at a time.
+GROUP_CHARS = 8 << 20
+
+# How the pieces of the lower-casing tokenizer are written in its file, and the endings that
+# both tokenizers cut off behind an apostrophe.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+APOSTROPHE = ord("'")
+
+# Classes of characters. Those without one are left to the library.
+LETTER, NUMBER, MARK, SPACE, BREAK = 1, 2, 3, 4, 5
 
 
 def _byte_letters() -> dict[int, int]:
@@ -34,17 +45,33 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
-SPACE = chr(BYTE_LETTERS[0x20])
-# Chunks encoded by one call of the library.
-CALL_CHUNKS = 4096
-# Characters of text whose chunks are in memory at a time.
-GROUP_CHARS = 4 << 20
 
 
-def _is_plain(word: str) -> bool:
-    """Letters, marks, or letters and then marks."""
-    stem = word.rstrip(MARKS)
-    return not stem or stem.isalpha()
+def _lower(text: str) -> str:
+    """Character by character, so that no character looks at its neighbours."""
+    return text.lower() if text.isascii() else "".join(map(str.lower, text))
+
+
+@lru_cache(maxsize=2)
+def character_classes(normalized: bool) -> np.ndarray:
+    """The class of each character of the basic plane. With ``normalized``, none for those that composition
+    or lower case can make into something of another length or class."""
+    kinds = {"L": LETTER, "N": NUMBER, "M": MARK, "P": MARK, "S": MARK}
+    out = np.zeros(1 << 16, np.int8)
+    for code in range(1 << 16):
+        c = chr(code)
+        kind = category(c)[0]
+        if kind not in kinds or ucd_3_2_0.category(c)[0] != kind:
+            continue
+        if normalized and (
+            kind == "M" or 0x1100 <= code < 0x1200 or normalize("NFC", c) != c
+            or len(c.lower()) != 1 or category(c.lower())[0] != kind
+        ):
+            continue
+        out[code] = kinds[kind]
+    out[ord(" ")] = SPACE
+    out[[ord("\t"), ord("\n"), ord("\r")]] = BREAK
+    return out
 
 
 class Encoder:
@@ -55,79 +82,42 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         # With plain_specials the string of a special token in a text is ordinary text.
         self.library.encode_special_tokens = plain_specials
-        self.chunks: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        vocabulary = self.library.get_vocab()
-        self.width = max(vocabulary.values()) + 1
         kind = json.loads(self.library.to_str())
+        self.specials = [] if plain_specials else [t["content"] for t in kind["added_tokens"]]
         before = kind.get("pre_tokenizer") or {}
-        self.splits_at_spaces = (
-            kind.get("normalizer") is None
-            and before.get("type") == "ByteLevel"
-            and not before.get("add_prefix_space")
-            and before.get("use_regex", True)
-            and not any(
-                " " in t["content"] or t["lstrip"] or t["rstrip"] or _is_plain(t["content"])
-                for t in kind["added_tokens"]
-            )
+        steps = before.get("pretokenizers") or []
+        normal = [n["type"] for n in (kind.get("normalizer") or {}).get("normalizers", [])]
+        # A space belongs to the word behind it, or white space is dropped and capitals lowered.
+        self.spaced = (
+            kind.get("normalizer") is None and before.get("type") == "ByteLevel"
+            and not before.get("add_prefix_space") and before.get("use_regex", True)
+        )
+        self.dropped = (
+            normal == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+            and steps[0]["pattern"].get("Regex") == WORD_PATTERN
         )
-        # In a byte-level vocabulary every character of an entry stands for one byte of text.
-        self.token_bytes = np.zeros(self.width, np.int64)
-        for token, number in vocabulary.items():
-            self.token_bytes[number] = len(token)
-        self.marks = lru_cache(maxsize=1 << 14)(self._piece)
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of ' ' + word for words that neither begin nor end with white space."""
-        chunks, older = self.chunks, self.older
-        for word in words & older.keys():
-            chunks[word] = older[word]
-        new = words.difference(older)
-        # Letters are split from the marks behind them before any merge, and each is one piece.
-        stems, marked = {}, []
-        for word in new:
-            stem = word.rstrip(MARKS)
-            if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END):
-                stems[stem] = None
-                if len(stem) < len(word):
-                    marked.append((word, stem))
-        rest = list(new.difference(stems, (w for w, _ in marked)))
-        for stem in stems:
-            if stem not in chunks:
-                chunks[stem] = older.get(stem) or self._piece(SPACE, stem)
-        self._learn_joined(rest)
-        marks = self.marks
-        for word, stem in marked:
-            chunks[word] = chunks[stem] + marks("", word[len(stem) :])
-
-    def _piece(self, before: str, text: str) -> bytes:
-        """Ids of what the library would not split, given in the vocabulary's letters for bytes."""
-        if not text.isascii():
-            text = text.encode().decode("latin-1").translate(BYTE_LETTERS)
-        ids = [token.id for token in self.library.model.tokenize(before + text)]
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what the library would not split."""
+        if self.dropped:
+            if piece[0].isspace():
+                return b""
+            piece = _lower(piece)
+        # The vocabulary is written in letters for bytes.
+        letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = [token.id for token in self.library.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn_joined(self, words: list[str]) -> None:
-        """Many in one call, told apart by the bytes their tokens stand for."""
-        for k in range(0, len(words), CALL_CHUNKS):
-            some = words[k : k + CALL_CHUNKS]
-            (encoded,) = self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
-            ids = np.array(encoded.ids, dtype=np.int64)
-            ends = np.cumsum([len(w.encode()) + 1 for w in some])
-            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
-            raw, start = ids.astype("<u4").tobytes(), 0
-            for word, cut in zip(some, cuts.tolist(), strict=True):
-                self.chunks[word] = raw[4 * start : 4 * cut]
-                start = cut
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, unsigned 32-bit little-endian, without special tokens added."""
+        encode = self._group if self.spaced or self.dropped else self._whole
         out, group, size = [], [], 0
-        encode = self._by_chunk if self.splits_at_spaces else self._whole
         for text in texts:
             group.append(text)
             size += len(text)
@@ -136,39 +126,114 @@ class Encoder:
                 group, size = [], 0
         return out + (encode(group) if group else [])
 
-    def _by_chunk(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks, self.older = {}, self.chunks
-        parts = [text.split(" ") for text in texts]
-        # With a dict itself, not its keys, this costs what is looked up and not what is stored.
-        unseen = set().union(*(p[1:] for p in parts)).difference(self.chunks)
-        plain = {w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()}
-        self._learn(plain)
-        if len(plain) < len(unseen):
-            parts = [p if unseen.isdisjoint(p) else _joined(p) for p in parts]
-            more = set().union(*(p[1:-1] for p in parts)).difference(self.chunks)
-            self._learn(more)
-        heads = self._whole([p[0] for p in parts])
-        known = self.chunks.get
-        out = []
-        for head, p in zip(heads, parts, strict=True):
-            last = known(p[-1]) if len(p) > 1 else b""
-            if last is None:  # it ends with white space, or stands alone behind a space
-                (last,) = self._whole([" " + p[-1]])
-            out.append(head + b"".join(map(self.chunks.__getitem__, p[1:-1])) + last)
+    def _group(self, texts: list[str]) -> list[bytes]:
+        by_library = {k for k, t in enumerate(texts) if any(s in t for s in self.specials)}
+        rest = [k for k in range(len(texts)) if k not in by_library]
+        raw, begins, classes = self._classes([texts[k] for k in rest])
+        if len(odd := np.flatnonzero(classes == 0)):
+            unknown = set(np.unique(np.searchsorted(begins, odd, side="right") - 1).tolist())
+            by_library |= {rest[k] for k in unknown}
+            rest = [k for k in range(len(texts)) if k not in by_library]
+            raw, begins, classes = self._classes([texts[k] for k in rest])
+        out = [b""] * len(texts)
+        for k, ids in zip(rest, self._by_piece(raw, begins, classes), strict=True):
+            out[k] = ids
+        if by_library:
+            for k, ids in zip(sorted(by_library), self._whole([texts[k] for k in sorted(by_library)]), strict=True):
+                out[k] = ids
         return out
 
-
-def _joined(parts: list[str]) -> list[str]:
-    """Parts put together again where the space between them touches other white space."""
-    out = [parts[0]]
-    for part in parts[1:]:
-        before = out[-1]
-        if before and part and not before[-1].isspace() and not part[0].isspace():
-            out.append(part)
+    def _classes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Their bytes, where each text begins, with the end of the last, and the class of each byte."""
+        known = character_classes(self.dropped)
+        encoded = [t.encode() for t in texts]
+        raw = np.frombuffer(b"".join(encoded), np.uint8)
+        begins = np.concatenate([[0], np.cumsum([len(e) for e in encoded], dtype=np.int64)])
+        first = np.zeros(256, np.int8)
+        first[:128] = known[:128]
+        classes = first[raw]
+        two = np.flatnonzero((raw >= 0xC0) & (raw < 0xE0))
+        if len(two):
+            code = (raw[two] & 0x1F).astype(np.int64) << 6 | raw[two + 1] & 0x3F
+            classes[two] = classes[two + 1] = known[code]
+        three = np.flatnonzero((raw >= 0xE0) & (raw < 0xF0))
+        if len(three):
+            code = (raw[three] & 0x0F).astype(np.int64) << 12
+            code |= (raw[three + 1] & 0x3F).astype(np.int64) << 6 | raw[three + 2] & 0x3F
+            classes[three] = classes[three + 1] = classes[three + 2] = known[code]
+        return raw, begins, classes
+
+    def _starts(self, raw: np.ndarray, begins: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Where pieces begin."""
+        edges = begins[:-1][begins[:-1] < begins[1:]]
+        before = np.concatenate([[0], classes[:-1]]).astype(np.int8)
+        before[edges] = 0
+        white = classes >= SPACE
+        # The same for both: a run of white space begins.
+        starts = white & (before < SPACE)
+        if self.spaced:
+            starts |= ~white & (classes != before) & (before != SPACE)
+            # The last of a run stands by itself, or before the word behind it.
+            behind = np.concatenate([classes[1:], [0]]).astype(np.int8)
+            behind[edges[1:] - 1] = 0
+            starts |= white & (behind > 0) & (behind < SPACE)
         else:
-            out[-1] = f"{before} {part}"
-    return out
+            numbers = (classes == NUMBER) & ((raw & 0xC0) != 0x80)
+            starts |= ~white & ((classes != before) | numbers)
+        self._cut_endings(starts, raw, begins, classes)
+        return starts
+
+    def _cut_endings(self, starts: np.ndarray, raw: np.ndarray, begins: np.ndarray, classes: np.ndarray) -> None:
+        at = np.flatnonzero(starts & (raw == APOSTROPHE))
+        if not len(at):
+            return
+        room = begins[np.searchsorted(begins, at, side="right")] - at
+        last = len(raw) - 1
+        fold = 0x20 if self.dropped else 0
+        after = [raw[np.minimum(at + k, last)] for k in (1, 2)]
+        for ending in ENDINGS:
+            size = 1 + len(ending)
+            fits = room >= size
+            for letter, byte in zip(ending, after, strict=False):
+                fits &= (byte | fold if fold else byte) == ord(letter)
+            cut = at[fits]
+            starts[cut + 1] = False
+            behind = (cut + size)[room[fits] > size]
+            starts[behind[classes[behind] == LETTER]] = True
+
+    def _by_piece(self, raw: np.ndarray, begins: np.ndarray, classes: np.ndarray) -> list[bytes]:
+        if not len(raw):
+            return [b""] * (len(begins) - 1)
+        first = np.flatnonzero(self._starts(raw, begins, classes))
+        offsets = np.append(first, len(raw)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(raw))
+        coded = pieces.dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        which = coded.indices.to_numpy()
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        counts = np.array([len(i) for i in ids], np.int64) // 4
+        starts = np.cumsum(counts) - counts
+        each = counts[which]
+        ends = np.cumsum(each)
+        take = np.repeat(starts[which] - (ends - each), each) + np.arange(ends[-1])
+        whole = flat[take].tobytes()
+        # The ids before each text.
+        cuts = (4 * np.append(0, ends)[np.searchsorted(first, begins)]).tolist()
+        return [whole[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces, self.older = {}, self.pieces
+        known, older, out = self.pieces, self.older, []
+        for piece in pieces:
+            ids = known.get(piece)
+            if ids is None:
+                ids = older.get(piece)
+                if ids is None:
+                    ids = self._piece(piece)
+                known[piece] = ids
+            out.append(ids)
+        return out
 
 
 @lru_cache(maxsize=4)

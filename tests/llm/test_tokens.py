@@ -204,11 +204,31 @@ def test_words_with_marks_have_the_ids_of_the_library(texts):
     assert ENCODER.encode(texts) == expected
 
 
-def test_ids_stay_right_while_chunks_are_forgotten(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 20)
+def test_ids_stay_right_while_pieces_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 20)
     monkeypatch.setattr(tokens, "GROUP_CHARS", 60)
     small = Encoder(PATH)
     texts = [" ".join(f"w{'abcdefg'[(k * j) % 7]}{'xyz'[j % 3] * (k % 5)}," for j in range(9)) for k in range(80)]
     texts += ODD + texts
     assert [as_ids(raw) for raw in small.encode(texts)] == [library_ids(t) for t in texts]
     assert small.older
+
+
+TROUBLE = "  \n\t\r\x0b\x85\u00a0''" + "'sStTrReEvVlLmMdDaZ,.!#12é½²ßΣĀİ日€’한🙂\u0301\u0300ᄀ"
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(st.text(alphabet=TROUBLE, max_size=25), min_size=1, max_size=30))
+def test_pieces_are_those_of_the_tokenizer(name, texts):
+    encoder = tokens.encoder(name)
+    texts = [*texts, "<|endoftext|>a <|startoftext|>", "it's'd''re we'LL 's", ""]
+    whole = encoder.library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [as_ids(x) for x in encoder.encode(texts)] == [e.ids for e in whole]
+
+
+def test_special_tokens_can_be_plain_text():
+    plain = Encoder(PATH, plain_specials=True)
+    text = "a <|endoftext|>"
+    assert as_ids(plain.encode([text])[0]) == plain.library.encode(text, add_special_tokens=False).ids
+    assert 50256 not in as_ids(plain.encode([text])[0])
