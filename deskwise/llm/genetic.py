@@ -10,7 +10,7 @@ proves that no fewer bins will do, or the rounds are over.
 
 What is then left in bins with room is dealt anew, bin by bin, to fewer shards, and bred on with the bins
 as they are among the first solutions, so a level never needs more bins than it got. Levels go on while
-they have more than one shard and at most half of the pieces of the level before.
+they have more than one shard and get shorter.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ POPULATION = 6
 ELITE = 2
 # Bins filled less than this are dealt anew.
 WELL_FILLED = 0.985
+# A level that leaves more than this share of its pieces in such bins is the last.
+SHRINKING = 0.9
 
 STATE = "shard long, island int, lengths binary, bound int, bins int, cost double, solutions array<binary>"
 PLACED = "row long, shard long, bin int, offset int, fill int"
@@ -291,7 +293,7 @@ def best_fit_places(
         full = F.col("fill") >= WELL_FILLED * window
         rest = placed.where(~full)
         left = rest.count()
-        last = count == 1 or 2 * left > n or level == 14
+        last = count == 1 or left > SHRINKING * n or level == 14
         final = (placed if last else placed.where(full)).select("row", number.alias("sequence"), "offset")
         done = final if done is None else done.unionByName(final)
         if last:

@@ -103,4 +103,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_licence_digests": oracle.licences(),
     "op6_repetition_coverage": oracle.repetition(),
     "op10_warc_archives": oracle.archives(),
+    "op11_merkle_manifest": oracle.manifest(),
+    "op12_spelling_variants": oracle.spelling_variants(),
 }
