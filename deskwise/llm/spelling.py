@@ -2,21 +2,24 @@
 
 The words of the corpus are counted first. Their grams of two to ``longest`` code points are counted
 then, and pruned to a dictionary: every gram of two is in it, a longer one only if the gram without its
-last code point occurs in so many words that its list would not be selective. A word is decomposed into
+last code point stands at so many places that its list would not be selective. A word is decomposed into
 the longest dictionary grams at its places, without those that lie inside another. For every possible
 edit the grams of the word that it can affect are counted from the dictionary; the largest count bounds
-how many grams any word one edit away can lack. Words one edit apart hence share so many grams that
-the rarest of each (one more than can be affected) have one in common. Lists hold words by such a gram, the
-word's length and the gram's place, so an edit leads to one of three lists. Words that meet in a list are
-compared gram by gram with what their bounds demand, and what passes is verified by edit distance.
-
-A word all of whose grams one edit can affect has no bound. Two of those are found by the same index over
-plain grams of two, in which an edit affects three grams at most.
+how many grams any word one edit away can lack. Words one edit apart that must share two grams have two
+in common among the rarest of each, two more than can be affected. Lists hold words by two such grams,
+their places and the word's length; an edit leaves places as they are before it and moves those behind
+it by one at most, so few lists of each word are merged. Words that meet in a list are held against
+their bounds, by marks of their grams, and what passes is verified by edit distance.
+
+Words that need not share two grams by their bounds are on lists with all of theirs. Two of those
+may still share fewer, and are found by the same index over plain grams of two: a word has one more of
+them than code points, and an edit affects two.
 """
 
 from __future__ import annotations
 
 import zlib
+from itertools import combinations
 from math import ceil, log2
 
 import numpy as np
@@ -37,7 +40,7 @@ LOSSY = 199
 SHORTEST, LONGEST = 2, 4
 # A gram at more places than this is extended. With more words the limit rises, so that no more than
 # MOST_GRAMS grams are ever sent to the workers.
-SELECTIVE = 500
+SELECTIVE = 100
 MOST_GRAMS = 200_000
 FIRST, LAST = "^", "$"
 
@@ -160,6 +163,7 @@ class Grams:
         self.counts, self.longest = counts, longest
         longer = [g for g in counts if len(g) > SHORTEST]
         self.longer = set(longer)
+        self.number = {g: k for k, g in enumerate(sorted(counts))}
         # What an unseen neighbour can extend to a gram of the dictionary, and be the end of one.
         self.heads = {g[:k] for g in longer for k in range(SHORTEST, len(g))}
         self.tails = {g[-k:] for g in longer for k in range(SHORTEST, len(g))}
@@ -209,39 +213,53 @@ class Grams:
         return most
 
 
-# What a list holds of a word. Bits: of each gram, by hash; lack: how many grams a neighbour can lack.
-INDEXED = "word string, n long, length int, lack int, bits long, grams array<string>, places array<int>"
+# What lists hold of a word. Bits: of each gram, by hash; lack: how many grams a neighbour can lack, -1 if it
+# need not share two. Lists are those the word is on by its length, and those of words one shorter.
+INDEXED = "word string, n long, lack int, bits long, own array<long>, shorter array<long>"
 INDEX_SCHEMA = pa.schema(
-    [("word", pa.string()), ("n", pa.int64()), ("length", pa.int32()), ("lack", pa.int32()), ("bits", pa.int64()),
-     ("grams", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))]
+    [("word", pa.string()), ("n", pa.int64()), ("lack", pa.int32()), ("bits", pa.int64()),
+     ("own", pa.list_(pa.int64())), ("shorter", pa.list_(pa.int64()))]
 )
+SHARED = 2
+
+
+def _list(one: int, place: int, other: int, further: int, length: int) -> int:
+    """A list's number. Lists of words of more than 63 code points may share one."""
+    number = (one << 18 | other) << 18
+    return (number | (place & 63) << 12 | (further & 63) << 6 | length & 63) & (1 << 63) - 1
+
+
+def lists_of(grams: Grams, word: str) -> tuple[list[int], list[int], int, int]:
+    """The word's lists, those of its neighbours one shorter, lack and bits."""
+    found = grams.decompose(word)
+    lack = grams.affected(word, found)
+    bits = 0
+    for _, gram in found:
+        bits |= 1 << (zlib.crc32(gram.encode()) & 63)
+    if bits >> 63:
+        bits -= 1 << 64
+    count, number, length = grams.counts.get, grams.number, len(word)
+    rare = sorted(found, key=lambda at: (count(at[1], 0), at[1], at[0]))[: lack + SHARED]
+    placed = sorted((p, number.get(g, 0)) for p, g in rare)
+    own, shorter = [], []
+    for (p, one), (q, other) in combinations(placed, SHARED):
+        own.append(_list(one, p, other, q, length))
+        # The code point too many stands behind both, between them or before both.
+        shorter += [_list(one, p - a, other, q - b, length - 1) for a, b in ((0, 0), (0, 1), (1, 1))]
+    return own, shorter, lack if lack + SHARED <= len(found) else -1, bits
 
 
 def _index(dictionary):
-    """Words with their grams, the rarest first, which lists they are put on."""
+    """Words with the lists they are on."""
 
     def run(batches):
         grams: Grams = dictionary.value
-        count = grams.counts.get
         for batch in batches:
-            lacks, bits, names, places = [], [], [], []
-            for word in batch.column(0).to_pylist():
-                own = sorted((count(g, 0), g, p) for p, g in grams.decompose(word))
-                lack = grams.affected(word, [(p, g) for _, g, p in own])
-                marks = 0
-                for _, g, _ in own:
-                    marks |= 1 << (zlib.crc32(g.encode()) & 63)
-                lacks.append(lack)
-                bits.append(marks - (1 << 64) if marks >> 63 else marks)
-                # One more than can be lacking; all if they all can.
-                names.append([g for _, g, _ in own[: lack + 1]])
-                places.append([p for _, _, p in own[: lack + 1]])
-                if lack >= len(own):
-                    lacks[-1] = -1
+            each = [lists_of(grams, word) for word in batch.column(0).to_pylist()]
+            own, shorter, lack, bits = zip(*each, strict=True) if each else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pc.utf8_length(batch.column(0)), pa.array(lacks, pa.int32()),
-                 pa.array(bits, pa.int64()), pa.array(names, pa.list_(pa.string())),
-                 pa.array(places, pa.list_(pa.int32()))],
+                [batch.column(0), batch.column(1), pa.array(lack, pa.int32()), pa.array(bits, pa.int64()),
+                 pa.array(own, pa.list_(pa.int64())), pa.array(shorter, pa.list_(pa.int64()))],
                 schema=INDEX_SCHEMA,
             )
 
@@ -261,8 +279,6 @@ def gram_counts(words: DataFrame, longest: int) -> DataFrame:
 def gram_dictionary(words: DataFrame, longest: int, selective: int = SELECTIVE, most: int = MOST_GRAMS) -> Grams:
     """The pruned dictionary, of ``most`` grams longer than two at the most: with more, the limit beyond
     which a gram is extended is doubled until they are so many."""
-    if longest == SHORTEST:
-        return Grams({}, longest)
     counts = held(gram_counts(words, longest), "grams")
     longer = counts.where(F.length("gram") > SHORTEST).withColumn("head", F.expr("left(gram, length(gram) - 1)"))
     heads = counts.select(F.col("gram").alias("head"), F.col("n").alias("head_n")).where(F.col("head_n") > selective)
@@ -279,25 +295,12 @@ def gram_dictionary(words: DataFrame, longest: int, selective: int = SELECTIVE,
     return Grams({r.gram: r.n for r in kept.unionByName(shortest).collect()}, longest)
 
 
-def _lists(indexed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries of the lists, by a hash of gram, length and place: those of the words of that length; and
-    with them those of words one longer, whose gram may stand one further."""
-    entry = F.struct("word", "n", "bits", "lack").alias("entry")
-    pair = F.explode(F.arrays_zip("grams", "places"))
-    each = indexed.select(entry, "length", pair.alias("at")).select(
-        "entry", "length", F.col("at.grams").alias("gram"), F.col("at.places").alias("place")
-    )
-    own = each.select("entry", F.xxhash64("gram", "length", "place").alias("list"))
-    longer = [each.select("entry", F.xxhash64("gram", F.col("length") - 1, F.col("place") - k).alias("list")) for k in (0, 1)]
-    met = own.withColumn("longer", F.lit(False))
-    for more in longer:
-        met = met.unionByName(more.withColumn("longer", F.lit(True)))
-    return own, met
-
-
 def _pairs(indexed: DataFrame) -> DataFrame:
     """Pairs of words one edit apart, once for each list they meet on."""
-    own, met = _lists(indexed)
+    entry = F.struct("word", "n", "bits", "lack").alias("entry")
+    own = indexed.select(entry, F.explode("own").alias("list"))
+    longer = indexed.select(entry, F.explode("shorter").alias("list"), F.lit(True).alias("longer"))
+    met = own.withColumn("longer", F.lit(False)).unionByName(longer)
     a, b = own.alias("a"), met.alias("b")
     x, y = F.col("a.entry"), F.col("b.entry")
 
@@ -319,9 +322,12 @@ def _pairs(indexed: DataFrame) -> DataFrame:
 def near_words(words: DataFrame, longest: int = LONGEST, selective: int = SELECTIVE) -> DataFrame:
     """a, a_n, b, b_n: each pair of words exactly one edit apart, once. ``words`` (word, n) is stored."""
     spark = words.sparkSession
-    dictionary = spark.sparkContext.broadcast(gram_dictionary(words, longest, selective))
+    grams = gram_dictionary(words, longest, selective)
+    dictionary = spark.sparkContext.broadcast(grams)
     indexed = held(words.select("word", "n").mapInArrow(_index(dictionary), INDEXED), "gram-index")
-    plain = spark.sparkContext.broadcast(Grams({}, SHORTEST))
+    plain = spark.sparkContext.broadcast(
+        Grams({g: n for g, n in grams.counts.items() if len(g) == SHORTEST}, SHORTEST)
+    )
     unbound = indexed.where("lack < 0").select("word", "n").mapInArrow(_index(plain), INDEXED)
     return _pairs(indexed).unionByName(_pairs(unbound)).distinct()
 
