@@ -1,14 +1,13 @@
 """Type-2 history by the timestamp strategy.
 
-Versions are only ever appended: a version's end is the start of its key's next version, derived
-when the history is read. A run therefore writes the changed rows and nothing else, and repeating a
-run writes nothing. A key gains at most one version per run, which bounds every per-key window by
-the number of runs.
+A history has two parts: the open version of each key, and the closed ones. What a run changes follows from
+the open ones alone, of which each key has one, so neither part is ever sorted or ranked as a whole, and
+repeating a run changes nothing. A key gains at most one version per run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskwise.functions.keys import version_id
@@ -23,25 +22,19 @@ VALID_TO = "dbt_valid_to"
 
 
 def new_versions(
-    versions: DataFrame | None,
+    current: DataFrame | None,
     source: DataFrame,
     key: str,
     changed_at: str,
     tiebreak: list[Column] | None = None,
 ) -> DataFrame:
-    """Source rows that open a version: unseen keys, and keys that changed since their last one.
+    """Source rows that open a version: unseen keys, and keys that changed since their open one.
 
     Keys that left the source are not closed.
     """
     source = newest_per_key(source, [key], [F.col(changed_at).desc_nulls_last(), *(tiebreak or [])])
-    if versions is not None:
-        # Two columns of the history, reduced to the source's keys before they are aggregated.
-        latest = (
-            versions.select(key, VALID_FROM)
-            .join(source.select(key), key, "left_semi")
-            .groupBy(key)
-            .agg(F.max(VALID_FROM).alias("__latest"))
-        )
+    if current is not None:
+        latest = current.select(key, F.col(VALID_FROM).alias("__latest"))
         source = (
             source.join(latest, key, "left")
             .where(F.col("__latest").isNull() | (F.col(changed_at) > F.col("__latest")))
@@ -56,10 +49,9 @@ def new_versions(
     )
 
 
-def with_validity(versions: DataFrame, key: str) -> DataFrame:
-    """Close each version at the start of the next; the newest stays open."""
-    following = F.lead(VALID_FROM).over(Window.partitionBy(key).orderBy(VALID_FROM))
-    return versions.withColumn(VALID_TO, following)
+def closed_by(current: DataFrame, opened: DataFrame, key: str) -> DataFrame:
+    """Open versions that one of ``opened`` follows, each closed at the start of that."""
+    return current.join(opened.select(key, F.col(VALID_FROM).alias(VALID_TO)), key)
 
 
 def as_of_join(probes: DataFrame, history: DataFrame, key: str, moment: str) -> DataFrame:

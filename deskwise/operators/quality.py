@@ -12,7 +12,7 @@ from dataclasses import astuple, dataclass
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deskwise.operators.spine import literal_table
@@ -20,6 +20,8 @@ from deskwise.settings import Settings
 
 # Outcomes and severities.
 PASS, WARN, ERROR = "pass", "warn", "error"
+# A check that was not made, as what it checks was not built.
+SKIPPED = "skipped"
 
 @dataclass(frozen=True)
 class Limits:
@@ -70,6 +72,27 @@ def row_findings(rows: DataFrame, predicates: Mapping[str, Column]) -> DataFrame
     return counted.select(F.inline(F.array(*entries)))
 
 
+class RowTerms:
+    """Row checks that are counted while the rows pass by on their way to a write.
+
+    ``attach`` adds the counts to a plan; the first action that runs it, one write, brings them along, so
+    the rows are not scanned again for their checks. ``findings`` waits for that action.
+    """
+
+    def __init__(self, predicates: Mapping[str, Column]):
+        self.names = list(predicates)
+        self.terms = [F.count_if(predicates[n]).alias(f"c{i}") for i, n in enumerate(self.names)]
+        self.observation = Observation()
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.observation, *self.terms) if self.terms else rows
+
+    def findings(self, spark: SparkSession) -> DataFrame:
+        counts = self.observation.get if self.terms else {}
+        rows = [(n, counts[f"c{i}"]) for i, n in enumerate(self.names)]
+        return literal_table(spark, "check_name string, failures bigint", rows)
+
+
 def duplicates(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Values of one column, or combinations of several, that occur more than once. A lone null is
     not a value; within a combination it is."""

@@ -88,7 +88,7 @@ def lookback_start(
     watermark past every real update, and the table would silently stop growing. None (an empty
     target) means everything is to be read.
     """
-    return _watermark(target, updated, created, settings).first()[0]
+    return watermark(target, updated, created, settings).first()[0]
 
 
 def lookback_filter(
@@ -100,11 +100,12 @@ def lookback_filter(
     """
     if target is None:
         return rows
-    watermark = _watermark(target, updated, created, settings).scalar()
-    return rows.where(moved_since(updated, created, F.coalesce(watermark, instant(datetime.min))))
+    start = watermark(target, updated, created, settings).scalar()
+    return rows.where(moved_since(updated, created, F.coalesce(start, instant(datetime.min))))
 
 
-def _watermark(target: DataFrame, updated: str, created: str, settings: Settings) -> DataFrame:
+def watermark(target: DataFrame, updated: str, created: str, settings: Settings) -> DataFrame:
+    """One row, with the newest movement that is not later than the clock, less the lookback."""
     moved = last_moved(F.col(updated), F.col(created))
     lookback = F.make_dt_interval(F.lit(settings.incremental_lookback_days))
     return target.where(moved <= settings.now).agg((F.max(moved) - lookback).alias("start"))

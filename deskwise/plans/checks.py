@@ -364,40 +364,73 @@ def foreign_keys(table: str, checks: TableChecks, tables: Mapping[str, DataFrame
     }
 
 
-def cross_findings(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Cross-row and cross-table checks that the given tables allow, by name."""
-    fact, daily, history = (tables.get(t) for t in ("fct_requests", "fct_daily", "snp_request_status"))
-    failing = {}
-    if fact is not None:
-        failing["fct_requests.types_are_mapped"] = unmapped_types(fact)
-    if fact is not None and daily is not None:
-        failing["fct_daily.reconciles_to_requests"] = unreconciled(fact, daily)
-    if history is not None:
-        failing["snp_request_status.one_current_version"] = open_version_conflicts(history)
-    return {name: q.findings_of(rows, name) for name, rows in failing.items()}
-
-
-def run_checks(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
-    """Check name, failing rows and outcome, for every check of the tables given.
-
-    A table is scanned at most three times however many checks it has: one fused aggregate for its
-    rows, one for its unique keys and one for its foreign keys.
-    """
+# The table after which each cross-table check can be made.
+CROSS = {
+    "fct_requests": "fct_requests.types_are_mapped",
+    "fct_daily": "fct_daily.reconciles_to_requests",
+    "snp_request_status": "snp_request_status.one_current_version",
+}
+
+
+def cross_findings(table: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Cross-row and cross-table checks that belong to a table, by name."""
+    if table == "fct_requests":
+        failing = unmapped_types(tables[table])
+    elif table == "fct_daily" and "fct_requests" in tables:
+        failing = unreconciled(tables["fct_requests"], tables[table])
+    elif table == "snp_request_status":
+        failing = open_version_conflicts(tables[table])
+    else:
+        return {}
+    return {CROSS[table]: q.findings_of(failing, CROSS[table])}
+
+
+def row_terms(table: str, settings: Settings) -> q.RowTerms:
+    """The row checks of a table, to be counted while it is written."""
+    return q.RowTerms(predicates(table, DECLARED[table], settings) if table in DECLARED else {})
+
+
+def names_of(table: str, tables: Mapping[str, DataFrame], settings: Settings) -> list[str]:
+    """Every check of a table, given the tables it can refer to."""
+    if table not in DECLARED:
+        return []
+    checks = DECLARED[table]
+    cross = [CROSS[table]] if table in CROSS and (table != "fct_daily" or "fct_requests" in tables) else []
+    return [
+        *predicates(table, checks, settings), *unique_sets(table, checks), *foreign_keys(table, checks, tables), *cross
+    ]
+
+
+def table_findings(
+    table: str, tables: Mapping[str, DataFrame], settings: Settings, counted: Mapping[str, q.RowTerms] | None = None
+) -> list[DataFrame]:
+    """Findings of a table's checks. It is scanned at most three times however many there are: one fused
+    aggregate for its rows, unless they were counted as it was written, one for its unique keys and one for
+    its foreign keys."""
+    rows, checks = tables[table], DECLARED[table]
+    if table in (counted or {}):
+        found = [counted[table].findings(rows.sparkSession)]
+    else:
+        found = [q.row_findings(rows, predicates(table, checks, settings))]
+    sets, keys = unique_sets(table, checks), foreign_keys(table, checks, tables)
+    if sets:
+        found.append(q.unique_findings(rows, sets))
+    if keys:
+        found.append(q.orphan_findings(rows, keys))
+    return [*found, *cross_findings(table, tables).values()]
+
+
+def run_checks(
+    tables: Mapping[str, DataFrame], settings: Settings, counted: Mapping[str, q.RowTerms] | None = None,
+    only: str | None = None,
+) -> DataFrame:
+    """Check name, failing rows and outcome, for every check of the tables given, or of one of them."""
     names, found = [], []
-    for table in (t for t in tables if t in DECLARED):
-        rows, checks = tables[table], DECLARED[table]
-        named = predicates(table, checks, settings)
-        sets = unique_sets(table, checks)
-        keys = foreign_keys(table, checks, tables)
-        found.append(q.row_findings(rows, named))
-        if sets:
-            found.append(q.unique_findings(rows, sets))
-        if keys:
-            found.append(q.orphan_findings(rows, keys))
-        names += [*named, *sets, *keys]
-    cross = cross_findings(tables)
-    every = reduce(DataFrame.unionByName, [*found, *cross.values()])
-    return q.judged(every, [*names, *cross], limits())
+    for table in ([only] if only else tables):
+        if table in DECLARED:
+            found += table_findings(table, tables, settings, counted)
+            names += names_of(table, tables, settings)
+    return q.judged(reduce(DataFrame.unionByName, found), names, limits())
 
 
 def freshness(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:

@@ -67,17 +67,30 @@ def dim_weather_band(spark: SparkSession) -> DataFrame:
     )
 
 
-def dim_agency(staged: DataFrame) -> DataFrame:
-    """One row per agency code, labelled with its latest non-null name.
-
-    Requests are first reduced to the last sighting of each (code, name), a hash aggregate with a
-    tiny result; only that is ranked. An agency with a third of all requests costs nothing extra.
-    """
-    sightings = (
+def agency_sightings(staged: DataFrame) -> DataFrame:
+    """The last sighting of each agency code under each name: a hash aggregate with a tiny result."""
+    return (
         staged.where(F.col("agency_code").isNotNull())
         .groupBy("agency_code", "agency_name")
         .agg(F.max("created_at").alias("last_seen"))
     )
+
+
+def later_sightings(sightings: DataFrame, more: DataFrame) -> DataFrame:
+    """Sightings of earlier runs and of this one; the later of two under one name stays."""
+    return sightings.unionByName(more).groupBy("agency_code", "agency_name").agg(F.max("last_seen").alias("last_seen"))
+
+
+def dim_agency(staged: DataFrame) -> DataFrame:
+    """One row per agency code, labelled with its latest non-null name.
+
+    Requests are first reduced to sightings; only those are ranked. An agency with a third of all requests
+    costs nothing extra.
+    """
+    return agencies_of(agency_sightings(staged))
+
+
+def agencies_of(sightings: DataFrame) -> DataFrame:
     latest = newest_per_key(
         sightings,
         ["agency_code"],
@@ -87,8 +100,6 @@ def dim_agency(staged: DataFrame) -> DataFrame:
         F.coalesce("agency_name", "agency_code").alias("agency_name"),
         F.lit(True).alias("is_known_agency"),
     )
-    unknown = literal_table(
-        staged.sparkSession, latest.schema, [(UNKNOWN_CODE, "Unknown", False)]
-    )
+    unknown = literal_table(sightings.sparkSession, latest.schema, [(UNKNOWN_CODE, "Unknown", False)])
     members = latest.unionByName(unknown)
     return members.select(surrogate_key("agency_code").alias("agency_key"), "*")

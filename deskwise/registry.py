@@ -6,20 +6,22 @@ under the session's shared scratch folder and return what they wrote.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timedelta
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskwise.functions import bands
 from deskwise.functions.keys import surrogate_key
-from deskwise.operators import history, quality
-from deskwise.operators.upsert import merge_rows
+from deskwise.operators import counting, history, quality, sketches
+from deskwise.operators.upsert import merge_rows, watermark
 from deskwise.plans import checks, dimensions, facts, intermediate, reports, staging
-from deskwise.plans.nightly import DAILY_LAYOUT, FACT_LAYOUT, REQUESTS_LAYOUT
-from deskwise.session import scratch_dir
+from deskwise.plans.nightly import DAILY_LAYOUT, FACT_LAYOUT, REQUESTS_LAYOUT, STATUS, Job
+from deskwise.session import scratch_dir, session_zone
 from deskwise.settings import Settings, instant
 from deskwise.sources import adapters, audit, landing, schemas, tables
 from deskwise.streaming import jobs
@@ -33,8 +35,6 @@ class Feed:
     """The models over one adapter, each built on first use and all of them lazy."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings):
-        # Streams and date parts read zoned timestamps in the session zone.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir, self.settings = spark, sf_dir, settings
 
     def table(self, name: str) -> DataFrame:
@@ -155,6 +155,23 @@ class Orders(Feed):
         return adapters.weather_from_orders(self.table("orders"))
 
 
+class AllOrders(Orders):
+    """Every order: the clock, the window and the calendar follow from the first and the last of them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        # Two values, from the files' statistics.
+        first, last = self.table("orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+        if first is not None:
+            months = (last.year - first.year) * 12 + last.month - first.month + 2
+            # An order's local day is the one before where it is dated by midnight in UTC.
+            self.settings = Settings(
+                as_of=datetime(last.year, last.month, last.day) + timedelta(days=1),
+                analysis_window_months=months,
+                spine_start=first.date() - timedelta(days=1),
+            )
+
+
 def rounded(rows: DataFrame, *columns: str) -> DataFrame:
     """Sums of fractions depend on the order of addition in their last digits; six are compared."""
     return rows.withColumns({c: F.round(c, 6) for c in columns})
@@ -164,7 +181,11 @@ def stored(rows: DataFrame, purpose: str, layout: tables.Layout | None = None) -
     """Rows written to the shared scratch folder and read back, as the nightly job stores its marts."""
     path = scratch_dir(rows.sparkSession, purpose)
     tables.overwrite_table(rows, path, layout)
-    return tables.read_table(rows.sparkSession, path).drop(tables.MONTH)
+    return _read(rows.sparkSession, path)
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return tables.without_parts(tables.read_table(spark, path))
 
 
 # Staging and intermediate models
@@ -267,7 +288,7 @@ def fct_orders(spark, sf):
 
 
 def orders_daily(spark, sf):
-    return Orders(spark, sf).daily
+    return AllOrders(spark, sf).daily
 
 
 # Reports
@@ -282,7 +303,7 @@ def daily_service_levels(spark, sf):
 
 
 def heat_season(spark, sf):
-    return Orders(spark, sf).heat
+    return AllOrders(spark, sf).heat
 
 
 def _freshness(feed: Events):
@@ -318,6 +339,34 @@ def service_level_trend(spark, sf):
     return reports.service_level_trend(Events(spark, sf).extract)
 
 
+def sketch_percentiles(spark, sf):
+    """Percentiles of months from daily sketches, merged, beside the exact ones: whether the rank of what
+    the sketches return is within the promised error."""
+    keys = ["borough_name", "service_category"]
+    fact = Events(spark, sf).fact.where(F.col("closed_date_local").isNotNull())
+    hours, month = "reportable_resolution_hours", F.trunc("closed_date_local", "month").alias("month")
+    daily = sketches.sketched(fact, [*keys, "closed_date_local"], hours)
+    monthly = sketches.merged(daily.select(*keys, month, sketches.SKETCH), [*keys, "month"])
+    near = monthly.select(
+        *keys, "month", sketches.size().alias("closures_measured"),
+        sketches.percentile(50).alias("median"), sketches.percentile(90).alias("p90"),
+    )
+    rows = fact.select(*keys, month, hours)
+    wanted = {"median": 50, "p90": 90}
+    errors = sketches.rank_error(rows, [*keys, "month"], hours, near, wanted)
+    counts = rows.where(F.col(hours).isNotNull()).groupBy(*keys, "month", hours).agg(F.count(F.lit(1)).alias("n"))
+    exact = counting.running_counts(counts, [*keys, "month"], hours, "n").groupBy(*keys, "month").agg(
+        counting.percentile(hours, 50).alias("median_resolution_hours"),
+        counting.percentile(hours, 90).alias("p90_resolution_hours"),
+    )
+    return (
+        near.drop("median", "p90").join(exact, [*keys, "month"]).join(errors, [*keys, "month"])
+        .withColumn("median_within_bound", F.col("median") <= sketches.RANK_ERROR)
+        .withColumn("p90_within_bound", F.col("p90") <= sketches.RANK_ERROR)
+        .drop("median", "p90")
+    )
+
+
 def agencies(spark, sf):
     return reports.agencies(Events(spark, sf).performance)
 
@@ -347,11 +396,11 @@ def heat_daily(spark, sf):
 
 
 def in_season(spark, sf):
-    return reports.heat_by_temperature(Orders(spark, sf).heat, in_season=True)
+    return reports.heat_by_temperature(AllOrders(spark, sf).heat, in_season=True)
 
 
 def out_of_season(spark, sf):
-    return reports.heat_by_temperature(Orders(spark, sf).heat, in_season=False)
+    return reports.heat_by_temperature(AllOrders(spark, sf).heat, in_season=False)
 
 
 def by_weather(spark, sf):
@@ -396,14 +445,14 @@ def raw_upsert(spark, sf):
 
 
 def raw_upsert_table(spark, sf):
-    """The same merge through the stored table, rewriting only the months the batch touches."""
+    """The same merge through the stored table, rewriting only the partitions the batch touches."""
     first, second = Extract(spark, sf, adapters.FIRST), Extract(spark, sf, adapters.SECOND)
     batch = landing.changed_requests(_with_rereads(second.raw, 10), second.settings, CURSORS)
     path = scratch_dir(spark, "raw-upsert")
     version = landing.request_version(second.settings)
     for rows in (first.raw, batch):
         tables.upsert_table(spark, path, rows, REQUESTS_LAYOUT, version, landing.request_tiebreak())
-    return tables.read_table(spark, path).drop(tables.MONTH)
+    return _read(spark, path)
 
 
 def trailing_reload(spark, sf):
@@ -441,7 +490,7 @@ def extract_audit(spark, sf):
     chunks = Events(spark, sf).events.select(
         F.col("event_type").alias("walk"),
         F.floor(F.col("event_id") / PAGE).alias("chunk_no"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("cursor"),
+        (F.col("ts").cast("date").cast("timestamp_ntz") + adapters.minutes(F.hour("ts") * 60)).alias("cursor"),
     )
     return audit.chunk_findings(chunks, "cursor")
 
@@ -471,12 +520,87 @@ def landing_json(spark, sf):
 
 def _landed_json(spark, sf) -> str:
     path = scratch_dir(spark, "landing")
+    _as_json(Events(spark, sf).raw).write.json(path)
+    return path
+
+
+def _as_json(raw: DataFrame) -> DataFrame:
+    """Requests as the feed writes them."""
     stamps = {
         c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         for c in (landing.CREATED, landing.UPDATED, "closed_date")
     }
-    Events(spark, sf).raw.withColumns(stamps).drop(schemas.LOAD_ID).write.json(path)
-    return path
+    return raw.withColumns(stamps).drop(schemas.LOAD_ID)
+
+
+# Runs a capped landing is spread over, and one more that finds nothing.
+CAPPED_RUNS = 3
+LANDING_ROWS = 200
+
+
+def _landed_in_runs(spark, sf) -> Job:
+    """The feed landed by several runs of the nightly job, each with a cap on the files it takes."""
+    source = scratch_dir(spark, "landing")
+    _as_json(Events(spark, sf).raw).write.option("maxRecordsPerFile", LANDING_ROWS).json(source)
+    files = landing.landed_files(spark, source).count()
+    capped = replace(adapters.EVENTS, max_chunks_per_run=-(-files // CAPPED_RUNS))
+    job = Job(spark, tables.Warehouse(scratch_dir(spark, "warehouse")), capped)
+    for run in range(CAPPED_RUNS + 1):
+        job.land_requests(source, f"run-{run}")
+    return job
+
+
+def capped_landing(spark, sf):
+    """What several capped runs have landed: every record once, however the files fell to them."""
+    return _landed_in_runs(spark, sf).read("raw", "service_requests").select(*schemas.REQUEST_FIELDS)
+
+
+def load_ledger(spark, sf):
+    """The ledger of those runs: one row each, the last of which took nothing."""
+    job = _landed_in_runs(spark, sf)
+    took = job.read("raw", "service_requests").select(F.col(schemas.LOAD_ID).alias("load_id")).distinct()
+    return job.read("raw", "loads").join(took.withColumn("took", F.lit(True)), "load_id", "left").select(
+        "load_id", "status", F.coalesce("took", F.lit(False)).alias("landed_rows")
+    )
+
+
+def agency_sightings(spark, sf):
+    """What the agency dimension is made of, kept up run by run."""
+    return _landed_in_runs(spark, sf).read("raw", "agency_sightings")
+
+
+def raw_upsert_landed(spark, sf):
+    """A later landing takes some closures back and corrects others to an earlier time: it wins although
+    its dates do not. The first landing, read again, changes nothing."""
+    first = Extract(spark, sf, adapters.FIRST).raw
+    turn = F.col("unique_key").cast("bigint") % 7
+    reopened, earlier = turn == 0, turn == 1
+    closed = F.when(earlier, F.col("closed_date") - adapters.minutes(F.lit(90))).when(~reopened, F.col("closed_date"))
+    second = first.where(turn < 2).withColumns(
+        {
+            "closed_date": closed,
+            landing.UPDATED: closed,
+            "status": F.when(reopened, "Open").otherwise(F.col("status")),
+        }
+    )
+    source, path = scratch_dir(spark, "landing"), scratch_dir(spark, "raw-landed")
+    inside = [landing.request_version(adapters.FIRST).desc_nulls_last()]
+    for name, rows in (("1", first), ("2", second)):
+        _as_json(rows).write.json(f"{source}/{name}")
+    for name in ("1", "2", "1"):
+        batch = landing.typed_requests(landing.read_landed(spark, f"{source}/{name}"))
+        tables.upsert_table(spark, path, batch, REQUESTS_LAYOUT, landing.landing_version(), inside)
+    return _read(spark, path).select(*schemas.REQUEST_FIELDS)
+
+
+def seed_demand(spark, sf):
+    """The category map landed as CSV and read by its declared types, with the demand of each type."""
+    path, feed = scratch_dir(spark, "seed"), Events(spark, sf)
+    feed.seed.coalesce(1).write.option("header", True).csv(path)
+    demand = feed.staged.groupBy("complaint_type").agg(F.count(F.lit(1)).alias("requests_created"))
+    return landing.read_seed(spark, path).join(demand, "complaint_type", "left").withColumn(
+        "requests_created", F.coalesce("requests_created", F.lit(0))
+    )
 
 
 def resumable_ingest(spark, sf):
@@ -496,16 +620,35 @@ def additive_columns(spark, sf):
 
 
 def clustered_sink(spark, sf):
-    """The fact stored by month and clustered, then summarised per stored month."""
+    """The fact stored by month and clustered, then summarised per stored month: with how many rows of its
+    files follow one that should come behind them."""
     path = scratch_dir(spark, "clustered")
     tables.write_clustered(Events(spark, sf).fact, path, FACT_LAYOUT)
+    stored = tables.read_table(spark, path).withColumns(
+        {"file": F.col("_metadata.file_path"), "cluster": F.struct(*FACT_LAYOUT.cluster_by),
+         "place": F.col("_metadata.row_index")}
+    )
+    # A file is bounded by what one task writes.
+    before = F.lag("cluster").over(Window.partitionBy("file").orderBy("place"))
     return (
-        tables.read_table(spark, path)
+        stored.withColumn("before", before)
         .groupBy(tables.MONTH)
-        .agg(F.count(F.lit(1)).alias("requests"), F.count_if("is_closed").alias("closed"))
+        .agg(
+            F.count(F.lit(1)).alias("requests"),
+            F.count_if("is_closed").alias("closed"),
+            F.count_if(F.col("before") > F.col("cluster")).alias("out_of_order"),
+        )
     )
 
 
+def stored_extract(spark, sf):
+    """A report written to its layer of a warehouse and read back by its name in the catalogue."""
+    warehouse = tables.Warehouse(scratch_dir(spark, "warehouse"), f"w{uuid.uuid4().hex[:8]}_")
+    name, path = (make("reports", "agency_performance") for make in (warehouse.name, warehouse.path))
+    tables.materialise(tables.Model("table"), Events(spark, sf).performance, name, path)
+    return spark.table(name)
+
+
 # Incremental fact and history
 
 
@@ -519,13 +662,18 @@ def incremental_merge(spark, sf):
     return facts.merged_requests(target, _incremental_batch(spark, sf, target))
 
 
+def lookback_watermark(spark, sf):
+    """Where an incremental run starts reading a fact that holds movements later than its clock."""
+    return watermark(Events(spark, sf).fact, "resolution_updated_at", "created_at", adapters.SECOND)
+
+
 def incremental_merge_table(spark, sf):
     """The same merge through the stored table."""
     path = scratch_dir(spark, "fact")
     tables.upsert_table(spark, path, Extract(spark, sf, adapters.FIRST).fact, FACT_LAYOUT)
-    target = tables.read_table(spark, path).drop(tables.MONTH)
+    target = _read(spark, path)
     tables.upsert_table(spark, path, _incremental_batch(spark, sf, target), FACT_LAYOUT)
-    return tables.read_table(spark, path).drop(tables.MONTH)
+    return _read(spark, path)
 
 
 def _sources(spark, sf) -> list[DataFrame]:
@@ -533,26 +681,32 @@ def _sources(spark, sf) -> list[DataFrame]:
     return [facts.snapshot_source(x.staged, x.settings) for x in extracts]
 
 
+def _snapshots(spark, sf, sources: list[DataFrame]) -> str:
+    """The folder of a history that has taken the sources one after the other."""
+    path = scratch_dir(spark, "history")
+    for source in sources:
+        tables.snapshot_table(source, path, STATUS)
+    return path
+
+
 def _history(spark, sf) -> DataFrame:
-    """Versions of two runs, kept as appended rows, with their validity derived on read."""
-    path = scratch_dir(spark, "versions")
-    for source in _sources(spark, sf):
-        versions = tables.read_table(spark, path)
-        fresh = history.new_versions(versions, source, "request_id", "status_changed_at")
-        tables.append_rows(fresh, path)
-    return history.with_validity(tables.read_table(spark, path), "request_id")
+    return tables.read_history(spark, _snapshots(spark, sf, _sources(spark, sf)))
 
 
 def scd2_history(spark, sf):
+    """Versions of two runs: the open ones, and those that later ones closed."""
     return _history(spark, sf)
 
 
 def scd2_replayed(spark, sf):
     """History after the second extract is taken again: nothing opens, so nothing changes."""
-    done = _history(spark, sf)
-    again = history.new_versions(done, _sources(spark, sf)[1], "request_id", "status_changed_at")
-    versions = done.drop(history.VALID_TO).unionByName(again)
-    return history.with_validity(versions, "request_id")
+    first, second = _sources(spark, sf)
+    return tables.read_history(spark, _snapshots(spark, sf, [first, second, second]))
+
+
+def scd2_current(spark, sf):
+    """The open version of each request, read as it is stored."""
+    return tables.read_current(spark, _snapshots(spark, sf, _sources(spark, sf)))
 
 
 def scd2_point_in_time(spark, sf):
@@ -581,17 +735,26 @@ def stale_open_versions(spark, sf):
 # Quality
 
 
-def _stored_models(spark, sf) -> dict[str, DataFrame]:
-    """Every checked table of the events feed. The marts are stored first, as the checks read each
-    of them several times."""
-    feed = Events(spark, sf)
-    fact = stored(feed.fact, "fact", FACT_LAYOUT)
+def _checked_models(spark, sf) -> tuple[dict[str, DataFrame], dict[str, quality.RowTerms]]:
+    """Every checked table of the events feed, and the row checks that were counted while the marts were
+    stored. Requests pass through all of their models on the way to the fact, so that one scan counts the
+    checks of the raw rows, the staged, the measured and the fact's."""
+    feed, watched = Events(spark, sf), Events(spark, sf)
     # Weather and calendar are a row per day; the agency dimension a row per code.
     weather = stored(feed.raw_weather, "weather")
     staged_weather = staging.stg_weather(weather)
     banded = intermediate.int_weather_banded(staged_weather)
+    names = ("service_requests", "stg_requests", "int_requests", "fct_requests", "fct_daily", "dim_agency")
+    counted = {name: checks.row_terms(name, adapters.SECOND) for name in names}
+    watched.raw = counted["service_requests"].attach(feed.raw)
+    watched.staged = counted["stg_requests"].attach(staging.stg_requests(watched.raw))
+    watched.requests = counted["int_requests"].attach(
+        intermediate.int_requests(watched.staged, feed.seed, feed.settings)
+    )
+    passing = facts.fct_requests(watched.requests, banded, feed.dim_date, feed.settings)
+    fact = stored(counted["fct_requests"].attach(passing), "fact", FACT_LAYOUT)
     daily = facts.fct_daily(fact, feed.dim_date, feed.dim_location, feed.dim_category, banded)
-    return {
+    models = {
         "service_requests": feed.raw,
         "weather_daily": weather,
         "loads": feed.loads,
@@ -602,19 +765,21 @@ def _stored_models(spark, sf) -> dict[str, DataFrame]:
         "int_weather_banded": banded,
         "dim_date": feed.dim_date,
         "dim_category": feed.dim_category,
-        "dim_agency": stored(feed.dim_agency, "agency"),
+        "dim_agency": stored(counted["dim_agency"].attach(feed.dim_agency), "agency"),
         "dim_location": feed.dim_location,
         "dim_weather_band": feed.dim_weather_band,
         "fct_requests": fact,
-        "fct_daily": stored(daily, "daily", DAILY_LAYOUT),
+        "fct_daily": stored(counted["fct_daily"].attach(daily), "daily", DAILY_LAYOUT),
         "snp_request_status": stored(_history(spark, sf), "history"),
     }
+    return models, counted
 
 
 def dq_summary(spark, sf):
     """All declared and cross-table checks with their outcomes, at a clock that makes some of the
     closures lie in the future."""
-    return checks.run_checks(_stored_models(spark, sf), adapters.SECOND)
+    models, counted = _checked_models(spark, sf)
+    return checks.run_checks(models, adapters.SECOND, counted)
 
 
 def dq_row_checks(spark, sf):
@@ -693,8 +858,10 @@ def source_freshness(spark, sf):
 # Streams
 
 
+# Event time is a zoned timestamp, which a stream reads in the session's zone.
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     source = adapters.table(spark, sf, "events")
     # A pattern, so that the table may be one file or a folder of files.
     return jobs.landing_stream(spark, f"{sf}/events.parquet*", source.schema, "parquet")
@@ -704,15 +871,16 @@ def stream_upsert(spark, sf):
     """Requests streamed, with re-reads, into the stored keyed table."""
     out = scratch_dir(spark, "stream-upsert")
     rows = _with_rereads(adapters.requests_from_events(_event_stream(spark, sf)), 10)
-    jobs.upsert_stream(
-        rows,
-        f"{out}/table",
-        REQUESTS_LAYOUT,
-        landing.request_version(adapters.EVENTS),
-        f"{out}/checkpoint",
-        landing.request_tiebreak(),
-    )
-    return tables.read_table(spark, f"{out}/table").drop(tables.MONTH)
+    with session_zone(spark):
+        jobs.upsert_stream(
+            rows,
+            f"{out}/table",
+            REQUESTS_LAYOUT,
+            landing.request_version(adapters.EVENTS),
+            f"{out}/checkpoint",
+            landing.request_tiebreak(),
+        )
+    return _read(spark, f"{out}/table")
 
 
 def stream_dedup(spark, sf):
@@ -721,12 +889,13 @@ def stream_dedup(spark, sf):
     events = _event_stream(spark, sf)
     copies = F.when(F.col("event_id") % 10 == 0, 2).otherwise(1)
     twice = events.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__copy")
-    fresh = jobs.without_rereads(twice, ["event_id", "ts"], "ts", "1 hour")
-    jobs.to_files(fresh, f"{out}/rows", f"{out}/checkpoint")
+    with session_zone(spark):
+        fresh = jobs.without_rereads(twice, ["event_id", "ts"], "ts", "1 hour")
+        jobs.to_files(fresh, f"{out}/rows", f"{out}/checkpoint")
     return spark.read.schema(events.schema).parquet(f"{out}/rows")
 
 
-DEMAND_LAYOUT = tables.Layout(["service_date", "event_type"], "service_date")
+DEMAND_LAYOUT = tables.Layout(["service_date", "event_type"], "service_date", buckets=8)
 
 
 def stream_daily_demand(spark, sf):
@@ -737,13 +906,15 @@ def stream_daily_demand(spark, sf):
     local = events.withColumn(
         "local_ts", F.convert_timezone(F.lit("UTC"), F.lit(adapters.EVENTS.local_tz), F.col("ts"))
     )
-    demand = jobs.daily_demand(local, "local_ts", "event_type", "2 days")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         tables.upsert_table(batch.sparkSession, f"{out}/table", batch, DEMAND_LAYOUT)
 
-    jobs.run_available(demand, f"{out}/checkpoint", merge, "update")
-    return tables.read_table(spark, f"{out}/table").drop(tables.MONTH)
+    with session_zone(spark):
+        demand = jobs.daily_demand(local, "local_ts", "event_type", "2 days")
+        once = jobs.applied_once(f"{out}/table", f"{out}/checkpoint", merge)
+        jobs.run_available(demand, f"{out}/checkpoint", once, "update")
+    return _read(spark, f"{out}/table")
 
 
 QUERIES: dict[str, Query] = {
@@ -786,23 +957,32 @@ QUERIES: dict[str, Query] = {
         out_of_season,
         by_weather,
         snow_days,
+        sketch_percentiles,
         cursor_read,
         dual_cursor,
         raw_upsert,
         raw_upsert_table,
+        raw_upsert_landed,
         trailing_reload,
         payload_unpivot,
         extract_audit,
         extract_audit_edges,
         extract_manifest,
         landing_json,
+        capped_landing,
+        load_ledger,
+        agency_sightings,
+        seed_demand,
         resumable_ingest,
         additive_columns,
         clustered_sink,
+        stored_extract,
         incremental_merge,
         incremental_merge_table,
+        lookback_watermark,
         scd2_history,
         scd2_replayed,
+        scd2_current,
         scd2_point_in_time,
         time_in_status,
         stale_open_versions,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,17 @@ def build_session(app: str = "deskwise", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def session_zone(spark: SparkSession, zone: str = "UTC"):
+    """The session's time zone, for as long as something eager runs in it."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediates, under the folder all executors share.
 

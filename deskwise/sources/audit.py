@@ -33,9 +33,24 @@ def with_previous(chunks: DataFrame) -> DataFrame:
 
 
 def chunk_findings(rows: DataFrame, cursor: str) -> DataFrame:
+    """``summary_findings`` of the chunks that the rows (walk, chunk_no, cursor) are from."""
+    return summary_findings(chunk_summary(rows, cursor))
+
+
+def continued(chunks: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Chunks of this run behind the last one that earlier runs landed of the same walk."""
+    if before is None:
+        return chunks
+    columns = [c for c in before.columns if c != "walk"]
+    last = before.groupBy("walk").agg(F.max_by(F.struct(*columns), "chunk_no").alias("last")).select("walk", "last.*")
+    walks = chunks.select("walk").distinct()
+    earlier = last.join(walks, "walk", "left_semi").join(chunks, KEYS, "left_anti")
+    return chunks.unionByName(earlier.select(*chunks.columns))
+
+
+def summary_findings(chunks: DataFrame) -> DataFrame:
     """Chunks that break the walk: ``missing_before`` (no previous chunk landed), ``gap`` (starts
     after the previous end), ``stalled`` (ends where the previous ended, with data beyond it)."""
-    chunks = chunk_summary(rows, cursor)
     ends = chunks.groupBy("walk").agg(
         F.min("chunk_no").alias("first_no"), F.max("last_cursor").alias("walk_end")
     )

@@ -13,6 +13,10 @@ from deskwise.sources import schemas
 
 CREATED = "created_date"
 UPDATED = "resolution_action_updated_date"
+# Where a landed row came from: when its file landed, and which it was.
+LANDED_AT, LANDED_FILE = "_landed_at", "_landed_file"
+# A numbered chunk of a walk, e.g. created-000012.json.
+CHUNK_FILE = r"([^/]+)-(\d+)\.json[^/]*$"
 
 
 def read_requests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -20,6 +24,47 @@ def read_requests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(schemas.REQUESTS).option("multiLine", False).json(paths)
 
 
+def read_landed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The same, each record with the file it landed in."""
+    return with_landing_order(read_requests(spark, paths))
+
+
+def with_landing_order(rows: DataFrame) -> DataFrame:
+    """Rows read from files, with the time their file landed at and its path."""
+    return rows.select(
+        "*",
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(LANDED_AT),
+        F.col("_metadata.file_path").alias(LANDED_FILE),
+    )
+
+
+def landed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The files of the landing folder, with the walk and the chunk that a numbered name tells. Their
+    contents are not read."""
+    name = F.col("path")
+    number = F.regexp_extract(name, CHUNK_FILE, 2)
+    return spark.read.format("binaryFile").load(paths).select(
+        "path",
+        F.col("modificationTime").cast("timestamp_ntz").alias("landed_at"),
+        "length",
+        F.nullif(F.regexp_extract(name, CHUNK_FILE, 1), F.lit("")).alias("walk"),
+        F.nullif(number, F.lit("")).cast("bigint").alias("chunk_no"),
+    )
+
+
+def files_to_take(landed: DataFrame, taken: DataFrame | None, cap: int = 0) -> DataFrame:
+    """Files that no run has taken yet, in the order of their walks, at most ``cap`` of them (0: all).
+
+    A file that was written anew since it was taken counts as another one. Rows of its that were landed
+    before merge to the same table.
+    """
+    if taken is not None:
+        landed = landed.join(taken, ["path", "landed_at", "length"], "left_anti")
+    if not cap:
+        return landed
+    return landed.orderBy(F.col("walk").asc_nulls_last(), "chunk_no", "landed_at", "path").limit(cap)
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SEED).option("header", True).csv(path)
 
@@ -104,8 +149,16 @@ def trailing_observations(weather: DataFrame, settings: Settings, backfill: bool
     )
 
 
+def landing_version() -> Column:
+    """Which of two landed copies of a request is the newer one: the copy whose file landed later, whatever
+    the dates inside it say. So a correction lands although it lowers a date, as does a request that is
+    open again, and re-reading an older file changes nothing."""
+    return F.struct(LANDED_AT, LANDED_FILE)
+
+
 def request_version(settings: Settings) -> Column:
-    """Which of two copies of a request is the newer one.
+    """Which of two copies of a request is the newer one where nothing tells when they landed, or both
+    landed in one file.
 
     A copy stamped past ``as_of`` is a typing error: it has no version, so it can neither outrank a
     stored row for good nor keep a later correction out.

@@ -79,3 +79,15 @@ CURSORS = T.StructType(
         T.StructField("committed_at", T.TimestampNTZType()),
     ]
 )
+
+# Files that runs have taken from the landing folder, and the chunks among them.
+LANDED_FILES = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("landed_at", T.TimestampNTZType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("walk", T.StringType()),
+        T.StructField("chunk_no", T.LongType()),
+        T.StructField("load_id", T.StringType()),
+    ]
+)

@@ -1,16 +1,14 @@
-"""Parquet tables published by manifest: naming, month-partitioned clustered sinks, keyed upsert.
-
-A write goes to a folder of its own, ``table_version=<id>``, and becomes part of the table when a new
-numbered manifest lists it. The manifest names the live folders and the schema, so a table always is
-what one manifest says: readers take the newest and change nothing, a run that dies before its
-manifest leaves the table as it was, and months that a write does not touch stay where they are.
-There is one writer: a manifest whose number exists already is never replaced, the later of two
-writers fails. ``vacuum`` deletes folders that the kept manifests no longer list.
+"""Parquet tables written by Spark's own writers: naming, partitions, keyed upsert, materialisations.
+
+A table is a folder of Parquet files, partitioned by the month of a day and, below it, by a hash bucket of
+the key. An upsert replaces the partitions it touches with a dynamic partition overwrite and leaves the
+others as they are; which those are follows from the batch, so a change of one row rewrites one bucket of a
+month. A full rebuild is written beside the table and then moved into its place. Tables have one writer at
+a time, which jobs see to.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -20,18 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskwise.functions.calendar import month_label
+from deskwise.operators import history
 from deskwise.operators.upsert import newest_per_key, replace_rows
 
-MONTH = "month_part"
+MONTH, BUCKET = "month_part", "bucket_part"
+PARTS = {MONTH: T.StringType(), BUCKET: T.IntegerType()}
 NO_MONTH = "none"
-VERSION = "table_version"
-# Readers of plain Parquet skip names that begin with an underscore.
-MANIFESTS = "_manifests"
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Layered table locations: ``root/<prefix><layer>/<table>``."""
+    """Layered table locations: ``root/<prefix><layer>/<table>``, and names: ``<prefix><layer>.<table>``."""
 
     root: str
     prefix: str = ""
@@ -39,17 +36,27 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{layer.strip()}/{table}"
 
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.prefix}{layer.strip()}.{table}"
+
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table is stored: partitioned by the month of a day, sorted by the cluster columns."""
+    """How a table is stored: partitioned by the month of a day and by ``buckets`` of the key, sorted by the
+    cluster columns. Take as many buckets as keep one of a month near a few files; 0 means none."""
 
     keys: list[str]
-    month_of: str
+    month_of: str | None = None
     cluster_by: list[str] = field(default_factory=list)
+    buckets: int = 0
 
-    def month(self) -> Column:
-        return F.coalesce(month_label(F.col(self.month_of)), F.lit(NO_MONTH))
+    def parts(self) -> dict[str, Column]:
+        found = {}
+        if self.month_of:
+            found[MONTH] = F.coalesce(month_label(F.col(self.month_of)), F.lit(NO_MONTH))
+        if self.buckets:
+            found[BUCKET] = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return found
 
 
 # Folder operations go through the Hadoop file system of the path, so they work wherever it lives.
@@ -74,29 +81,16 @@ class Folder:
     def make(self, name: str = "") -> None:
         self.fs.mkdirs(self._at(name))
 
-    def move_in(self, name: str, target: Folder) -> None:
-        if not self.fs.rename(self._at(name), target._at(name)):
-            raise OSError(f"could not move {self.path}/{name} to {target.path}")
+    def take(self, other: str) -> None:
+        """Become the folder ``other``, which is complete."""
+        self.delete()
+        if not self.fs.rename(self._new(other), self._at()):
+            raise OSError(f"could not move {other} to {self.path}")
 
     def size(self) -> int:
         """Bytes below the folder (or of the file); a metadata call."""
         return self.fs.getContentSummary(self._at()).getLength() if self.exists() else 0
 
-    def names(self) -> list[str]:
-        return [s.getPath().getName() for s in self.fs.listStatus(self._at())] if self.exists() else []
-
-    def write_text(self, name: str, text: str) -> None:
-        out = self.fs.create(self._at(name), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-
-    def read_text(self, name: str) -> str:
-        source = self.fs.open(self._at(name))
-        try:
-            return bytes(source.readAllBytes()).decode()
-        finally:
-            source.close()
-
 
 # Stored bytes per shuffle partition to aim for.
 PARTITION_BYTES = 128 * 1024 * 1024
@@ -116,103 +110,118 @@ def shuffle_width(spark: SparkSession, paths: list[str]) -> int:
     return max(configured, -(-stored // PARTITION_BYTES))
 
 
-@dataclass(frozen=True)
-class Manifest:
-    """One state of a table: its schema and the live folders, relative to the table."""
+# Reading
 
-    number: int
-    schema: T.StructType
-    folders: list[str]
 
-    def text(self) -> str:
-        return json.dumps({"schema": self.schema.json(), "folders": self.folders})
+def read_table(spark: SparkSession, path: str, name: str | None = None) -> DataFrame | None:
+    """The table, or None before its first write. Partition columns come last.
 
+    A named table has its schema in the catalogue. Otherwise the files' footers are merged, so that files
+    written before a column was added read as nulls in it; that reads every footer, in tasks.
+    """
+    settle(spark, path)
+    if not Folder(spark, path).size():
+        return None
+    schema = (name and _named_schema(spark, path, name)) or _stored_schema(spark, path)
+    return spark.read.schema(schema).parquet(path)
 
-def _name(number: int) -> str:
-    return f"{number:012d}.json"
 
+def _named_schema(spark: SparkSession, path: str, name: str) -> T.StructType | None:
+    """What the catalogue has under the name, if it is the table at the path."""
+    if spark.catalog.tableExists(name) and _location(spark, name) == _plain(path):
+        return spark.table(name).schema
+    return None
 
-def manifests(spark: SparkSession, path: str) -> list[int]:
-    names = Folder(spark, f"{path}/{MANIFESTS}").names()
-    return sorted(int(n.split(".")[0]) for n in names if n[0].isdigit())
 
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType:
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    # A month looks like a date to the reader.
+    return T.StructType([T.StructField(f.name, PARTS.get(f.name, f.dataType)) for f in found.fields])
 
-def latest(spark: SparkSession, path: str) -> Manifest | None:
-    numbers = manifests(spark, path)
-    if not numbers:
-        return None
-    stored = json.loads(Folder(spark, f"{path}/{MANIFESTS}").read_text(_name(numbers[-1])))
-    return Manifest(numbers[-1], T.StructType.fromJson(json.loads(stored["schema"])), stored["folders"])
-
-
-def publish(spark: SparkSession, path: str, after: Manifest | None, schema: T.StructType, folders: list[str]) -> Manifest:
-    """The state that follows ``after``. It is complete before it takes its name."""
-    manifest = Manifest((after.number if after else 0) + 1, schema, folders)
-    home, name = Folder(spark, f"{path}/{MANIFESTS}"), _name(manifest.number)
-    pending = f"_{uuid.uuid4().hex}"
-    home.write_text(pending, manifest.text())
-    if home.exists(name) or not home.fs.rename(home._at(pending), home._at(name)):
-        home.delete(pending)
-        raise RuntimeError(f"{path} was written by another run meanwhile")
-    return manifest
-
-
-def _write_version(rows: DataFrame, path: str, layout: Layout | None) -> tuple[T.StructType, list[str]]:
-    """Write rows to a new version; its schema and folders. Nothing reads it yet."""
-    version = f"{VERSION}={uuid.uuid4().hex}"
-    target = f"{path}/{version}"
-    if layout is None:
-        rows.write.parquet(target)
-        return rows.schema, [version]
-    order = [MONTH, *layout.cluster_by]
-    labelled = rows.withColumn(MONTH, layout.month())
-    # REBALANCE lets AQE size the write tasks from the measured shuffle: a month (or one cluster value)
-    # with a third of all rows is split over many tasks, and small ones are packed together.
-    labelled.hint("rebalance", *order).sortWithinPartitions(*order).write.partitionBy(MONTH).parquet(target)
-    months = [n for n in Folder(rows.sparkSession, target).names() if n.startswith(f"{MONTH}=")]
-    return labelled.schema, [f"{version}/{m}" for m in sorted(months)]
-
-
-def _month_of(folder: str) -> str:
-    return folder.rsplit(f"{MONTH}=", 1)[1] if MONTH in folder else ""
-
-
-def _merged(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """The stored columns, then those that are new; a stored column is never dropped."""
-    if old is None:
-        return new
-    known = {f.name for f in old.fields}
-    return T.StructType([*old.fields, *(f for f in new.fields if f.name not in known)])
 
+def without_parts(rows: DataFrame | None) -> DataFrame | None:
+    return None if rows is None else rows.drop(*PARTS)
 
-def write_clustered(rows: DataFrame, path: str, layout: Layout) -> None:
-    """Month partitions whose files are sorted by the cluster columns, as the table's whole contents."""
-    overwrite_table(rows, path, layout)
 
+# The session's catalogue
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None before its first write. Reads what the newest manifest lists.
 
-    The schema comes from the manifest, so no file footers are merged however many files there are;
-    files written before a column was added read as nulls in it.
-    """
-    manifest = latest(spark, path)
-    return None if manifest is None else _read(spark, path, manifest, manifest.folders)
+def _plain(path: str) -> str:
+    return path.removeprefix("file:").replace("//", "/").rstrip("/")
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    rows = spark.sql(f"describe table extended {name}").where("col_name = 'Location'").collect()
+    return _plain(rows[0]["data_type"]) if rows else None
+
+
+def register(spark: SparkSession, path: str, name: str, schema: T.StructType) -> None:
+    """Name a stored table for SQL. Its files stay where they are whatever becomes of the name."""
+    layer = name.split(".")[0]
+    spark.sql(f"create database if not exists {layer} location '{path.rsplit('/', 1)[0]}'")
+    spark.sql(f"drop table if exists {name}")
+    parts = [part for part in PARTS if part in schema.names]
+    partitioned = f"partitioned by ({', '.join(parts)})" if parts else ""
+    spark.sql(f"create table {name} ({schema.toDDL()}) using parquet {partitioned} location '{path}'")
+    if parts:
+        spark.catalog.recoverPartitions(name)
+
 
+def _widened(stored: T.StructType | None, rows: T.StructType, layout: Layout | None) -> T.StructType:
+    """The stored columns, then those that are new, then the partitions."""
+    known = [f for f in (stored or []) if f.name not in PARTS]
+    new = [f for f in rows if f.name not in {k.name for k in known}]
+    parts = layout.parts() if layout else {}
+    return T.StructType([*known, *new, *(T.StructField(p, PARTS[p]) for p in parts)])
 
-def _read(spark: SparkSession, path: str, manifest: Manifest, folders: list[str]) -> DataFrame:
-    if not folders:
-        return spark.createDataFrame([], manifest.schema)
-    schema = T.StructType([*manifest.schema.fields, T.StructField(VERSION, T.StringType())])
-    reader = spark.read.schema(schema).option("basePath", path)
-    return reader.parquet(*[f"{path}/{f}" for f in folders]).select(*manifest.schema.names)
+
+# Writing
+
+
+def _sorted_for(rows: DataFrame, layout: Layout) -> DataFrame:
+    """REBALANCE lets AQE size the write tasks from the measured shuffle: a partition (or one cluster value)
+    with a third of all rows is split over many tasks, and small ones are packed together."""
+    order = [*layout.parts(), *layout.cluster_by]
+    labelled = rows.withColumns(layout.parts())
+    return labelled.hint("rebalance", *order).sortWithinPartitions(*order) if order else labelled
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish a rebuild that ended between removing the old folder and moving the new one there."""
+    if not Folder(spark, path).exists() and Folder(spark, _next(path)).exists("_SUCCESS"):
+        Folder(spark, path).take(_next(path))
+
+
+def _next(path: str) -> str:
+    return f"{path}__next"
 
 
 def overwrite_table(rows: DataFrame, path: str, layout: Layout | None = None) -> None:
-    """Replace a table in full. Readers see the old contents or the new."""
+    """Replace a table in full. A run that dies leaves the old contents or the new."""
     spark = rows.sparkSession
-    before = latest(spark, path)
-    publish(spark, path, before, *_write_version(rows, path, layout))
+    settle(spark, path)
+    written = rows if layout is None else _sorted_for(rows, layout)
+    writer = written.write.mode("overwrite")
+    if layout is not None and layout.parts():
+        writer = writer.partitionBy(*layout.parts())
+    writer.parquet(_next(path))
+    Folder(spark, path).take(_next(path))
+
+
+def write_clustered(rows: DataFrame, path: str, layout: Layout) -> None:
+    """Partitions whose files are sorted by the cluster columns, as the table's whole contents."""
+    overwrite_table(rows, path, layout)
+
+
+def _labels(rows: DataFrame, parts: list[str]) -> set[tuple]:
+    """The partitions of the rows: at most as many as the table has."""
+    return {tuple(r) for r in rows.select(*parts).distinct().collect()}
+
+
+def _within(parts: list[str], labels: set[tuple]) -> Column:
+    """A filter on partition columns alone, so that other partitions are not even listed for reading."""
+    label = F.concat_ws("/", *[F.col(p).cast("string") for p in parts])
+    return label.isin(sorted("/".join(map(str, values)) for values in labels))
 
 
 def upsert_table(
@@ -223,76 +232,54 @@ def upsert_table(
     version: Column | None = None,
     tiebreak: list[Column] | None = None,
 ) -> list[str]:
-    """Merge a batch into a table, rewriting only the months it touches. Returns those months.
+    """Merge a batch into a table, rewriting only the partitions it touches. Returns those, as folders.
 
-    A key can move between months when its day is corrected, so the touched months are those of the
-    batch and those where its keys are stored now. The batch is written out first: it is read
-    several times below, and it may itself be derived from the table.
+    A key stays in its bucket but can move between months when its day is corrected, so the touched
+    partitions are those of the batch and those where its keys are stored now, which are looked for in the
+    batch's buckets only. The batch is written out first: it is read several times below, and it may itself
+    be derived from the table. A run that dies before the overwrite is committed leaves the table as it
+    was; repeating it ends the same.
     """
-    before = latest(spark, path)
     if version is not None:
         batch = newest_per_key(batch, layout.keys, [version.desc_nulls_last(), *(tiebreak or [])])
-    if before is None:
-        schema, folders = _write_version(batch, path, layout)
-        publish(spark, path, None, schema, folders)
-        return sorted(map(_month_of, folders))
+    target, parts = read_table(spark, path), list(layout.parts())
+    if target is None:
+        overwrite_table(batch, path, layout)
+        target = read_table(spark, path)
+        return [] if target is None else sorted(map(_folder(parts), _labels(target, parts)))
 
     held = f"{path}__batch-{uuid.uuid4().hex}"
-    batch.withColumn(MONTH, layout.month()).write.parquet(held)
-    batch = spark.read.parquet(held)
-    target = _read(spark, path, before, before.folders)
-    stored = target.select(*layout.keys, MONTH).join(batch.select(*layout.keys), layout.keys, "left_semi")
-    # Month labels only: a dozen a year, whatever the size of the table.
-    touched = sorted(
-        r[0] for r in stored.select(MONTH).union(batch.select(MONTH)).distinct().collect()
-    )
+    batch.withColumns(layout.parts()).write.parquet(held)
+    batch = spark.read.schema(batch.withColumns(layout.parts()).schema).parquet(held)
+    arriving = _labels(batch, parts)
+    near = target
+    if layout.buckets:
+        near = target.where(F.col(BUCKET).isin(sorted({values[parts.index(BUCKET)] for values in arriving})))
+    leaving = _labels(near.join(batch.select(*layout.keys), layout.keys, "left_semi"), parts) - arriving
+    touched = arriving | leaving
     if touched:
-        own = [f for f in before.folders if _month_of(f) in touched]
-        merged = replace_rows(
-            _read(spark, path, before, own).drop(MONTH), batch.drop(MONTH), layout.keys, version
-        )
-        schema, folders = _write_version(merged, path, layout)
-        rest = [f for f in before.folders if _month_of(f) not in touched]
-        publish(spark, path, before, _merged(before.schema, schema), rest + folders)
+        own = target.where(_within(parts, touched)) if parts else target
+        merged = replace_rows(own.drop(*PARTS), batch.drop(*PARTS), layout.keys, version)
+        emptied = leaving - _labels(replace_rows(own, batch, layout.keys, version).where(_within(parts, leaving)), parts) if leaving else set()
+        if parts:
+            (_sorted_for(merged, layout).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+        else:
+            overwrite_table(merged, path, layout)
+        # A partition all of whose keys have moved away is not in the result, so nothing overwrote it.
+        for values in emptied:
+            Folder(spark, path).delete(_folder(parts)(values))
     Folder(spark, held).delete()
-    return touched
+    return sorted(map(_folder(parts), touched))
 
 
-def append_rows(rows: DataFrame, path: str) -> None:
-    """Add rows to an unpartitioned table. Columns that only one side has are null in the other."""
-    spark = rows.sparkSession
-    before = latest(spark, path)
-    schema, folders = _write_version(rows, path, None)
-    publish(
-        spark, path, before, _merged(before and before.schema, schema), (before.folders if before else []) + folders
-    )
+def _folder(parts: list[str]) -> Callable[[tuple], str]:
+    return lambda values: "/".join(f"{p}={v}" for p, v in zip(parts, values, strict=True))
 
 
-def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete versions that none of the newest ``keep`` manifests lists, and older manifests.
-
-    Not to be run beside a writer; readers of kept states are not disturbed.
-    """
-    numbers = manifests(spark, path)
-    home, table = Folder(spark, f"{path}/{MANIFESTS}"), Folder(spark, path)
-    kept = numbers[-keep:]
-    live = {f for n in kept for f in json.loads(home.read_text(_name(n)))["folders"]}
-    gone = []
-    for version in [n for n in table.names() if n.startswith(f"{VERSION}=")]:
-        inside = [n for n in Folder(spark, f"{path}/{version}").names() if n.startswith(f"{MONTH}=")]
-        if version in live:
-            continue
-        dead = [m for m in inside if f"{version}/{m}" not in live]
-        if len(dead) == len(inside):
-            table.delete(version)
-            gone.append(version)
-        else:
-            for month in dead:
-                table.delete(f"{version}/{month}")
-                gone.append(f"{version}/{month}")
-    for number in numbers[:-keep]:
-        home.delete(_name(number))
-    return gone
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Add rows to an unpartitioned table. Columns that only one side has are null in the other."""
+    rows.write.mode("append").parquet(path)
 
 
 def write_extract(rows: DataFrame, path: str) -> None:
@@ -301,16 +288,93 @@ def write_extract(rows: DataFrame, path: str) -> None:
     overwrite_table(rows, path)
 
 
-def materialise(
-    kind: str, rows: DataFrame, name: str, path: str | None = None, layout: Layout | None = None
-) -> DataFrame:
-    """Apply a model's materialisation: ``ephemeral`` stays lazy, ``view`` is also named for SQL,
-    ``table`` is rebuilt in full."""
+# Type-2 history in two parts
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """How a source is kept as a history: by key, a version for each later ``changed_at``; of several rows of
+    a key that changed at once, the first by ``tiebreak`` counts."""
+
+    key: str
+    changed_at: str
+    tiebreak: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+    buckets: int = 8
+
+    def current(self) -> Layout:
+        return Layout([self.key], None, list(self.cluster_by), self.buckets)
+
+    def closed(self) -> Layout:
+        return Layout([history.SCD_ID], history.VALID_TO, list(self.cluster_by), self.buckets)
+
+
+def snapshot_table(source: DataFrame, path: str, how: Snapshot) -> None:
+    """Take the source into the history below ``path``.
+
+    ``current`` has the open version of each key and is all that is read to find what changed. A version
+    that a later one follows goes to ``closed`` first, by its id, and is replaced in ``current`` then: a
+    run that dies in between is repeated without a trace, as the same version is closed again.
+    """
+    spark = source.sparkSession
+    current = without_parts(read_table(spark, f"{path}/current"))
+    held = f"{path}/opened__{uuid.uuid4().hex}"
+    history.new_versions(current, source, how.key, how.changed_at, [F.col(c) for c in how.tiebreak]).write.parquet(held)
+    opened = spark.read.parquet(held)
+    if current is not None:
+        upsert_table(spark, f"{path}/closed", history.closed_by(current, opened, how.key), how.closed())
+    upsert_table(spark, f"{path}/current", opened, how.current())
+    Folder(spark, held).delete()
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The open versions: stored as they are, so neither sorted nor compared."""
+    current = without_parts(read_table(spark, f"{path}/current"))
+    return None if current is None else current.withColumn(history.VALID_TO, F.lit(None).cast("timestamp_ntz"))
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    current, closed = read_current(spark, path), without_parts(read_table(spark, f"{path}/closed"))
+    if current is None or closed is None:
+        return current
+    return current.unionByName(closed)
+
+
+# Materialisations
+
+
+@dataclass(frozen=True)
+class Model:
+    """How a model is kept: ``ephemeral`` stays lazy, ``view`` is also named for SQL, ``table`` is rebuilt in
+    full, ``incremental`` is merged by key into the partitions it touches, ``snapshot`` is kept as a history."""
+
+    kind: str
+    layout: Layout | None = None
+    snapshot: Snapshot | None = None
+    version: Column | None = None
+    tiebreak: tuple[Column, ...] = ()
+
+
+def materialise(model: Model, rows: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Keep the rows of a model as it asks for, and return it as readers see it. A name with a layer before
+    it is the table's in the catalogue too."""
     spark = rows.sparkSession
-    kinds: dict[str, Callable[[], None]] = {
-        "ephemeral": lambda: None,
-        "view": lambda: rows.createOrReplaceTempView(name),
-        "table": lambda: overwrite_table(rows, path, layout),
-    }
-    kinds[kind]()
-    return read_table(spark, path) if kind == "table" else rows
+    if model.kind == "ephemeral":
+        return rows
+    if model.kind == "view":
+        rows.createOrReplaceTempView(name)
+        return rows
+    if model.kind == "snapshot":
+        snapshot_table(rows, path, model.snapshot)
+        return read_history(spark, path)
+    stored = None
+    if model.kind == "incremental":
+        before = read_table(spark, path, name)
+        stored = before and before.schema
+        upsert_table(spark, path, rows, model.layout, model.version, list(model.tiebreak))
+    elif model.kind == "table":
+        overwrite_table(rows, path, model.layout)
+    else:
+        raise ValueError(f"unknown materialisation {model.kind}")
+    register(spark, path, name, _widened(stored, rows.schema, model.layout))
+    return without_parts(read_table(spark, path, name))

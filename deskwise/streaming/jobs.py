@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from deskwise.sources.tables import Layout, upsert_table
+from deskwise.sources.tables import Layout, append_rows, read_table, upsert_table
 
 EVENT_TIME = "event_time"
 
@@ -51,13 +51,40 @@ def upsert_stream(
     checkpoint: str,
     tiebreak: list[Column] | None = None,
 ) -> StreamingQuery:
-    """Continuous landing into a keyed table. A micro-batch replayed after a failure merges to the
-    same table, since equal versions are simply replaced."""
+    """Continuous landing into a keyed table, each micro-batch applied once."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert_table(batch.sparkSession, table, batch, layout, version, tiebreak)
 
-    return run_available(rows, checkpoint, merge)
+    return run_available(rows, checkpoint, applied_once(table, checkpoint, merge))
+
+
+BATCHES = "stream string, batch_id bigint"
+
+
+def applied_once(
+    table: str, stream: str, apply: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """A handler that skips what it has applied before.
+
+    The number of an applied batch is kept beside the table, once its rows are in. A batch that Spark hands
+    out again, because the run died before its checkpoint was committed, is neither merged nor written then;
+    one that died before its number was kept is merged again, to the same rows. Batches come in order, so
+    the highest number tells.
+    """
+    path = f"{table}__batches"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = read_table(spark, path)
+        if known is not None:
+            last = known.where(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
+            if last is not None and batch_id <= last:
+                return
+        apply(batch, batch_id)
+        append_rows(spark.createDataFrame([(stream, batch_id)], BATCHES), path)
+
+    return handle
 
 
 def to_files(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

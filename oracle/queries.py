@@ -5,6 +5,7 @@ from __future__ import annotations
 from deskwise.plans.checks import DECLARED
 from oracle.tables import STAMP, ladder, md5_key, statement
 
+# The landed fields.
 RAW_COLUMNS = (
     "unique_key, created_date, closed_date, resolution_action_updated_date, agency, agency_name, "
     "complaint_type, descriptor, location_type, incident_zip, borough, status, "
@@ -51,7 +52,7 @@ SELECTED = f"""select borough_name, service_category, {PERF_TOTALS},
 
 def by_temperature(flag: str) -> str:
     return f"""select round(temp_mean_f / 5) * 5 as temp_bucket, avg(heat_requests) as avg_heat_requests,
-    count(*) as days from od_heat where {flag} and temp_mean_f is not null
+    count(*) as days from oa_heat where {flag} and temp_mean_f is not null
     group by 1 having count(*) > 4"""
 
 
@@ -79,6 +80,14 @@ AUDIT = f"""with s as (
 HIST = "select * from hist"
 
 
+# A sketch is right if the rank of what it returns is close enough: here only the exact values are compared.
+SKETCHES = """select borough_name, service_category, date_trunc('month', closed_date_local)::date as month,
+    count(reportable_resolution_hours) as closures_measured,
+    quantile_disc(reportable_resolution_hours, 0.5) as median_resolution_hours,
+    quantile_disc(reportable_resolution_hours, 0.9) as p90_resolution_hours,
+    true as median_within_bound, true as p90_within_bound
+  from ev_fact where closed_date_local is not null and reportable_resolution_hours is not null group by all"""
+
 # Checks
 
 TABLE_OF = {
@@ -225,11 +234,11 @@ SELECTS: dict[str, str] = {
     "fct_requests": "select * from ev_fact",
     "fct_daily": "select * from ev_daily",
     "fct_orders": "select * from od_fact",
-    "orders_daily": "select * from od_daily",
+    "orders_daily": "select * from oa_daily",
     "agency_performance": "select * from ev_perf",
     "daily_service_levels": """select * exclude (daily_service_level_key, location_key, weather_band_key)
       from ev_daily order by service_date""",
-    "heat_season": "select * from od_heat order by service_date",
+    "heat_season": "select * from oa_heat order by service_date",
     "freshness": FRESHNESS,
     "freshness_banner": BANNER,
     "citywide_daily": """select service_date, sum(requests_created)::bigint as requests_created,
@@ -259,6 +268,19 @@ SELECTS: dict[str, str] = {
     "dual_cursor": CHANGED,
     "raw_upsert": UPSERTED,
     "raw_upsert_table": UPSERTED,
+    "raw_upsert_landed": f"select {RAW_COLUMNS} from corrected_raw",
+    "capped_landing": f"select {RAW_COLUMNS} from ev_raw",
+    "load_ledger": """select 'run-' || i as load_id, 0::bigint as status, i < 3 as landed_rows
+      from (select unnest(range(4)) as i) where (select count(*) from events) > 0""",
+    "agency_sightings": """select agency_code, agency_name, max(created_at) as last_seen from ev_stg
+      where agency_code is not null group by all""",
+    "seed_demand": """select complaint_type, service_category, service_subcategory, is_weather_sensitive,
+      (select count(*) from ev_stg r where r.complaint_type = s.complaint_type) as requests_created
+      from ev_seed s""",
+    "lookback_watermark": """select max(m) - interval 5 day as start from (
+      select coalesce(resolution_updated_at, created_at) as m from ev_fact) where m <= timestamp '2024-01-30'""",
+    "stored_extract": "select * from ev_perf",
+    "sketch_percentiles": SKETCHES,
     "trailing_reload": """select * exclude (late) replace (
         temperature_2m_max + late as temperature_2m_max, temperature_2m_min + late as temperature_2m_min,
         temperature_2m_mean + late as temperature_2m_mean)
@@ -281,11 +303,12 @@ SELECTS: dict[str, str] = {
       select * exclude (channel_type, latitude, longitude) from x1_stg
       where request_id not in (select request_id from x2_stg)""",
     "clustered_sink": """select strftime(created_date_local, '%Y-%m') as month_part, count(*) as requests,
-      count(*) filter (is_closed) as closed from ev_fact group by 1""",
+      count(*) filter (is_closed) as closed, 0::bigint as out_of_order from ev_fact group by 1""",
     "incremental_merge": "select * from merged",
     "incremental_merge_table": "select * from merged",
     "scd2_history": HIST,
     "scd2_replayed": HIST,
+    "scd2_current": f"{HIST} where dbt_valid_to is null",
     "scd2_point_in_time": """select s.request_id, asked_at, h.status, h.dbt_valid_from, h.dbt_valid_to
       from (select request_id, created_at::date + interval 36 hour as asked_at from ev_stg) s
       left join hist h on h.request_id = s.request_id and asked_at >= h.dbt_valid_from

@@ -115,7 +115,7 @@ def weather_banded(source: str) -> str:
 
 
 def calendar(start: str, end: str) -> str:
-    """Days from start up to, not including, end."""
+    """Days from start up to, not including, end; both are date expressions."""
     return f"""
     select d as date_key, year(d)::int as calendar_year, quarter(d)::int as calendar_quarter,
       month(d)::int as calendar_month, monthname(d) as month_name, strftime(d, '%Y-%m') as year_month,
@@ -124,7 +124,7 @@ def calendar(start: str, end: str) -> str:
       month(d) not in (6, 7, 8, 9) as is_heat_season,
       case when month(d) in (12, 1, 2) then 'Winter' when month(d) < 6 then 'Spring'
            when month(d) < 9 then 'Summer' else 'Autumn' end as season
-    from (select unnest(range(date '{start}', date '{end}', interval 1 day))::date as d)"""
+    from (select unnest(range({start}, {end}, interval 1 day))::date as d)"""
 
 
 def agencies(source: str) -> str:
@@ -153,7 +153,7 @@ def fact(source: str, weather: str, start: str) -> str:
       case when is_closed and not is_implausible_resolution then resolution_hours end
         as reportable_resolution_hours, dlt_load_id
     from {source} left join {weather} w on w.weather_date = created_date_local
-    where created_at >= timestamp '{start}'"""
+    where created_at >= {start}"""
 
 
 def daily(fact_table: str, calendar_table: str, categories: str, weather: str) -> str:
@@ -191,30 +191,47 @@ def daily(fact_table: str, calendar_table: str, categories: str, weather: str) -
 
 
 def performance(fact_table: str, agency_table: str) -> str:
+    """Counts per agency key first; percentiles apart, from the measured closures in order."""
+    group = "agency_key, borough_name, service_category"
     return f"""
-    select a.agency_code, a.agency_name, borough_name, service_category, count(*) as requests_total,
-      count(*) filter (is_closed) as requests_closed, count(*) filter (not is_closed) as requests_open,
-      avg(reportable_resolution_hours) as avg_resolution_hours,
-      quantile_disc(reportable_resolution_hours, 0.5) as median_resolution_hours,
-      quantile_disc(reportable_resolution_hours, 0.9) as p90_resolution_hours,
-      count(reportable_resolution_hours) as closures_measured,
-      count(*) filter (reportable_resolution_hours <= 72) as closed_within_3_days,
-      count(*) filter (reportable_resolution_hours <= 72) / nullif(count(reportable_resolution_hours), 0)
-        as pct_closed_within_3_days
-    from {fact_table} f join {agency_table} a using (agency_key) group by all"""
+    with measured as (
+      select {group}, reportable_resolution_hours as hours,
+        row_number() over (partition by {group} order by reportable_resolution_hours) as place,
+        count(*) over (partition by {group}) as n
+      from {fact_table} where reportable_resolution_hours is not null),
+    ranks as (
+      select {group}, min(hours) filter (place * 100 >= n * 50) as median_resolution_hours,
+        min(hours) filter (place * 100 >= n * 90) as p90_resolution_hours,
+        avg(hours) as avg_resolution_hours, count(*) as closures_measured,
+        sum((hours <= 72)::int)::bigint as closed_within_3_days
+      from measured group by all),
+    totals as (
+      select {group}, count(*) as requests_total, sum(is_closed::int)::bigint as requests_closed
+      from {fact_table} group by all)
+    select agency_code, agency_name, borough_name, service_category, requests_total, requests_closed,
+      requests_total - requests_closed as requests_open, avg_resolution_hours, median_resolution_hours,
+      p90_resolution_hours, coalesce(closures_measured, 0) as closures_measured,
+      coalesce(closed_within_3_days, 0) as closed_within_3_days,
+      closed_within_3_days / closures_measured as pct_closed_within_3_days
+    from totals left join ranks using ({group}) join {agency_table} using (agency_key)"""
 
 
 def heat(calendar_table: str, fact_table: str, daily_table: str) -> str:
+    """The fact by day and kind first, then put beside the calendar."""
     return f"""
-    select date_key as service_date, is_heat_season, w.temp_mean_f,
-      count(*) filter (service_subcategory = 'Heat & Hot Water') as heat_requests,
-      count(*) filter (service_subcategory <> 'Heat & Hot Water') as other_requests,
-      avg(reportable_resolution_hours) filter (service_subcategory = 'Heat & Hot Water')
-        as heat_avg_resolution_hours
-    from {calendar_table} join {fact_table} on created_date_local = date_key
-    left join (select service_date, any_value(temp_mean_f) as temp_mean_f
-               from {daily_table} group by 1) w on w.service_date = date_key
-    group by all"""
+    with kinds as (
+      select created_date_local as service_date, service_subcategory = 'Heat & Hot Water' as heat, count(*) as n,
+        avg(reportable_resolution_hours) as hours
+      from {fact_table} group by all),
+    days as (
+      select service_date, coalesce(max(case when heat then n end), 0) as heat_requests,
+        coalesce(max(case when not heat then n end), 0) as other_requests,
+        max(case when heat then hours end) as heat_avg_resolution_hours
+      from kinds group by all),
+    weather as (select distinct service_date, temp_mean_f from {daily_table})
+    select service_date, is_heat_season, temp_mean_f, heat_requests, other_requests, heat_avg_resolution_hours
+    from days left join weather using (service_date)
+    join (select date_key as service_date, is_heat_season from {calendar_table}) using (service_date)"""
 
 
 def extract_at(source: str, moment: str) -> str:
@@ -268,7 +285,7 @@ TABLES: dict[str, str] = {
     "ev_wx_raw": weather_raw("events", "ts", "event_id", "user_id"),
     "ev_wx_stg": weather_staged("ev_wx_raw"),
     "ev_wx": weather_banded("ev_wx_stg"),
-    "ev_cal": calendar("2023-01-01", "2025-01-31"),
+    "ev_cal": calendar("date '2023-01-01'", "date '2025-01-31'"),
     "loc": f"""
     select {md5_key('borough_name')} as location_key, * from (values
       ('BRONX', 'Bronx', 36005::bigint, 'Bronx', true), ('BROOKLYN', 'Brooklyn', 36047, 'Kings', true),
@@ -287,7 +304,7 @@ TABLES: dict[str, str] = {
       unnest(['None', 'Light', 'Moderate', 'Heavy', 'Unknown']) p(precip_band),
       unnest(['None', 'Light', 'Significant', 'Unknown']) s(snow_band)""",
     "ev_agency": agencies("ev_stg"),
-    "ev_fact": fact("ev_int", "ev_wx", "2023-01-01"),
+    "ev_fact": fact("ev_int", "ev_wx", "timestamp '2023-01-01'"),
     "ev_daily": daily("ev_fact", "ev_cal", "ev_cat", "ev_wx"),
     "ev_perf": performance("ev_fact", "ev_agency"),
     "ev_heat": heat("ev_cal", "ev_fact", "ev_daily"),
@@ -320,14 +337,21 @@ TABLES: dict[str, str] = {
     "od_wx_raw": weather_raw("orders", "o_orderdate", "o_orderkey", "o_custkey"),
     "od_wx_stg": weather_staged("od_wx_raw"),
     "od_wx": weather_banded("od_wx_stg"),
-    "od_cal": calendar("1995-01-01", "2000-12-31"),
+    "od_cal": calendar("date '1995-01-01'", "date '2000-12-31'"),
     "od_cat": f"""
     select {md5_key('complaint_type')} as complaint_category_key, * from (
       from od_seed union all select 'Unmapped', 'Unmapped', 'Unmapped', false)""",
     "od_agency": agencies("od_stg"),
-    "od_fact": fact("od_int", "od_wx", "1998-01-01"),
+    "od_fact": fact("od_int", "od_wx", "timestamp '1998-01-01'"),
     "od_daily": daily("od_fact", "od_cal", "od_cat", "od_wx"),
-    "od_heat": heat("od_cal", "od_fact", "od_daily"),
+    # All orders: clock, window and calendar from the first and the last of them
+    "oa_cal": calendar(
+        "(select min(o_orderdate)::date - 1 from orders)",
+        "(select (max(o_orderdate)::date + interval 1 year)::date from orders)",
+    ),
+    "oa_fact": fact("od_int", "od_wx", "(select min(o_orderdate) from orders)"),
+    "oa_daily": daily("oa_fact", "oa_cal", "od_cat", "od_wx"),
+    "oa_heat": heat("oa_cal", "oa_fact", "oa_daily"),
     # Two extracts of the events feed
     "x1_raw": extract_at("ev_raw", "2024-01-15"),
     "x2_raw": extract_at("ev_raw", "2024-01-30"),
@@ -335,13 +359,22 @@ TABLES: dict[str, str] = {
     "x2_stg": staged("x2_raw"),
     "x1_int": measured("x1_stg", "ev_seed"),
     "x2_int": measured("x2_stg", "ev_seed"),
-    "x1_fact": fact("x1_int", "ev_wx", "2023-01-01"),
-    "x2_fact": fact("x2_int", "ev_wx", "2023-01-01"),
+    "x1_fact": fact("x1_int", "ev_wx", "timestamp '2023-01-01'"),
+    "x2_fact": fact("x2_int", "ev_wx", "timestamp '2023-01-01'"),
     # The second run re-reads what moved within five days of the first run's newest movement.
     "x2_batch": """
     from x2_fact where coalesce(resolution_updated_at, created_at) >=
       (select max(coalesce(resolution_updated_at, created_at)) from x1_fact
        where coalesce(resolution_updated_at, created_at) <= timestamp '2024-01-30') - interval 5 day""",
+    # A later landing that takes closures back, or corrects them to an earlier time
+    "corrected_raw": """
+    select * replace (
+      case unique_key::bigint % 7 when 0 then null when 1 then closed_date - interval 90 minute
+        else closed_date end as closed_date,
+      case unique_key::bigint % 7 when 0 then null when 1 then closed_date - interval 90 minute
+        else resolution_action_updated_date end as resolution_action_updated_date,
+      case when unique_key::bigint % 7 = 0 then 'Open' else status end as status)
+    from x1_raw""",
     "merged": """
     from x2_batch union all by name from x1_fact where request_id not in (select request_id from x2_batch)""",
     "x1_src": tracked("x1_stg", "2024-01-08"),

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pytest
 from helpers import rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 
 from deskwise.operators import history
 from deskwise.operators.history import SCD_ID, VALID_FROM, VALID_TO
+from deskwise.operators.upsert import merge_rows
+from deskwise.sources import tables
 
 DDL = "id string, status string, changed timestamp_ntz"
 START = datetime(2026, 1, 1)
@@ -19,9 +23,19 @@ def source(spark, pairs):
     return spark.createDataFrame(rows, DDL)
 
 
-def apply(spark, versions, pairs):
-    fresh = history.new_versions(versions, source(spark, pairs), "id", "changed")
-    return fresh if versions is None else versions.unionByName(fresh)
+def apply(spark, state, pairs):
+    """Open and closed versions after a run."""
+    current, closed = state or (None, None)
+    opened = history.new_versions(current, source(spark, pairs), "id", "changed")
+    if current is None:
+        return opened, history.closed_by(opened, opened.where("false"), "id")
+    ended = history.closed_by(current, opened, "id")
+    return merge_rows(current, opened, ["id"]), closed.unionByName(ended)
+
+
+def whole_of(state):
+    current, closed = state
+    return current.withColumn(VALID_TO, F.lit(None).cast("timestamp_ntz")).unionByName(closed)
 
 
 def expected(runs):
@@ -38,31 +52,77 @@ def expected(runs):
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(RUNS)
 def test_versions_follow_the_changes_and_tile_time(spark, runs):
-    versions = None
+    state = None
     for run in runs:
-        versions = apply(spark, versions, run)
-    assert rows_of(versions, "id", "status") == expected(runs)
+        state = apply(spark, state, run)
+    whole = whole_of(state)
+    assert rows_of(whole, "id", "status") == expected(runs)
     # A repeated run changes nothing.
-    assert rows_of(apply(spark, versions, runs[-1]), SCD_ID) == rows_of(versions, SCD_ID)
+    assert rows_of(whole_of(apply(spark, state, runs[-1])), SCD_ID, VALID_TO) == rows_of(whole, SCD_ID, VALID_TO)
 
-    whole = history.with_validity(versions, "id").collect()
+    whole = whole.collect()
     assert len({r[SCD_ID] for r in whole}) == len(whole)
     for key in {r["id"] for r in whole}:
         own = sorted((r for r in whole if r["id"] == key), key=lambda r: r[VALID_FROM])
         assert [r[VALID_TO] for r in own] == [*[r[VALID_FROM] for r in own[1:]], None]
 
 
+HOW = tables.Snapshot("id", "changed", buckets=4)
+
+
+def test_the_stored_history_agrees_and_survives_a_lost_run(spark, folder, monkeypatch):
+    path, state = f"{folder}/history", None
+    runs = [[(0, 1), (1, 1), (2, 1)], [(0, 3), (3, 2)], [(0, 4), (1, 5)]]
+    for run in runs:
+        state = apply(spark, state, run)
+        real, calls = tables.upsert_table, []
+
+        def die_at_current(session, where, *rest, real=real, calls=calls):
+            calls.append(where)
+            if where.endswith("current"):
+                raise OSError("lost")
+            return real(session, where, *rest)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, "upsert_table", die_at_current)
+            with pytest.raises(OSError, match="lost"):
+                tables.snapshot_table(source(spark, run), path, HOW)
+        for _ in range(2):
+            tables.snapshot_table(source(spark, run), path, HOW)
+        got = tables.read_history(spark, path)
+        assert rows_of(got, "id", "status", VALID_TO) == rows_of(whole_of(state), "id", "status", VALID_TO)
+    assert rows_of(tables.read_current(spark, path), "id", "status") == rows_of(state[0], "id", "status")
+
+
+def test_reading_the_open_versions_ranks_and_joins_nothing(spark, folder):
+    path = f"{folder}/history"
+    for run in ([(0, 1), (1, 1)], [(0, 3)]):
+        tables.snapshot_table(source(spark, run), path, HOW)
+    plan = tables.read_current(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Window", "Exchange", "Sort", "Join", "Aggregate"))
+    plan = tables.read_history(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Window", "Exchange", "Sort", "Join", "Aggregate"))
+
+
+def test_a_run_rewrites_the_buckets_of_what_changed(spark, folder):
+    path = f"{folder}/history"
+    tables.snapshot_table(source(spark, [(k, 1) for k in range(40)]), path, HOW)
+    buckets = sorted(Path(path, "current").glob("bucket_part=*"))
+    before = [{f.name for f in b.glob("*.parquet")} for b in buckets]
+    tables.snapshot_table(source(spark, [(k, 1 + (k == 7)) for k in range(40)]), path, HOW)
+    after = [{f.name for f in b.glob("*.parquet")} for b in buckets]
+    assert len(buckets) == 4 and sum(x != y for x, y in zip(before, after, strict=True)) == 1
+
+
 def test_leaving_the_source_does_not_close_a_version(spark):
-    versions = apply(spark, apply(spark, None, [(0, 1), (1, 1)]), [(1, 3)])
-    whole = history.with_validity(versions, "id")
+    whole = whole_of(apply(spark, apply(spark, None, [(0, 1), (1, 1)]), [(1, 3)]))
     assert rows_of(whole.where(F.col(VALID_TO).isNull()), "id", "status") == [("r0", "s1"), ("r1", "s3")]
     stale = history.stale_open(whole, source(spark, [(1, 3)]), "id", F.col("status") == "s1")
     assert rows_of(stale, "id") == [("r0",)]
 
 
 def test_point_in_time_and_time_in_status(spark):
-    versions = apply(spark, apply(spark, None, [(0, 1)]), [(0, 4)])
-    whole = history.with_validity(versions, "id")
+    whole = whole_of(apply(spark, apply(spark, None, [(0, 1)]), [(0, 4)]))
     probes = spark.createDataFrame(
         [("r0", START + timedelta(hours=h)) for h in (0, 1, 3, 4, 9)] + [("other", START)],
         "id string, at timestamp_ntz",

@@ -1,10 +1,13 @@
 import json
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import raw_requests, request, rows_of
 from pyspark.sql import functions as F
 
+from deskwise.plans import dimensions, nightly, staging
+from deskwise.plans.nightly import Job
 from deskwise.settings import Settings, instant
 from deskwise.sources import audit, landing, ledger, schemas, tables
 from deskwise.streaming import jobs
@@ -185,6 +188,146 @@ def test_streamed_upserts_are_idempotent_across_runs(spark, tmp_path):
     assert tables.read_table(spark, table).count() == 12
 
 
+def test_a_batch_that_was_applied_is_neither_merged_nor_written_again(spark, folder, monkeypatch):
+    table, applied = f"{folder}/table", []
+    once = jobs.applied_once(table, "stream", lambda batch, number: applied.append((number, batch.count())))
+    rows = spark.range(3)
+    for number in (0, 1, 1, 0, 2):
+        once(rows, number)
+    assert applied == [(0, 3), (1, 3), (2, 3)]
+    # Another stream into the same table counts for itself.
+    jobs.applied_once(table, "other", lambda batch, number: applied.append(("other", number)))(rows, 0)
+    assert applied[-1] == ("other", 0)
+
+    # A batch that died before its number was kept is merged again.
+    def die(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "append_rows", die)
+        with pytest.raises(OSError, match="lost"):
+            once(rows, 3)
+    once(rows, 3)
+    assert applied[-2:] == [(3, 3), (3, 3)]
+
+
+def chunk(folder, name, first, rows, day=1):
+    lines = [
+        json.dumps({f: None for f in schemas.REQUEST_FIELDS} | {"unique_key": f"{name}-{i}", "created_date": f"2026-01-{day:02d}T00:{first + i:02d}:00.000"})
+        for i in range(rows)
+    ]
+    with open(f"{folder}/{name}.json", "w") as out:
+        out.write("\n".join(lines))
+
+
+def landing_job(spark, root, cap=0):
+    return Job(spark, tables.Warehouse(root), Settings(as_of=datetime(2026, 2, 1), max_chunks_per_run=cap))
+
+
+def test_capped_runs_take_every_file_once(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    for n in range(5):
+        chunk(source, f"created-{n:03d}", 3 * n, 4)  # each begins where the one before it ends
+    job = landing_job(spark, str(tmp_path / "wh"), cap=2)
+    assert [job.land_requests(source, f"run-{k}") for k in range(4)] == [2, 2, 1, 0]
+    raw = job.read("raw", "service_requests")
+    assert raw.count() == 20 and raw.select(schemas.LOAD_ID).distinct().count() == 3
+    assert ledger.read_loads(spark, job.path("raw", "loads")).count() == 4
+    # A file that is written anew is taken anew, a late one too, whatever the cursors say.
+    chunk(source, "late", 0, 2, day=3)
+    chunk(source, "created-004", 12, 6)
+    assert job.land_requests(source, "run-5") == 2
+    assert job.read("raw", "service_requests").count() == 24
+
+
+def test_a_run_that_dies_takes_its_files_again(spark, tmp_path, monkeypatch):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    for n in range(3):
+        chunk(source, f"created-{n}", 3 * n, 4)
+    job = landing_job(spark, str(tmp_path / "wh"), cap=2)
+
+    def die(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(nightly, "append_rows", die)  # the rows are merged, the files not noted
+        with pytest.raises(OSError, match="lost"):
+            job.land_requests(source, "run-0")
+    assert [job.land_requests(source, f"run-{k}") for k in range(3)] == [2, 1, 0]
+    assert job.read("raw", "service_requests").count() == 12
+
+
+def test_a_lost_chunk_stops_the_run_before_anything_is_merged(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    for n in (0, 1, 3):
+        chunk(source, f"created-{n}", 3 * n, 4)
+    job = landing_job(spark, str(tmp_path / "wh"), cap=2)
+    assert job.land_requests(source, "run-0") == 2
+    for _ in range(2):
+        with pytest.raises(nightly.ExtractIncomplete) as raised:
+            job.land_requests(source, "run-1")
+        assert raised.value.findings == ["created-3: missing_before"]
+    assert job.read("raw", "service_requests").count() == 8
+    chunk(source, "created-2", 6, 4)
+    assert job.land_requests(source, "run-2") == 2
+    # The extract says it made five chunks.
+    walks = spark.createDataFrame([("created", 0, 4)], "walk string, first_no long, last_no long")
+    with pytest.raises(nightly.ExtractIncomplete, match="created-4: missing_last"):
+        job.land_requests(source, "run-3", walks=walks)
+    chunk(source, "created-4", 12, 4)
+    assert job.land_requests(source, "run-4", walks=walks) == 1
+
+
+def test_a_chunk_that_does_not_join_up_stops_the_run(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    chunk(source, "created-0", 0, 4)
+    chunk(source, "created-1", 9, 4)
+    with pytest.raises(nightly.ExtractIncomplete, match="created-1: gap"):
+        landing_job(spark, str(tmp_path / "wh")).land_requests(source, "run-0")
+
+
+def test_the_newest_landing_wins_whatever_its_dates_say(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    job = landing_job(spark, str(tmp_path / "wh"))
+
+    def land(name, **fields):
+        row = {f: None for f in schemas.REQUEST_FIELDS} | {"unique_key": "k", "created_date": "2026-01-10T00:00:00"} | fields
+        path = tmp_path / "in" / f"{name}.json"
+        path.write_text(json.dumps(row))
+        os.utime(path, (1_700_000_000 + int(name), 1_700_000_000 + int(name)))
+        job.land_requests(source, f"run-{name}")
+        return job.read("raw", "service_requests").select("status", "closed_date").collect()
+
+    late = {"closed_date": "2026-01-20T00:00:00", "resolution_action_updated_date": "2026-01-20T00:00:00"}
+    early = {"closed_date": "2026-01-15T00:00:00", "resolution_action_updated_date": "2026-01-15T00:00:00"}
+    assert land("2", status="Closed", **late) == [("Closed", datetime(2026, 1, 20))]
+    assert land("3", status="Closed", **early) == [("Closed", datetime(2026, 1, 15))]  # corrected backwards
+    assert land("4", status="Open") == [("Open", None)]  # open again
+    assert land("1", status="Closed", **late) == [("Open", None)]  # a file from before
+
+
+def test_the_agency_dimension_is_kept_up_without_reading_all_requests(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    job = landing_job(spark, str(tmp_path / "wh"), cap=1)
+    sightings = [("0", "A", "Old", 5), ("1", "A", "New", 9), ("2", "A", None, 12), ("3", "B", "Bee", 1), ("4", "A", "Old", 2)]
+    for name, code, label, day in sightings:
+        row = {f: None for f in schemas.REQUEST_FIELDS} | {
+            "unique_key": name, "created_date": f"2026-01-{day:02d}T00:00:00", "agency": code, "agency_name": label}
+        (tmp_path / "in" / f"{name}.json").write_text(json.dumps(row))
+    while job.land_requests(source, "run"):
+        pass
+    kept = dimensions.agencies_of(job.read("raw", "agency_sightings"))
+    whole = dimensions.dim_agency(staging.stg_requests(job.read("raw", "service_requests")))
+    assert rows_of(kept, *sorted(kept.columns)) == rows_of(whole, *sorted(whole.columns))
+    assert rows_of(kept, "agency_code", "agency_name")[:2] == [("A", "New"), ("B", "Bee")]
+
+
 def test_ledger_and_cursors(spark, folder):
     loads, state = f"{folder}/loads", f"{folder}/cursors"
     assert ledger.read_loads(spark, loads).count() == 0
@@ -205,13 +348,25 @@ def test_seed_is_read_by_declared_types(spark, folder):
     assert rows_of(got, "complaint_type", "is_weather_sensitive") == [("X", True), ("Y", False)]
 
 
-@pytest.mark.parametrize("kind", ["ephemeral", "view", "table"])
+@pytest.mark.parametrize("kind", ["ephemeral", "view", "table", "incremental", "snapshot"])
 def test_materialisations(spark, folder, kind):
-    rows = spark.range(3)
-    got = tables.materialise(kind, rows, "three", f"{folder}/three")
-    assert got.count() == 3
+    rows = spark.range(3).select("id", F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz").alias("changed"))
+    more = spark.range(2, 5).select("id", F.lit(datetime(2026, 1, 2)).cast("timestamp_ntz").alias("changed"))
+    layout = tables.Layout(["id"], "changed", buckets=2)
+    model = tables.Model(kind, layout, tables.Snapshot("id", "changed", buckets=2))
+    name = "three" if kind == "view" else "made.three"
+    for step, wanted in ((rows, 3), (more, {"incremental": 5, "snapshot": 6}.get(kind, 3))):
+        got = tables.materialise(model, step, name, f"{folder}/made/three")
+        assert got.count() == wanted
     assert (kind == "view") == spark.catalog.tableExists("three")
+    assert (kind in ("table", "incremental")) == spark.catalog.tableExists("made.three")
     spark.catalog.dropTempView("three")
+    spark.sql("drop table if exists made.three")
+
+
+def test_an_unknown_materialisation_is_refused(spark, folder):
+    with pytest.raises(ValueError, match="unknown"):
+        tables.materialise(tables.Model("cube"), spark.range(1), "a.b", f"{folder}/a/b")
 
 
 def test_layer_names_are_used_as_given():

@@ -123,7 +123,7 @@ def test_a_failing_load_commits_nothing(spark, folder, monkeypatch):
         raise RuntimeError("disk")
 
     with monkeypatch.context() as patch:
-        patch.setattr(job_module, "upsert_table", fail)
+        patch.setattr(job_module, "materialise", fail)
         with pytest.raises(RuntimeError, match="disk"):
             nightly(spark, root, FIRST, files)
     job = Job(spark, Warehouse(root), clock(FIRST))

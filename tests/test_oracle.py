@@ -4,6 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from deskwise.registry import QUERIES
+from oracle.queries import oracle_sql
 
 
 @pytest.fixture(scope="module")
@@ -16,11 +18,15 @@ def statements():
     return entry.oracle_sql()
 
 
-def test_every_query_has_a_statement(statements):
-    assert statements.keys() == entry.queries().keys()
+def test_every_query_of_the_library_has_a_statement():
+    assert oracle_sql().keys() == QUERIES.keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+def test_statements_are_of_registered_queries(statements):
+    assert statements.keys() <= entry.queries().keys()
+
+
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_matches(spark, sf, db, statements, name):
     assert differences(entry.queries()[name](spark, sf), db, statements[name]) is None
 

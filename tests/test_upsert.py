@@ -1,4 +1,6 @@
+import re
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from helpers import rows_of
@@ -72,80 +74,94 @@ def test_a_hot_key_leaves_each_task_as_one_row(spark):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
-def months_of(spark, path):
-    """Month to the folder that holds it in the newest state."""
-    return {f.rsplit("=", 1)[1]: f for f in tables.latest(spark, path).folders}
+def files_of(path):
+    """Partition folders with their files, as they are on disk."""
+    root = Path(path)
+    return {str(f.relative_to(root).parent): {g.name for g in f.parent.glob("*.parquet")} for f in root.rglob("*.parquet")}
 
 
-def four_months(spark, path):
+def four_months(spark, path, layout=LAYOUT):
     rows = [(f"k{i}", datetime(2026, 1 + i, 5), START, "a") for i in range(4)]
-    tables.upsert_table(spark, path, spark.createDataFrame(rows, DDL), LAYOUT)
+    tables.upsert_table(spark, path, spark.createDataFrame(rows, DDL), layout)
     return rows
 
 
 def test_untouched_months_are_not_rewritten(spark, folder):
     path = f"{folder}/table"
     four_months(spark, path)
-    before = months_of(spark, path)
+    before = files_of(path)
     change = [("k1", datetime(2026, 3, 1), START, "b")]
     touched = tables.upsert_table(spark, path, spark.createDataFrame(change, DDL), LAYOUT)
-    assert touched == ["2026-02", "2026-03"]
-    after = months_of(spark, path)
-    assert after["2026-01"] == before["2026-01"] and after["2026-03"] != before["2026-03"]
+    assert touched == ["month_part=2026-02", "month_part=2026-03"]
+    after = files_of(path)
+    assert after["month_part=2026-01"] == before["month_part=2026-01"]
+    assert after["month_part=2026-03"] != before["month_part=2026-03"]
     # k1 was February's only row.
-    assert "2026-02" not in after
+    assert "month_part=2026-02" not in after
     got = rows_of(tables.read_table(spark, path), "k", "text")
     assert got == [("k0", "a"), ("k1", "b"), ("k2", "a"), ("k3", "a")]
 
 
-def test_a_reader_sees_one_state_and_changes_nothing(spark, folder):
+BUCKETED = Layout(["k"], "day", ["text"], buckets=4)
+
+
+def test_a_change_of_one_row_rewrites_one_bucket(spark, folder):
     path = f"{folder}/table"
-    rows = four_months(spark, path)
-    early = tables.read_table(spark, path)  # planned before, read after the write
-    changed = [(k, day, v, "b") for k, day, v, _ in rows]
-    tables.upsert_table(spark, path, spark.createDataFrame(changed, DDL), LAYOUT)
-    assert {t for _, t in rows_of(early, "k", "text")} == {"a"}
-    assert {t for _, t in rows_of(tables.read_table(spark, path), "k", "text")} == {"b"}
-    assert tables.manifests(spark, path) == [1, 2]
-
-
-@pytest.mark.parametrize("step", ["_write_version", "publish"])
-@pytest.mark.parametrize("write", ["upsert", "overwrite", "append", "first append"])
-def test_a_run_that_dies_leaves_the_table_as_it_was(spark, folder, monkeypatch, step, write):
+    rows = [(f"k{i}", datetime(2026, 1 + i % 2, 5), START, "a") for i in range(100)]
+    tables.upsert_table(spark, path, spark.createDataFrame(rows, DDL), BUCKETED)
+    before = files_of(path)
+    assert len(before) == 8
+    change = spark.createDataFrame([("k7", datetime(2026, 2, 5), START, "b")], DDL)
+    (touched,) = tables.upsert_table(spark, path, change, BUCKETED)
+    after = files_of(path)
+    assert [p for p in before if before[p] != after[p]] == [touched] and before.keys() == after.keys()
+    # Moved to the other month: the same bucket there, and the one it was in.
+    moved = spark.createDataFrame([("k7", datetime(2026, 1, 5), START, "c")], DDL)
+    both = tables.upsert_table(spark, path, moved, BUCKETED)
+    assert len(both) == 2 and len({p.split("/")[1] for p in both}) == 1
+    assert [p for p in after if after[p] != files_of(path)[p]] == sorted(both, key=list(after).index)
+    got = dict(rows_of(tables.read_table(spark, path), "k", "text"))
+    assert len(got) == 100 and got["k7"] == "c" and sum(t == "a" for t in got.values()) == 99
+
+
+def test_keys_are_looked_for_in_their_buckets_only(spark, folder):
     path = f"{folder}/table"
-    if write != "first append":
-        tables.overwrite_table(spark.createDataFrame([("k0", datetime(2026, 1, 5), START, "a")], DDL), path, LAYOUT if write == "upsert" else None)
+    four_months(spark, path, BUCKETED)
+    stored = tables.read_table(spark, path)
+    plan = stored.where(tables._within([tables.MONTH, tables.BUCKET], {("2026-01", 1)}))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[\(?concat_ws", text) and "DataFilters: []" in text
+
+
+@pytest.mark.parametrize("write", ["upsert", "overwrite"])
+def test_a_run_that_dies_leaves_the_table_as_it_was(spark, folder, monkeypatch, write):
+    path = f"{folder}/table"
+    tables.overwrite_table(spark.createDataFrame([("k0", datetime(2026, 1, 5), START, "a")], DDL), path, LAYOUT)
     batch = spark.createDataFrame([("k1", datetime(2026, 1, 6), START, "b")], DDL)
     run = {
         "upsert": lambda: tables.upsert_table(spark, path, batch, LAYOUT),
-        "overwrite": lambda: tables.overwrite_table(batch, path),
-    }.get(write, lambda: tables.append_rows(batch, path))
-    real = getattr(tables, step)
+        "overwrite": lambda: tables.overwrite_table(batch, path, LAYOUT),
+    }[write]
 
     def die(*args, **kwargs):
-        if step == "_write_version":
-            real(*args, **kwargs)  # the files are there, the manifest is not
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables, step, die)
+        # The merged rows are not written; the new folder is, but not moved.
+        patch.setattr(tables, "_sorted_for", die) if write == "upsert" else patch.setattr(Folder, "take", die)
         with pytest.raises(OSError, match="lost"):
             run()
-    stored = tables.read_table(spark, path)
-    assert (stored is None) if write == "first append" else rows_of(stored, "k") == [("k0",)]
+    assert rows_of(tables.read_table(spark, path), "k") == [("k0",)]
     run()
-    want = {"overwrite": [("k1",)], "first append": [("k1",)]}.get(write, [("k0",), ("k1",)])
+    want = [("k1",)] if write == "overwrite" else [("k0",), ("k1",)]
     assert rows_of(tables.read_table(spark, path), "k") == want
 
 
-def test_the_later_of_two_writers_fails(spark, folder):
+def test_a_rebuild_that_died_between_two_moves_is_finished(spark, folder):
     path = f"{folder}/table"
-    four_months(spark, path)
-    before = tables.latest(spark, path)
-    tables.publish(spark, path, before, before.schema, before.folders)
-    with pytest.raises(RuntimeError, match="another run"):
-        tables.publish(spark, path, before, before.schema, [])
-    assert tables.read_table(spark, path).count() == 4
+    spark.createDataFrame([("new",)], "k string").write.parquet(tables._next(path))
+    assert rows_of(tables.read_table(spark, path), "k") == [("new",)]
+    assert not Folder(spark, tables._next(path)).exists()
 
 
 def test_a_narrower_append_keeps_the_columns(spark, folder):
@@ -155,16 +171,14 @@ def test_a_narrower_append_keeps_the_columns(spark, folder):
     assert rows_of(tables.read_table(spark, path), "k", "n") == [("a", 1), ("b", None)]
 
 
-def test_vacuum_deletes_what_no_kept_state_lists(spark, folder):
+def test_empty_tables_and_batches(spark, folder):
     path = f"{folder}/table"
-    rows = four_months(spark, path)
-    for text in "bcd":
-        changed = [(k, day, v, text) for k, day, v, _ in rows[:2]]
-        tables.upsert_table(spark, path, spark.createDataFrame(changed, DDL), LAYOUT)
-    assert tables.vacuum(spark, path) and tables.manifests(spark, path) == [3, 4]
-    got = rows_of(tables.read_table(spark, path), "k", "text")
-    assert got == [("k0", "d"), ("k1", "d"), ("k2", "a"), ("k3", "a")]
-    assert tables.vacuum(spark, path) == []
+    none = spark.createDataFrame([], DDL)
+    assert tables.upsert_table(spark, path, none, LAYOUT) == []
+    assert tables.read_table(spark, path) is None
+    four_months(spark, path)
+    before = files_of(path)
+    assert tables.upsert_table(spark, path, none, LAYOUT) == [] and files_of(path) == before
 
 
 def test_columns_are_added_not_lost(spark, folder):
@@ -179,6 +193,21 @@ def test_columns_are_added_not_lost(spark, folder):
     assert rows_of(tables.read_table(spark, path), "k", "extra") == [("k0", None), ("k1", 7)]
 
 
+def test_the_catalogue_knows_a_named_table_and_its_new_columns(spark, folder):
+    path, name = f"{folder}/layer_x/table", "layer_x.table"
+    model = tables.Model("incremental", BUCKETED)
+    old = spark.createDataFrame([("k0", datetime(2026, 1, 5), START, "a")], DDL)
+    new = spark.createDataFrame([("k1", datetime(2026, 2, 5), START, "b", 7)], f"{DDL}, extra int")
+    tables.materialise(model, old, name, path)
+    got = tables.materialise(model, new, name, path)
+    assert rows_of(got, "k", "extra") == [("k0", None), ("k1", 7)]
+    assert rows_of(spark.sql(f"select k, extra, month_part from {name}"), "k", "month_part") == [("k0", "2026-01"), ("k1", "2026-02")]
+    assert spark.table(name).columns[-2:] == list(tables.PARTS)
+    # The name follows another warehouse of the session, the files of the first stay.
+    tables.materialise(tables.Model("table"), old, name, f"{folder}/other/table")
+    assert spark.table(name).count() == 1 and tables.read_table(spark, path, name).count() == 2
+
+
 def moves(spark, *rows):
     return spark.createDataFrame([tuple(r) for r in rows], "id string, updated timestamp_ntz, created timestamp_ntz")
 
