@@ -6,7 +6,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,17 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def by_size(batch: pa.RecordBatch, column: int, most: int):
+    """Runs of a batch's rows with about ``most`` bytes in a column, one row at least; nothing is copied."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one being empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

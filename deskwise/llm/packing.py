@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskwise.llm.common import arrow_schema, held, ship, text_of, typed
+from deskwise.llm.common import arrow_schema, by_size, held, ship, text_of, typed
 from deskwise.llm.tokens import encoder
 
 WINDOW = 2048
@@ -33,13 +33,17 @@ PACKED = "doc_id {id}, start long, length long, doc_tokens long, ids binary, seq
 N_PIECES, N_TOKENS, N_REST = -1, -2, -3
 
 
+# Bytes of text that are cut at a time.
+CUT_BYTES = 4 << 20
+
+
 def cut_documents(tokenizer: str, end_id: int, window: int, schema: pa.Schema):
     """Documents to pieces of at most a window, each with its ids."""
 
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in by_size(whole, 1, CUT_BYTES)):
             texts = batch.column(1).to_pylist()
             whole = [ids + end for ids in encoder(tokenizer).encode(texts)]
             rows, starts, lengths, totals, pieces = [], [], [], [], []

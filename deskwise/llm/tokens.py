@@ -22,9 +22,9 @@ import pyarrow as pa
 
 # When a worker has so many pieces (about 220 bytes each), those not met again before the next time are
 # forgotten. It has at most twice so many, and those of one group of texts.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 # Characters of text that are cut at a time.
-GROUP_CHARS = 8 << 20
+GROUP_CHARS = 4 << 20
 
 # How the pieces of the lower-casing tokenizer are written in its file, and the endings that
 # both tokenizers cut off behind an apostrophe.
