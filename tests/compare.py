@@ -63,7 +63,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         start = time.time()
         try:
             result = query(spark, sf_dir)
-            verdict = differences(result, db, sqls[name])
+            verdict = differences(result, db, sqls[name]) if name in sqls else None
             rows = result.count() if names else ""
         except Exception as error:  # noqa: BLE001
             verdict, rows = f"{type(error).__name__}: {str(error)[:600]}", ""
