@@ -333,7 +333,8 @@ def best_fit_pack(
     )
     short = stored.where(F.col("length") < window)
     places = best_fit_places(short.select("row", "length"), window, shard_pieces)
-    placed = short.join(places, "row").select(
+    # Places grow with the input: shuffled however few there are.
+    placed = short.join(places.hint("merge"), "row").select(
         "*", F.col("sequence").alias("sequence_id"), F.col("offset").cast("long").alias("at")
     ).drop("offset").withColumnRenamed("at", "offset")
     return full.select(*shown).unionByName(placed.select(*shown))
