@@ -24,6 +24,8 @@ from deskwise.session import scratch_dir
 # One more than the last id of the vocabulary, so no text can hold it.
 SEPARATOR = 50256
 WIDTH = 2
+# Bytes that a task searches, in so many blocks.
+RUN_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
 # A file ends with the batch of documents that takes it to so many bytes.
 FILE_BYTES = 512 << 20
@@ -143,19 +145,27 @@ def count_tokens(
     some = files.where(F.col("bytes") > 0).where(whole.isNull())
     units = some.select("file", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
     # By number: adaptive execution would pack these few bytes, and with them all searching, into one task.
-    units = units.repartition(max(1, units.count()), "file", "block")
-    found = units.mapInArrow(_search(folder, separator, width, block_bytes, arrow_schema(blocks)), blocks)
-    # A file has bytes / block_bytes rows here, and its size is bounded by the writer.
+    # A task has a run of blocks.
+    runs = max(1, -(-units.count() * block_bytes // RUN_BYTES))
+    units = units.repartition(runs, "file", "block")
+    found = held(
+        units.mapInArrow(_search(folder, separator, width, block_bytes, arrow_schema(blocks)), blocks), "separators"
+    )
+    # A file has bytes / block_bytes rows here, and its size is bounded by the writer. The places of the
+    # separators stay where they are: only how many there are, and the last, goes through the scan.
     file = Window.partitionBy("file")
     before = file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    scanned = found.withColumns(
-        {
-            "documents_before": F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).cast("long"),
-            "begin": F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before), F.lit(0)).cast("long"),
-            "file_tokens": F.sum("tokens").over(file),
-            "is_last": F.col("block") == F.max("block").over(file),
-        }
+    sums = found.select(
+        "file", "block", "tokens", F.size("ends").alias("n"), F.try_element_at("ends", F.lit(-1)).alias("last")
+    )
+    known = sums.select(
+        "file", "block",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("documents_before"),
+        F.coalesce(F.max("last").over(before), F.lit(0)).cast("long").alias("begin"),
+        F.sum("tokens").over(file).alias("file_tokens"),
+        (F.col("block") == F.max("block").over(file)).alias("is_last"),
     )
+    scanned = found.repartition(runs, "file", "block").join(known.hint("merge"), ["file", "block"])
     starts = F.concat(F.array("begin"), F.col("ends"))
     ended = F.transform(
         F.sequence(F.lit(1), F.size("ends")),
@@ -184,4 +194,5 @@ def corpus_token_counts(docs: DataFrame) -> DataFrame:
     folder = scratch_dir(spark, "flat-files")
     files, names = write_flat_files(docs, folder)
     counts = count_tokens(spark, folder, files)
-    return names.join(counts, ["file", "document"], "left").select("doc_id", "n_tokens")
+    # As many as documents: shuffled, and never sent to every task, however short they are.
+    return names.hint("merge").join(counts, ["file", "document"], "left").select("doc_id", "n_tokens")
