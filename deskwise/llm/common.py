@@ -77,6 +77,25 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> list[Column
     return [F.col(id_column).alias("key_id"), F.xxhash64(text_of(text_column)).alias("key_text")]
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever characters the name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The caller's row as one column, beside what identifies its document: no name of the caller's can meet
+    one of ours. ``select("row.*")`` gives the rows back as they were."""
+    return docs.select(F.struct(*map(column, docs.columns)).alias("row"), *row_key())
+
+
+def fresh_name(columns: list[str], name: str) -> str:
+    """The name, or the first longer one that none of the columns has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rank_struct(id_column: str, *more: Column) -> Column:
     """Sorts by the id, rows without one last; then by what follows."""
     return F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), *more)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskwise.llm.common import arrow_schema, row_key, ship, text_of, typed
+from deskwise.llm.common import arrow_schema, row_key, ship, text_of, typed, whole_rows
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -221,7 +221,8 @@ def index_blocks(items: DataFrame, index_words: int = INDEX_WORDS):
     """
     spark = items.sparkSession
     ship(spark)
-    texts = ["question", "answer"] if "question" in items.columns else ["text"]
+    both = {"question", "answer"} <= set(items.columns)
+    texts = ["question", "answer"] if both else ["text"]
     schema = typed(SPLIT.format(item=items.schema["item_id"].dataType.simpleString()))
     rows = (
         items.select("item_id", *[text_of(c).alias(c) for c in texts])
@@ -269,11 +270,14 @@ def contaminated(docs: DataFrame, items: DataFrame, keys: list | None = None) ->
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, all columns as they are."""
-    key_id, key_text = row_key()
+    """The rows of ``docs`` that hold no test item, all columns as they are.
+
+    A null or empty text holds none and stays, as do rows without an id. Rows equal in doc_id and text fare
+    alike, and all of them stay or go; no items or no documents change nothing.
+    """
     hits = contaminated(docs, items, row_key()).select(
-        F.col("key_id").alias("__hit_id"), F.col("key_text").alias("__hit_text")
+        F.col("key_id").alias("hit_id"), F.col("key_text").alias("hit_text")
     ).distinct()
-    rows = docs.withColumns({"__row_id": key_id, "__row_text": key_text})
-    same = rows["__row_id"].eqNullSafe(hits["__hit_id"]) & (rows["__row_text"] == hits["__hit_text"])
-    return rows.join(hits, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = whole_rows(docs)
+    same = rows["key_id"].eqNullSafe(hits["hit_id"]) & (rows["key_text"] == hits["hit_text"])
+    return rows.join(hits, same, "left_anti").select("row.*")

@@ -5,9 +5,10 @@ so they share at least six positional bytes. That guaranteed minimum of matches
 keyed by: a posting list holds the distinct fingerprints that agree in the bytes of six positions,
 one list for each of the 28 choices of six. Pairs reach the tally of six exactly if they meet in a
 list. Members of a list can only differ in their two other bytes, so no list ever exceeds 65,536
-entries, whatever the corpus holds, and looking up the 136 one- and two-bit neighbours of each entry
-finds all links of a list without comparing its pairs. A list hands on a spanning star per group of
-linked entries; repeated labelling over the stars gives the components.
+entries, whatever the corpus holds, and is a block that a task can hold. Candidates of a block are looked
+up, by the 136 patterns of one and two bits, without comparing all of its pairs; the equal positional bytes
+of each candidate are tallied, those of six or more are retained and verified bit by bit. A list hands on a
+spanning star per group of linked entries; repeated labelling over the stars gives the components.
 
 Copies share a fingerprint and are one entry of the index, however many there are.
 """
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskwise.llm.common import arrow_schema, held, rank_struct, row_key, ship, text_of, typed
+from deskwise.llm.common import arrow_schema, held, rank_struct, row_key, ship, text_of, typed, whole_rows
 
 SHINGLE_WORDS = 3
 MOST_BITS = 2
@@ -31,6 +32,9 @@ SEED = 42
 # Bits of so many shingles are tallied at a time.
 TALLY = 1 << 16
 
+# Fingerprints that a task makes index entries of, 28 each.
+TASK_FINGERPRINTS = 1 << 14
+
 BYTES = 8
 SHARED = BYTES - MOST_BITS
 #: The positions, from the lowest byte, that the members of a kind of list may differ in.
@@ -86,8 +90,6 @@ def _mask(free: tuple[int, ...]) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-
-
 def posting_lists(distinct: DataFrame) -> DataFrame:
     """positions, shared (the bytes all members agree in) and members (their two free bytes as one
     number), for lists of two members or more."""
@@ -115,10 +117,24 @@ def _nearby(bits: int) -> list[int]:
     return [reduce(lambda x, y: x | y, c) for n in range(1, bits + 1) for c in combinations(one, n)]
 
 
-def linked_groups(members: np.ndarray, bits: int = MOST_BITS) -> np.ndarray:
+def tally(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each pair of fingerprints, in how many of the eight positions their bytes are equal."""
+    one, other = (np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, BYTES) for x in (left, right))
+    return (one == other).sum(axis=1)
+
+
+def retained(left: np.ndarray, right: np.ndarray, bits: int = MOST_BITS) -> np.ndarray:
+    """Which candidates reach the guaranteed minimum of equal positions, and are verified then."""
+    kept = tally(left, right) >= BYTES - bits
+    kept[kept] = np.bitwise_count(left[kept] ^ right[kept]) <= bits
+    return kept
+
+
+def linked_groups(members: np.ndarray, whole: np.ndarray | None = None, bits: int = MOST_BITS) -> np.ndarray:
     """For each of some distinct 16-bit numbers the smallest place of its group, numbers being linked
-    that differ in at most so many bits. Links are verified bit by bit: neighbours are looked up."""
+    whose fingerprints (``whole``, or the numbers themselves) differ in at most so many bits."""
     n = len(members)
+    whole = members.astype(np.uint64) if whole is None else whole
     place = np.full(1 << 16, -1, np.int32)
     place[members] = np.arange(n)
     near = [(at, np.flatnonzero(at >= 0)) for at in (place[members ^ m] for m in _nearby(bits))]
@@ -127,6 +143,8 @@ def linked_groups(members: np.ndarray, bits: int = MOST_BITS) -> np.ndarray:
     if not pairs:
         return label
     left, right = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    kept = retained(whole[left], whole[right], bits)
+    left, right = left[kept], right[kept]
     while True:
         before = label.copy()
         np.minimum.at(label, left, label[right])
@@ -146,18 +164,17 @@ def _stars(schema: pa.Schema):
                 members = rest.values.to_numpy()
                 if len(members) == 2 and int(members[0] ^ members[1]).bit_count() > MOST_BITS:
                     continue
-                root = linked_groups(members)
-                own = np.flatnonzero(root != np.arange(len(members)))
-                if not len(own):
-                    continue
                 high, low = FREE[kinds[k]]
                 whole = (
                     shared[k].astype(np.uint64)
                     | (members.astype(np.uint64) >> np.uint64(8)) << np.uint64(8 * high)
                     | (members.astype(np.uint64) & np.uint64(0xFF)) << np.uint64(8 * low)
-                ).view(np.int64)
-                left.append(whole[own])
-                right.append(whole[root[own]])
+                )
+                root = linked_groups(members, whole)
+                own = np.flatnonzero(root != np.arange(len(members)))
+                if len(own):
+                    left.append(whole.view(np.int64)[own])
+                    right.append(whole.view(np.int64)[root[own]])
             none = [np.zeros(0, np.int64)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(left or none)), pa.array(np.concatenate(right or none))], schema=schema
@@ -199,7 +216,9 @@ def fingerprint_groups(prints: DataFrame) -> DataFrame:
     """fingerprint and group (one of the group's fingerprints) for all distinct fingerprints."""
     distinct = held(prints.select("fingerprint").distinct(), "distinct-fingerprints")
     links = typed("a long, b long")
-    stars = posting_lists(distinct).mapInArrow(_stars(arrow_schema(links)), links)
+    # By number: packed by their few bytes, two tasks would make all the entries of the index.
+    spread = distinct.repartition(max(1, -(-distinct.count() // TASK_FINGERPRINTS)), "fingerprint")
+    stars = posting_lists(spread).mapInArrow(_stars(arrow_schema(links)), links)
     rooted = components(stars)
     return distinct.join(rooted, distinct["fingerprint"] == rooted["node"], "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("group")
@@ -237,10 +256,8 @@ def keep_one_per_group(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS)
     firsts = prints.groupBy("fingerprint").agg(rank)
     chosen = (
         firsts.join(groups, "fingerprint").groupBy("group").agg(F.min("first").alias("first"))
-        .select(F.col("first.id").alias("__kept_id"), F.col("first.key_text").alias("__kept_text"))
+        .select(F.col("first.id").alias("kept_id"), F.col("first.key_text").alias("kept_text"))
     )
-    key_id, key_text = row_key()
-    rows = docs.withColumns({"__row_id": key_id, "__row_text": key_text})
-    same = rows["__row_id"].eqNullSafe(chosen["__kept_id"]) & (rows["__row_text"] == chosen["__kept_text"])
-    kept = rows.join(chosen, same, "left_semi")
-    return kept.dropDuplicates(["__row_id", "__row_text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = whole_rows(docs)
+    same = rows["key_id"].eqNullSafe(chosen["kept_id"]) & (rows["key_text"] == chosen["kept_text"])
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["key_id", "key_text"]).select("row.*")

@@ -8,7 +8,9 @@ many of the next ones as it takes to reach them, and with as many of those befor
 recur by chance. Digests are grouped globally. The occurrence that ranks first (smallest doc_id, then place)
 stays, the spans of all others are removed, and their offsets in the original text are kept.
 
-The first occurrence of any unit survives: a removed one always has an earlier one.
+Every removed word stands in an earlier occurrence of the same unit, line or joined units, by rank. A
+passage of several units is not left in one piece for that: if document 1 holds line X, and 2 and 3 hold X and
+then Y, X stays in 1 and Y in 2.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from deskwise.llm.common import arrow_schema, held, row_key, ship, text_of, typed
+from deskwise.llm.common import arrow_schema, column, held, row_key, ship, text_of, typed
 
 MIN_WORDS = 8
 SPACES = " \t\n\r\x0b\x0c"
@@ -123,7 +126,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("key_id"), key_text, text_of().alias("text")
     )
     # Rows equal in id and text are one document.
-    found = keyed.mapInArrow(_occurrences(min_words, arrow_schema(schema)), schema)
+    # Written once and read twice: texts are cut and hashed a single time.
+    found = held(keyed.mapInArrow(_occurrences(min_words, arrow_schema(schema)), schema), "occurrences")
     rank = F.struct("key_id", "key_text", "begin")
     # Written out, so that it is a plain side of the join, whose skewed partitions can then be split.
     first = held(
@@ -189,15 +193,18 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, removed: str = "
     """
     spans = repeated_spans(docs, min_words)
     lists = spans.groupBy("key_id", "key_text").agg(
-        F.collect_list(F.struct("begin", "until")).alias("__spans")  # as many as a document has units
+        F.collect_list(F.struct("begin", "until")).alias("spans")  # as many as a document has units
     )
-    columns = [c for c in docs.columns if c != removed]
-    key_id, key_text = row_key()
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumns(
-        {"__row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "__row_text": key_text}
+    columns = [c for c in docs.columns if c.lower() != removed.lower()]
+    # Columns go by their places, so that no name of the caller's can meet one of ours.
+    places = [f"c{k}" for k in range(len(columns))]
+    row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("row_id")
+    rows = docs.select(
+        *[column(c).alias(p) for c, p in zip(columns, places, strict=True)], row_id, row_key()[1].alias("row_text")
     )
-    same = (rows["__row_id"] == lists["key_id"]) & (rows["__row_text"] == lists["key_text"])
-    joined = rows.join(lists, same, "left").select(*[F.col(f"`{c}`") for c in columns], "__spans")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1]]
-    schema = typed(", ".join([*fields, f"`{removed}` array<struct<begin: int, until: int>>"]))
-    return joined.mapInArrow(_apply(arrow_schema(schema), columns.index("text")), schema)
+    same = (rows["row_id"] == lists["key_id"]) & (rows["row_text"] == lists["key_text"])
+    joined = rows.join(lists, same, "left").select(*places, "spans")
+    spans = T.StructField("removed", typed("s array<struct<begin: int, until: int>>")["s"].dataType)
+    schema = T.StructType([*joined.schema.fields[:-1], spans])
+    text_at = [c.lower() for c in columns].index("text")
+    return joined.mapInArrow(_apply(arrow_schema(schema), text_at), schema).toDF(*columns, removed)

@@ -33,6 +33,8 @@ FILE_TOKENS = 1 << 24
 BATCH_BLOCKS = 32
 # A reading task takes documents of about so many tokens.
 UNIT_TOKENS = 1 << 21
+# Units that a task reads, about 32 MB of ids.
+RUN_UNITS = 4
 
 HEAD = struct.Struct("<8sIII")
 CHECKPOINT = np.dtype(
@@ -228,7 +230,8 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, id_t
         "token-units",
     )
     # By number: adaptive execution would pack these few bytes, and with them all reading, into one task.
-    spread = units.repartition(max(1, units.count()), "file", "first_token")
+    # A task has a run of units.
+    spread = units.repartition(max(1, -(-units.count() // RUN_UNITS)), "file", "first_token")
     return spread.mapInArrow(_reader(folder, arrow_schema(documents)), documents)
 
 

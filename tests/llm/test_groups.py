@@ -1,4 +1,6 @@
 import re
+import string
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -6,10 +8,11 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from deskwise.llm.queries import QUERIES
 from deskwise.llm.repetition import MEASURES, measure, repetition
 from deskwise.llm.sharding import stratified_shards
 from deskwise.llm.simhash import (
-    components, fingerprint, fingerprint_groups, keep_one_per_group, linked_groups, near_duplicates,
+    components, fingerprint, fingerprint_groups, keep_one_per_group, linked_groups, near_duplicates, retained, tally,
 )
 from deskwise.llm.substrings import MIN_WORDS, cut_spans, occurrences, remove_repeats
 
@@ -148,15 +151,73 @@ def test_repeated_passages_go_and_first_ones_stay(docs_of):
     assert remove_repeats(docs_of([])).count() == 0
 
 
+CAPITALS = {c for c in map(chr, [*range(65, 91), *range(0xC0, 0xD7), *range(0xD8, 0xDF), *range(0x391, 0x3AA), *range(0x410, 0x430)])}
+
+
+def plain_units(text):
+    """Begin, end and words of the units of each line: cut character by character."""
+    lines, at = [], 0
+    for line in text.split("\n"):
+        cuts, i = [], 0
+        while i < len(line):
+            before = line[i - 1] if i else ""
+            if line[i] in " \t\r\x0b\x0c" and before in (".", "!", "?"):
+                j = i
+                while j < len(line) and line[j] in " \t\r\x0b\x0c":
+                    j += 1
+                cuts.append((i, j))
+                i = j
+                continue
+            if line[i] == " " and before and not before.isspace() and before not in ".!?" and line[i + 1 : i + 2] in CAPITALS:
+                cuts.append((i, i + 1))
+            i += 1
+        units, begin = [], 0
+        for end, after in [*cuts, (len(line), len(line))]:
+            lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in line[begin:end])
+            words = "".join(c for c in lowered if c not in string.punctuation).split()
+            if words:
+                units.append((at + begin, at + end, words))
+            if units:
+                begin = after
+        lines.append(units)
+        at += len(line) + 1
+    return lines
+
+
+def plain_occurrences(text, least=8):
+    """(words, begin, end) of what is compared: lines, units, and short units joined with their neighbours."""
+    lines = plain_units(text)
+    units = [u for line in lines for u in line]
+    found = set()
+
+    def add(run):
+        found.add((" ".join(w for u in run for w in u[2]), run[0][0], run[-1][1]))
+
+    def size(run):
+        return sum(len(u[2]) for u in run)
+
+    for k in range(len(units)):
+        ahead = next((units[k:j] for j in range(k + 1, len(units) + 1) if size(units[k:j]) >= least), None)
+        back = next((units[j : k + 1] for j in range(k, -1, -1) if size(units[j : k + 1]) >= least), None)
+        for run in (ahead, back):
+            if run:
+                add(run)
+    if "\n" in text:
+        for line in lines:
+            if line:
+                add(line)
+    return sorted(found, key=lambda f: (f[1], -f[2]))
+
+
 def test_spans_of_the_given_table_against_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     rows = sorted(docs.collect())
-    seen, spans = {}, defaultdict(list)
+    seen, spans = set(), defaultdict(list)
     for r in rows:
-        for high, low, begin, end in occurrences(r.text):
-            if (high, low) in seen:
+        for words, begin, end in plain_occurrences(r.text):
+            if words in seen:
                 spans[r.doc_id].append((begin, end))
-            seen[high, low] = True
+            seen.add(words)
     want = {r.doc_id: cut_spans(r.text, sorted(set(spans[r.doc_id])))[0] for r in rows}
     assert sum(t != r.text for (t, r) in zip(want.values(), rows, strict=True)) > 20
     assert {r.doc_id: r.text for r in remove_repeats(docs).collect()} == want
@@ -213,6 +274,57 @@ def test_verdicts(docs_of):
     assert repetition(docs_of([])).count() == 0
 
 
+def plain_shards(rows, shards, seed=42):
+    """(doc_id, size, crc, shard, slot): hash, rank per source, sort by fraction, cut."""
+    ranked = []
+    for source in {r[2] for r in rows}:
+        own = []
+        for name, text, s in rows:
+            if s == source:
+                raw = (text or "").encode()
+                h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+                if name is not None:  # a null leaves the hash as it is
+                    h = xxhash.xxh64_intdigest(name.to_bytes(8, "little", signed=True), h)
+                h = xxhash.xxh64_intdigest(raw, h)
+                own.append((h >> 1, name is not None, name or 0, zlib.crc32(raw), name, len(raw) + 8))
+        own.sort()
+        ranked += [((k + 0.5) / len(own), source or "", source is None, *r[3:]) for k, r in enumerate(own)]
+    ranked.sort(key=lambda r: r[:3])
+    out, n = [], len(ranked)
+    for at, (_, source, absent, crc, name, size) in enumerate(ranked):
+        shard = at * shards // n
+        first = -(-shard * n // shards)
+        out.append((name, None if absent else source, size, crc, shard, at - first))
+    return sorted(out, key=repr)
+
+
+def test_every_column_of_the_shards_against_a_plain_version(spark, sf, docs_of):
+    rows = [(k, f"tÉ{k}", ["a", "b", None, ""][k % 4]) for k in range(300)] + [(7, "x", "a")] * 3 + [(None, None, "b")]
+    given = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()]
+    for some, shards in ((rows, 24), (rows, 7), (given, 24)):
+        for cell_rows in (16, 4096):
+            got = stratified_shards(docs_of(some), shards, cell_rows=cell_rows).collect()
+            got = sorted(((r.doc_id, r.source, r.size, r.text_crc32, r.shard, r.slot) for r in got), key=repr)
+            assert got == plain_shards(some, shards)
+
+
+def test_the_query_of_the_shards_keeps_its_contract(spark, sf):
+    got = QUERIES["op8_stratified_shards"](spark, sf)
+    kinds = {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
+    assert {n: t for n, t in got.dtypes if n in kinds} == kinds
+    assert [tuple(r) for r in got.select("law", "grown_shard").distinct().collect()] == [("rows", None)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=4)), min_size=1, max_size=20))
+def test_the_tally_counts_equal_positions(pairs):
+    left = np.array([a for a, _ in pairs], np.uint64)
+    right = np.array([a ^ sum(1 << b for b in flips) for a, flips in pairs], np.uint64)
+    equal = [sum(x == y for x, y in zip(int(a).to_bytes(8, "big"), int(b).to_bytes(8, "big"), strict=True)) for a, b in zip(left, right, strict=True)]
+    assert tally(left, right).tolist() == equal
+    assert retained(left, right).tolist() == [len(flips) <= 2 for _, flips in pairs]
+
+
 def test_shards_hold_the_mixture(docs_of):
     rows = [(k, f"t{k}", "big" if k % 3 else ("small" if k % 2 else None)) for k in range(700)] + [(5, "t5", "big")] * 3
     rows += [(None, None, "big"), (1000, "x" * 10000, "tiny")]
