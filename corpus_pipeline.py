@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskwise.llm.common import held, read, row_key
+from deskwise.llm.common import column, fresh_name, held, read, row_key, whole_rows
 from deskwise.llm.decontaminate import decontaminate
 from deskwise.llm.packing import pack
 from deskwise.llm.repetition import repetition
@@ -14,38 +14,42 @@ from deskwise.llm.substrings import remove_repeats
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep. Rows equal in doc_id and text fare alike."""
-    key_id, key_text = row_key()
-    judged = docs.select(F.struct(key_id, key_text).alias("row"), "text")
-    kept = repetition(judged, "row").where("kept").select(
-        F.col("row.key_id").alias("__kept_id"), F.col("row.key_text").alias("__kept_text")
+    """Documents that the repetition rules keep. Rows equal in doc_id and text fare alike; a null or empty text
+    has too few words and goes, a row without an id is judged like any other."""
+    judged = docs.select(F.struct(*row_key()).alias("document"), "text")
+    kept = repetition(judged, "document").where("kept").select(
+        F.col("document.key_id").alias("kept_id"), F.col("document.key_text").alias("kept_text")
     ).distinct()
-    rows = docs.withColumns({"__row_id": key_id, "__row_text": key_text})
-    same = rows["__row_id"].eqNullSafe(kept["__kept_id"]) & (rows["__row_text"] == kept["__kept_text"])
-    return rows.join(kept, same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = whole_rows(docs)
+    same = rows["key_id"].eqNullSafe(kept["kept_id"]) & (rows["key_text"] == kept["kept_text"])
+    return rows.join(kept, same, "left_semi").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id. Documents without an id
+    stay if their group has no other; ties go by a hash of the text, and of rows equal in both one stays.
+    Texts without a word, null or not, are alike."""
     return keep_one_per_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that an earlier one holds; n_chars follows the text."""
-    cut = remove_repeats(docs, removed="__removed")
-    shorter = F.when(F.size("__removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", shorter.cast(docs.schema["n_chars"].dataType)).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    """Documents without passages that an earlier one holds; n_chars follows the text. Rows equal in doc_id and
+    text are cut alike, rows without an id rank last, a null or empty text is as it was."""
+    removed = fresh_name(docs.columns, "removed")
+    cut = remove_repeats(docs, removed=removed)
+    shorter = F.when(F.size(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", shorter.cast(docs.schema["n_chars"].dataType)).select(*map(column, docs.columns))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark. Those whose text is null, empty or short of words hold
+    none; rows equal in doc_id and text stay or go together."""
     return decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents in their sequences, with their ids."""
+    """Pieces of the remaining documents in their sequences, with their ids. A null text is empty, an empty one
+    its end id alone; rows that repeat a doc_id, or have none, are packed like any others."""
     return pack(docs)
 
 
