@@ -9,14 +9,16 @@ least THRESHOLD of their own score are candidates, and each is verified: SIMILAR
 five-word shingles must stand in the passage, or of those of question and answer each (of the words of
 a short answer).
 
-The index is built for blocks of items of bounded size, and documents are scanned once per block of
-items, so nothing that is sent to the executors grows with the data. Document frequencies and the mean
-length are counted over all items.
+The index is built in parts of bounded size, each by a task, and stored in the shared folder. Documents are
+scanned once per part, and a worker holds one part at a time, so its memory grows neither with the
+documents nor with the items. Document frequencies and the mean length are counted over all items.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -24,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskwise.llm.common import arrow_schema, row_key, ship, text_of, typed, whole_rows
+from deskwise.llm.common import arrow_schema, held, row_key, ship, text_of, typed, whole_rows
+from deskwise.llm.files import publishing, reading
+from deskwise.session import scratch_dir
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -34,7 +38,7 @@ SHINGLE_WORDS = 5
 SHORT_ANSWER = 10
 # Items whose postings are searched or skipped together.
 BLOCK_ITEMS = 16
-# Words of the items that one index holds, on average; an index of this size is sent to all tasks.
+# Words of the items that one part of the index holds, on average.
 INDEX_WORDS = 1 << 20
 # Words between the beginnings of two passages.
 STRIDE = 64
@@ -87,13 +91,16 @@ class Index:
         term, item, weight = (np.concatenate(x) for x in zip(*postings, strict=True))
         item = rank[item]
         by = np.lexsort((item, term))
-        self.item, self.weight = item[by], weight[by]
-        self.first = np.searchsorted(term[by], np.arange(len(self.number) + 1))
+        term, self.item, self.weight = term[by], item[by], weight[by]
+        self.first = np.searchsorted(term, np.arange(len(self.number) + 1))
         blocks = -(-len(items) // BLOCK_ITEMS)
         self.block_threshold = np.array([self.threshold[b * BLOCK_ITEMS] for b in range(blocks)])
-        self.block_max = np.zeros((len(self.number), blocks), np.float32)
-        np.maximum.at(self.block_max, (term, item // BLOCK_ITEMS), weight.astype(np.float32))
-        self.most = self.block_max.max(axis=1)
+        # Maxima only of the blocks that hold a posting of the term.
+        block = self.item // BLOCK_ITEMS
+        heads = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.block, self.block_most = block[heads], np.maximum.reduceat(self.weight, heads)
+        self.block_first = np.searchsorted(term[heads], np.arange(len(self.number) + 1))
+        self.most = np.maximum.reduceat(self.block_most, self.block_first[:-1])
         self.longest = max(len(q) + len(a) for _, q, a in items)
         self.checks = [
             (shingles(q), shingles(a, 1 if len(a) < SHORT_ANSWER else SHINGLE_WORDS), shingles(q + a))
@@ -125,8 +132,12 @@ class Index:
             return window, terms, np.zeros(0)
         # Block-max WAND: and the threshold of which blocks of items?
         heads = np.cumsum(sizes) - sizes
-        blocks = np.add.reduceat(self.block_max[terms], heads, axis=0) >= self.block_threshold - 1e-3
-        row = np.repeat(np.arange(len(sizes)), sizes)
+        row, blocks = np.repeat(np.arange(len(sizes)), sizes), len(self.block_threshold)
+        n = self.block_first[terms + 1] - self.block_first[terms]
+        slots = np.repeat(self.block_first[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        key = np.repeat(row, n) * blocks + self.block[slots]
+        most = np.bincount(key, weights=self.block_most[slots], minlength=len(sizes) * blocks)
+        blocks = most.reshape(len(sizes), blocks) >= self.block_threshold - 1e-3
         # The postings of what is left: each term's, in the blocks that are open to its window.
         first, n = self.first[terms], self.first[terms + 1] - self.first[terms]
         slots = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -172,16 +183,24 @@ def _share(wanted: set, passage: list[bytes]) -> float:
 MATCH = "item_id {item}, score double, question_overlap double, answer_overlap double, word long"
 
 
-def _scan(index, schema: pa.Schema):
+@lru_cache(maxsize=1)
+def load_index(folder: str, name: str) -> Index:
+    """A stored part; a worker keeps the one it scans for."""
+    with reading(folder, name) as source:
+        return pickle.loads(source.read())
+
+
+def _scan(folder: str, name: str, schema: pa.Schema):
     """Documents (keys, text) to their matches."""
 
     def run(batches):
+        index = load_index(folder, name)
         for batch in batches:
             rows, found = [], []
             for k, text in enumerate(batch.column(len(batch.schema) - 1).to_pylist()):
-                for item, match in sorted(index.value.matches(words_of(text)).items()):
+                for item, match in sorted(index.matches(words_of(text)).items()):
                     rows.append(k)
-                    found.append((index.value.items[item][0], *match))
+                    found.append((index.items[item][0], *match))
             at = pa.array(rows, pa.int64())
             columns = zip(*found, strict=True) if found else [()] * 5
             kinds = [schema.field(k).type for k in range(len(schema) - 5, len(schema))]
@@ -214,38 +233,55 @@ def _split(schema: pa.Schema):
     return run
 
 
-def index_blocks(items: DataFrame, index_words: int = INDEX_WORDS):
-    """Indexes of all items, each of bounded size, built one at a time.
+def _build(folder: str, n: int, mean_length: float):
+    """The items of a part, with the document frequencies of their words, to its stored index."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["item_id", "question", "answer", "frequencies"]).to_pylist()
+        df = {f["term"]: f["df"] for r in rows for f in r["frequencies"]}
+        # In an order that does not depend on how the rows arrived.
+        items = sorted(((r["item_id"], r["question"], r["answer"]) for r in rows), key=repr)
+        name = f"part-{table.column('part')[0].as_py():06d}.index"
+        with publishing(folder, name) as out:
+            out.write(pickle.dumps(Index(items, n, mean_length, df), protocol=5))
+        return pa.table({"name": [name]})
+
+    return run
+
+
+def store_indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> tuple[str, list[str]]:
+    """Index all items, in parts of about ``index_words`` words. Returns their folder and names.
 
-    ``items`` has item_id and either question and answer or a text. Items without a word are left out.
+    ``items`` has item_id and question and answer, both, or a text. Items without a word are left out.
+    Rows are dealt to parts one by one, so that repeated ones do not gather in one.
     """
     spark = items.sparkSession
     ship(spark)
+    folder = scratch_dir(spark, "benchmark-index")
     both = {"question", "answer"} <= set(items.columns)
     texts = ["question", "answer"] if both else ["text"]
     schema = typed(SPLIT.format(item=items.schema["item_id"].dataType.simpleString()))
-    rows = (
-        items.select("item_id", *[text_of(c).alias(c) for c in texts])
-        .mapInArrow(_split(arrow_schema(schema)), schema)
-        .withColumn("words", F.concat("question", "answer"))
-        .where(F.size("words") > 0)
+    split = items.select("item_id", *[text_of(c).alias(c) for c in texts]).mapInArrow(
+        _split(arrow_schema(schema)), schema
     )
+    rows = held(
+        split.where(F.size("question") + F.size("answer") > 0).withColumn("row", F.monotonically_increasing_id()),
+        "benchmark-items",
+    ).withColumn("words", F.concat("question", "answer"))
     total = rows.agg(F.count("*").alias("items"), F.sum(F.size("words")).alias("words")).first()
     if not total.items:
-        return
-    frequencies = (
-        rows.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        return folder, []
+    terms = rows.select("row", F.explode(F.array_distinct("words")).alias("term"))
+    frequencies = terms.groupBy("term").agg(F.count("*").alias("df"))
+    known = terms.join(frequencies, "term").groupBy("row").agg(
+        F.collect_list(F.struct("term", "df")).alias("frequencies")  # as many as the item has words
     )
     parts = max(1, -(-total.words // index_words))
-    spread = F.pmod(F.xxhash64("item_id", F.array_join(F.transform("words", F.hex), " ")), F.lit(parts))
-    for part in range(parts):
-        # About index_words words, whatever the number of items.
-        own = rows.where(spread == part)
-        chosen = [(r.item_id, list(map(bytes, r.question)), list(map(bytes, r.answer))) for r in own.collect()]
-        needed = own.select(F.explode("words").alias("term")).distinct()
-        df = {bytes(r.term): r.df for r in frequencies.join(needed, "term").collect()}
-        if chosen:
-            yield spark.sparkContext.broadcast(Index(chosen, total.items, total.words / total.items, df))
+    dealt = rows.join(known, "row").withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
+    stored = dealt.select("part", "item_id", "question", "answer", "frequencies").groupBy("part").applyInArrow(
+        _build(folder, total.items, total.words / total.items), "name string"
+    )
+    return folder, sorted(r["name"] for r in stored.collect())
 
 
 def contaminated(docs: DataFrame, items: DataFrame, keys: list | None = None) -> DataFrame:
@@ -264,8 +300,9 @@ def contaminated(docs: DataFrame, items: DataFrame, keys: list | None = None) ->
     item = items.schema["item_id"].dataType.simpleString()
     schema = typed(", ".join([*fields, MATCH.format(item=item)]))
     out = spark.createDataFrame([], schema)
-    for index in index_blocks(items):
-        out = out.unionByName(rows.mapInArrow(_scan(index, arrow_schema(schema)), schema))
+    folder, names = store_indexes(items)
+    for name in names:
+        out = out.unionByName(rows.mapInArrow(_scan(folder, name, arrow_schema(schema)), schema))
     return out
 
 

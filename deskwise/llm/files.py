@@ -15,8 +15,17 @@ from pyspark import TaskContext
 PENDING = "_pending"
 
 
+# What Spark calls stores that ``pyarrow.fs`` knows by another scheme.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def known_uri(uri: str) -> str:
+    scheme, separator, rest = uri.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}{separator}{rest}"
+
+
 def store(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(known_uri(uri))
 
 
 def task() -> tuple[int, int]:

@@ -203,11 +203,10 @@ def find_licences(texts: DataFrame, keys: list[str], text: str, known: DataFrame
     repeated ones appear as often as they occur. Other columns are not read.
     """
     # Spelling changes words one for one, so only a text with as many words as some licence needs it.
-    # Known licences are a parameter of the scan: their word counts are a short list.
-    sizes = sorted({r.words for r in known.select("words").distinct().collect()})
-    rows = texts.select(*keys, folded(F.col(text)).alias("folded"))
+    rows = texts.select(*keys, folded(F.col(text)).alias("folded")).where(F.col("folded") != "")
     spaces = F.length("folded") - F.length(F.replace(F.col("folded"), F.lit(" ")))
-    candidates = rows.where((spaces + 1).isin(sizes)).where(F.col("folded") != "")
+    sizes = known.select("words").distinct()
+    candidates = rows.withColumn("words", (spaces + 1).cast("int")).join(sizes, "words", "left_semi")
     digests = candidates.select(*keys, F.sha2(respelled(F.col("folded")), 256).alias("digest"))
     return digests.join(known.select("digest", "licence"), "digest").select(*keys, "licence", "digest")
 

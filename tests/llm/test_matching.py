@@ -10,6 +10,7 @@ import pytest
 import corpus_pipeline
 from compare import connect, differences
 from deskwise.llm import decontaminate as dec
+from deskwise.llm import files
 from deskwise.llm import warc
 from deskwise.llm.licences import EQUIVALENT_SPELLINGS, KNOWN_LICENCES, TEXTS, digests_of, document_licences, find_licences, known_digests
 from deskwise.llm.queries import ORACLE_SQL, QUERIES
@@ -66,10 +67,34 @@ def test_whole_items_count_however_their_last_sentence_fares(spark, docs_of):
     assert dec.contaminated(docs_of(rows), apart).count() == 3
 
 
+def stored(indexes):
+    folder, names = indexes
+    return [dec.load_index(folder, name) for name in names]
+
+
+def test_repeated_items_are_dealt_over_the_parts(spark):
+    parts = stored(dec.store_indexes(items_of(spark, [(1, prose(20, 1))] * 60), index_words=300))
+    assert len(parts) > 2 and sum(len(p.items) for p in parts) == 60
+    assert max(len(p.items) for p in parts) < 40
+
+
+def test_maxima_are_kept_for_blocks_with_postings_only(spark):
+    rows = [(k, prose(20, k)) for k in range(64)]
+    (index,) = stored(dec.store_indexes(items_of(spark, rows)))
+    for t in range(0, len(index.number), 7):
+        own = slice(index.first[t], index.first[t + 1])
+        want = {}
+        for item, weight in zip(index.item[own].tolist(), index.weight[own].tolist(), strict=True):
+            want[item // dec.BLOCK_ITEMS] = max(weight, want.get(item // dec.BLOCK_ITEMS, 0))
+        entries = slice(index.block_first[t], index.block_first[t + 1])
+        assert dict(zip(index.block[entries].tolist(), index.block_most[entries].tolist(), strict=True)) == want
+        assert index.most[t] == max(want.values())
+
+
 def test_blocks_of_items_together_are_one_index(spark):
     rows = [(k, f"{prose(12, k)}. {prose(5, k + 500)}") for k in range(50)]
-    (whole,) = [b.value for b in dec.index_blocks(items_of(spark, rows))]
-    parts = [b.value for b in dec.index_blocks(items_of(spark, rows), index_words=200)]
+    (whole,) = stored(dec.store_indexes(items_of(spark, rows)))
+    parts = stored(dec.store_indexes(items_of(spark, rows), index_words=200))
     assert len(parts) > 2 and sum(len(p.items) for p in parts) == 50
     words = dec.words_of(f"{rows[3][1]} {prose(300, 9)} {rows[40][1]}")
     one = {whole.items[i][0]: m for i, m in whole.matches(words).items()}
@@ -256,5 +281,10 @@ def test_the_entry_offers_all(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()
     assert "deskwise.llm" in sys.modules
+
+
+@pytest.mark.parametrize("uri, known", [("s3a://b/k", "s3://b/k"), ("file:/tmp/x", "file:/tmp/x"), ("hdfs://h:1/x", "hdfs://h:1/x")])
+def test_schemes_of_spark_are_known_to_arrow(uri, known):
+    assert files.known_uri(uri) == known
