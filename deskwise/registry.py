@@ -323,6 +323,14 @@ def citywide_daily(spark, sf):
     return reports.citywide_daily(Events(spark, sf).extract)
 
 
+def citywide_order(spark, sf):
+    """The citywide report with the place of each row in the order it is returned in."""
+    ordered = reports.citywide_daily(Events(spark, sf).extract).withColumn("at", F.monotonically_increasing_id())
+    # A row per day.
+    place = F.row_number().over(Window.orderBy("at")).cast("bigint")
+    return ordered.withColumn("place", place).select("service_date", "place")
+
+
 def agency_rollup(spark, sf):
     return rounded(reports.agency_rollup(Events(spark, sf).performance), "avg_resolution_hours")
 
@@ -943,6 +951,7 @@ QUERIES: dict[str, Query] = {
         freshness,
         freshness_banner,
         citywide_daily,
+        citywide_order,
         agency_rollup,
         top_agencies,
         by_borough_category,

@@ -243,6 +243,8 @@ SELECTS: dict[str, str] = {
     "freshness_banner": BANNER,
     "citywide_daily": """select service_date, sum(requests_created)::bigint as requests_created,
       sum(requests_closed)::bigint as requests_closed from ev_daily group by 1 order by 1""",
+    "citywide_order": """select service_date, row_number() over (order by service_date) as place
+      from (select distinct service_date from ev_daily)""",
     "agency_rollup": ROLLUP,
     "top_agencies": f"{ROLLUP} limit 15",
     "by_borough_category": """select borough_name, service_category,
