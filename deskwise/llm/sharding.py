@@ -16,6 +16,8 @@ from deskwise.llm.common import text_of
 
 # Rows per cell, on average.
 CELL_ROWS = 4096
+# Repeats of a row that are listed at a time.
+LISTED = 1 << 16
 SEED = 42
 
 
@@ -40,6 +42,18 @@ def _cell(share: Column, cells: int) -> Column:
     return F.floor(share * cells)
 
 
+def _numbered_repeats(rows: DataFrame) -> DataFrame:
+    """The same rows; the second and further ones of those that are equal have a hash of their own each.
+    Equal rows are counted map-side, so one that a third of all rows repeat is a few rows of the shuffle."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {LISTED}")))
+    last = F.least(F.col("copies"), (F.col("block") + 1) * LISTED)
+    copy = F.explode(F.sequence(F.col("block") * LISTED + 1, last))
+    listed = counted.withColumn("block", block).withColumn("copy", copy)
+    own = F.when(F.col("copy") == 1, F.col("shuffled")).otherwise(F.xxhash64("shuffled", "copy"))
+    return listed.withColumn("shuffled", own).select(*rows.columns)
+
+
 def stratified_shards(
     docs: DataFrame, shards: int, seed: int = SEED, cell_rows: int = CELL_ROWS, source: str = "source"
 ) -> DataFrame:
@@ -47,7 +61,8 @@ def stratified_shards(
 
     Returns doc_id, source, size (UTF-8 bytes of the text plus 8), text_crc32, shard and slot (its
     place in the shard, gapless from 0). The order within a source is that of a hash of seed, id and
-    text, so it does not depend on files or partitions. Rows equal in all three are interchangeable.
+    text, so it does not depend on files or partitions. Rows that repeat all three are counted and numbered,
+    and the number is hashed too, so that they spread over cells and shards like any others.
     A null source is a source of its own, a null text counts as empty in hash, size and checksum.
     Fewer rows than shards leave some shards empty; no rows give none.
     """
@@ -63,6 +78,7 @@ def stratified_shards(
         F.crc32(F.encode(text_of(), "UTF-8")).alias("text_crc32"),
         F.xxhash64(F.lit(seed), "doc_id", text_of()).alias("shuffled"),
     )
+    rows = _numbered_repeats(rows)
     group = ["no_source", "stratum"]
     # The top 53 bits of the hash, as a share of their range.
     share = F.shiftrightunsigned("shuffled", 11) / F.lit(float(1 << 53))

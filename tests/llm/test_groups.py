@@ -8,6 +8,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from deskwise.llm import sharding
 from deskwise.llm.queries import QUERIES
 from deskwise.llm.repetition import MEASURES, measure, repetition
 from deskwise.llm.sharding import stratified_shards
@@ -276,16 +277,20 @@ def test_verdicts(docs_of):
 
 def plain_shards(rows, shards, seed=42):
     """(doc_id, size, crc, shard, slot): hash, rank per source, sort by fraction, cut."""
-    ranked = []
+    ranked, seen = [], Counter()
     for source in {r[2] for r in rows}:
         own = []
         for name, text, s in rows:
             if s == source:
+                seen[name, text or "", s] += 1
                 raw = (text or "").encode()
                 h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
                 if name is not None:  # a null leaves the hash as it is
                     h = xxhash.xxh64_intdigest(name.to_bytes(8, "little", signed=True), h)
                 h = xxhash.xxh64_intdigest(raw, h)
+                if (copy := seen[name, text or "", s]) > 1:
+                    h = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42)
+                    h = xxhash.xxh64_intdigest(copy.to_bytes(8, "little"), h)
                 own.append((h >> 1, name is not None, name or 0, zlib.crc32(raw), name, len(raw) + 8))
         own.sort()
         ranked += [((k + 0.5) / len(own), source or "", source is None, *r[3:]) for k, r in enumerate(own)]
@@ -308,6 +313,15 @@ def test_every_column_of_the_shards_against_a_plain_version(spark, sf, docs_of):
             assert got == plain_shards(some, shards)
 
 
+def test_a_row_that_repeats_spreads_like_others(docs_of, monkeypatch):
+    monkeypatch.setattr(sharding, "LISTED", 64)
+    rows = [(1, "same", "hot")] * 1000 + [(k, f"t{k}", "other") for k in range(500)]
+    got = stratified_shards(docs_of(rows), 10, cell_rows=50).collect()
+    assert sorted(((r.doc_id, r.source, r.size, r.text_crc32, r.shard, r.slot) for r in got), key=repr) == plain_shards(rows, 10)
+    per_shard = Counter(r.shard for r in got if r.source == "hot")
+    assert len(per_shard) == 10 and max(per_shard.values()) - min(per_shard.values()) <= 2
+
+
 def test_the_query_of_the_shards_keeps_its_contract(spark, sf):
     got = QUERIES["op8_stratified_shards"](spark, sf)
     kinds = {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
