@@ -37,7 +37,7 @@ MORE_FREQUENT = 5
 # One run of a document in so many loses a code point, by the contract.
 LOSSY = 199
 
-SHORTEST, LONGEST = 2, 4
+SHORTEST, LONGEST = 2, 3
 # A gram at more places than this is extended. With more words the limit rises, so that no more than
 # MOST_GRAMS grams are ever sent to the workers.
 SELECTIVE = 100
