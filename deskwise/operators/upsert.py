@@ -52,12 +52,12 @@ def replace_rows(
     target is then filtered in place without being shuffled.
     """
     if version is not None:
-        batch = _not_superseded(target, batch, keys, version)
+        batch = not_superseded(target, batch, keys, version)
     kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def _not_superseded(
+def not_superseded(
     target: DataFrame, batch: DataFrame, keys: list[str], version: Column
 ) -> DataFrame:
     """Batch rows whose key has no newer version in the target.

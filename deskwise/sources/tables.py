@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from deskwise.functions.calendar import month_label
 from deskwise.operators import history
-from deskwise.operators.upsert import newest_per_key, replace_rows
+from deskwise.operators.upsert import newest_per_key, not_superseded, replace_rows
 
 MONTH, BUCKET = "month_part", "bucket_part"
 PARTS = {MONTH: T.StringType(), BUCKET: T.IntegerType()}
@@ -249,18 +249,22 @@ def upsert_table(
         return [] if target is None else sorted(map(_folder(parts), _labels(target, parts)))
 
     held = f"{path}__batch-{uuid.uuid4().hex}"
-    batch.withColumns(layout.parts()).write.parquet(held)
-    batch = spark.read.schema(batch.withColumns(layout.parts()).schema).parquet(held)
+    batch = _kept_beside(batch.withColumns(layout.parts()), f"{held}/all")
     arriving = _labels(batch, parts)
     near = target
     if layout.buckets:
         near = target.where(F.col(BUCKET).isin(sorted({values[parts.index(BUCKET)] for values in arriving})))
+    if version is not None:
+        # Rows that a newer stored one supersedes touch nothing, nor the partition they would go to.
+        batch = _kept_beside(not_superseded(near, batch, layout.keys, version), f"{held}/newer")
+        arriving = _labels(batch, parts)
     leaving = _labels(near.join(batch.select(*layout.keys), layout.keys, "left_semi"), parts) - arriving
     touched = arriving | leaving
     if touched:
         own = target.where(_within(parts, touched)) if parts else target
-        merged = replace_rows(own.drop(*PARTS), batch.drop(*PARTS), layout.keys, version)
-        emptied = leaving - _labels(replace_rows(own, batch, layout.keys, version).where(_within(parts, leaving)), parts) if leaving else set()
+        merged = replace_rows(own.drop(*PARTS), batch.drop(*PARTS), layout.keys)
+        staying = own.where(_within(parts, leaving)).join(batch.select(*layout.keys), layout.keys, "left_anti")
+        emptied = leaving - _labels(staying, parts) if leaving else set()
         if parts:
             (_sorted_for(merged, layout).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
@@ -273,6 +277,11 @@ def upsert_table(
     return sorted(map(_folder(parts), touched))
 
 
+def _kept_beside(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _folder(parts: list[str]) -> Callable[[tuple], str]:
     return lambda values: "/".join(f"{p}={v}" for p, v in zip(parts, values, strict=True))
 

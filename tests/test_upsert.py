@@ -64,6 +64,14 @@ def test_the_stored_table_agrees_and_keys_may_change_month(spark, tmp_path_facto
     assert stored.where(F.col(tables.MONTH) != F.date_format("day", "yyyy-MM")).count() == 0
 
 
+def test_a_row_that_is_superseded_does_not_hold_its_partition(spark, folder):
+    """k0 leaves January, where an older version of k2 would go."""
+    path = f"{folder}/table"
+    for batch in ([(0, 0), (2, 4)], [(0, 6), (2, 2)]):
+        tables.upsert_table(spark, path, frame(spark, batch), LAYOUT, version())
+    assert rows_of(tables.read_table(spark, path), "k", "text") == [("k0", "t6"), ("k2", "t4")]
+
+
 def test_a_hot_key_leaves_each_task_as_one_row(spark):
     key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
     rows = spark.range(30_000).select(key.alias("k"), F.col("id").alias("v"))
