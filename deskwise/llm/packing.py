@@ -60,6 +60,8 @@ def cut_documents(tokenizer: str, end_id: int, window: int, schema: pa.Schema):
                  pa.array(totals), pa.array(pieces, pa.binary())],
                 schema=schema,
             ) if rows else pa.RecordBatch.from_pylist([], schema=schema)
+        # The worker stays for other tasks; what Arrow has kept for reuse goes back.
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskwise.llm.common import arrow_schema, column, held, row_key, ship, text_of, typed
+from deskwise.llm.common import arrow_schema, by_size, column, held, row_key, ship, text_of, typed
 
 MIN_WORDS = 8
+# Bytes of text that are cut at a time.
+CUT_BYTES = 4 << 20
 SPACES = " \t\n\r\x0b\x0c"
 CUT = re.compile(r"\n|(?<=[.!?])[ \t\r\x0b\x0c]+|(?<=[^\s.!?]) (?=[A-ZÀ-ÖØ-ÞΑ-ΩА-Я])")
 NO_PUNCTUATION = {ord(c): None for c in string.punctuation}
@@ -94,7 +96,7 @@ def occurrences(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, i
 
 def _occurrences(min_words: int, schema: pa.Schema):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in by_size(whole, 2, CUT_BYTES)):
             rows, found = [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
                 each = occurrences(text, min_words)
