@@ -11,7 +11,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deskwise.operators.quality import ERROR, SKIPPED
@@ -137,21 +137,25 @@ class Job:
             self._commit(load_id)
             return 0
         files = spark.createDataFrame([(*r, load_id) for r in rows], schemas.LANDED_FILES)
-        landed = landing.typed_requests(landing.read_landed(spark, [r["path"] for r in rows]))
+        size = sum(r["length"] for r in rows)
+        landed = landing.typed_requests(landing.read_files(spark, [r["path"] for r in rows], size))
         chunks = self._audit(landed, walks if not cap or len(rows) < cap else None)
         read = landing.changed_requests(landed, self.settings, None, backfill)
         batch = read.withColumn(schemas.LOAD_ID, F.lit(load_id))
         inside = [landing.request_version(self.settings).desc_nulls_last(), *landing.request_tiebreak()]
-        self._merge_raw("service_requests", batch, REQUESTS_LAYOUT, landing.landing_version(), inside)
+        # The cursors to commit are noted while the rows are merged.
+        wanted = [landing.CREATED] if backfill else [landing.CREATED, landing.UPDATED]
+        seen = Observation()
+        merged = batch.observe(
+            seen, *[F.max(F.when(F.col(c) <= self.settings.now, F.col(c))).alias(c) for c in wanted]
+        )
+        self._merge_raw("service_requests", merged, REQUESTS_LAYOUT, landing.landing_version(), inside)
         self._note_sightings(batch, backfill)
         self._commit(load_id)
         if chunks is not None:
             append_rows(chunks, self.path(RAW, "chunks"))
         append_rows(files, taken_path)
-        wanted = [landing.CREATED] if backfill else [landing.CREATED, landing.UPDATED]
-        newest = read.agg(
-            *[F.max(F.when(F.col(c) <= self.settings.now, F.col(c))).alias(c) for c in wanted]
-        ).first()
+        newest = seen.get
         for column in wanted:
             if newest[column] is not None:
                 state = self.path(RAW, "cursors")

@@ -549,7 +549,11 @@ LANDING_ROWS = 200
 def _landed_in_runs(spark, sf) -> Job:
     """The feed landed by several runs of the nightly job, each with a cap on the files it takes."""
     source = scratch_dir(spark, "landing")
-    _as_json(Events(spark, sf).raw).write.option("maxRecordsPerFile", LANDING_ROWS).json(source)
+    # However the events are stored, all cores write files of them.
+    spread = _as_json(Events(spark, sf).raw).hint("rebalance", "unique_key")
+    writer = spread.write.option("maxRecordsPerFile", LANDING_ROWS)
+    # Nobody reads the folder before it is whole: tasks move their files there, not the driver one by one.
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(source)
     files = landing.landed_files(spark, source).count()
     capped = replace(adapters.EVENTS, max_chunks_per_run=-(-files // CAPPED_RUNS))
     job = Job(spark, tables.Warehouse(scratch_dir(spark, "warehouse")), capped)

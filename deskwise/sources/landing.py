@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,34 @@ def read_landed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return with_landing_order(read_requests(spark, paths))
 
 
+# Landed bytes per task to aim for.
+TASK_BYTES = 64 * 1024 * 1024
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def read_files(spark: SparkSession, paths: list[str], size: int) -> DataFrame:
+    """``read_landed`` for many named files of ``size`` bytes in all. Their number costs little: a task asks
+    for the state of a share of them, and tasks read by bytes, not a few files each."""
+    with _listed_by(spark, _share(spark)):
+        rows = read_landed(spark, paths)
+    return rows.coalesce(max(_share(spark), -(-size // TASK_BYTES)))
+
+
+def _share(spark: SparkSession) -> int:
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+@contextmanager
+def _listed_by(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """By default a task asks for one file, up to ten thousand tasks."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(tasks))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 def with_landing_order(rows: DataFrame) -> DataFrame:
     """Rows read from files, with the time their file landed at and its path."""
     return rows.select(
@@ -43,7 +73,8 @@ def landed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     contents are not read."""
     name = F.col("path")
     number = F.regexp_extract(name, CHUNK_FILE, 2)
-    return spark.read.format("binaryFile").load(paths).select(
+    found = spark.read.format("binaryFile").load(paths).coalesce(_share(spark))
+    return found.select(
         "path",
         F.col("modificationTime").cast("timestamp_ntz").alias("landed_at"),
         "length",

@@ -241,6 +241,46 @@ def test_capped_runs_take_every_file_once(spark, tmp_path):
     assert job.read("raw", "service_requests").count() == 24
 
 
+def test_many_small_files_do_not_make_many_tasks(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    for n in range(80):
+        chunk(source, f"page-{n}-x", n % 50, 2)
+    job = landing_job(spark, str(tmp_path / "wh"))
+    spark.sparkContext.setJobGroup("many-files", "land")
+    try:
+        assert job.land_requests(source, "run") == 80
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    told = spark.sparkContext.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup("many-files") for s in told.getJobInfo(j).stageIds}
+    tasks = [told.getStageInfo(s).numTasks for s in stages if told.getStageInfo(s)]
+    # Before, one for each file to ask for its state.
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert job.read("raw", "service_requests").count() == 160
+
+
+def test_cursors_are_those_of_the_rows_that_landed(spark, tmp_path):
+    source = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    job = landing_job(spark, str(tmp_path / "wh"))
+    days = [("k", 10, 12), ("k", 9, None), ("m", 11, 20), ("n", 8, None)]
+    for at, (key, made, moved) in enumerate([*days, ("late", 40, None)]):
+        made, moved = (d and f"{datetime(2026, 1, 1) + timedelta(days=d - 1):%Y-%m-%dT%H:%M:%S}" for d in (made, moved))
+        row = {f: None for f in schemas.REQUEST_FIELDS} | {
+            "unique_key": key, "created_date": made, "resolution_action_updated_date": moved}
+        (tmp_path / "in" / f"{at}.json").write_text(json.dumps(row))
+    job.land_requests(source, "run-0")
+    # Nothing beyond the clock, and superseded copies count.
+    wanted = {landing.CREATED: datetime(2026, 1, 11), landing.UPDATED: datetime(2026, 1, 20)}
+    assert ledger.read_cursors(spark, job.path("raw", "cursors")) == wanted
+    row = {f: None for f in schemas.REQUEST_FIELDS} | {"unique_key": "o", "created_date": "2026-01-25T00:00:00"}
+    (tmp_path / "in" / "more.json").write_text(json.dumps(row))
+    job.land_requests(source, "run-1")
+    assert ledger.read_cursors(spark, job.path("raw", "cursors")) == wanted | {landing.CREATED: datetime(2026, 1, 25)}
+
+
 def test_a_run_that_dies_takes_its_files_again(spark, tmp_path, monkeypatch):
     source = str(tmp_path / "in")
     (tmp_path / "in").mkdir()
