@@ -26,6 +26,8 @@ WINDOW = 2048
 # proportion to it.
 SHARD_TOKENS = 1 << 19
 K1, B = 1.2, 0.75
+# The index of a shard is cut down when no more than this share of its pieces is still unused.
+STILL_UNUSED = 0.8
 
 PIECE = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
 PACKED = "doc_id {id}, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
@@ -70,14 +72,17 @@ def _frequencies(window: int):
     """Per task: for each term the pieces that hold it, and the totals."""
 
     def run(batches):
-        counts, totals = np.zeros(0, np.int64), {N_PIECES: 0, N_TOKENS: 0, N_REST: 0}
+        counts, last = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        totals = {N_PIECES: 0, N_TOKENS: 0, N_REST: 0}
         for batch in batches:
             for raw in batch.column(0).to_pylist():
                 ids = np.frombuffer(raw, "<u4")
-                terms = np.unique(ids)
-                if terms[-1] >= len(counts):
-                    counts = np.pad(counts, (0, int(terms[-1]) + 1 - len(counts)))
-                counts[terms] += 1
+                if (top := int(ids.max())) >= len(counts):
+                    counts, last = (np.pad(a, (0, top + 1 - len(a))) for a in (counts, last))
+                # Each term once: where the piece has it last.
+                at = np.arange(len(ids))
+                last[ids] = at
+                counts[ids[last[ids] == at]] += 1
                 totals[N_PIECES] += 1
                 totals[N_TOKENS] += len(ids)
                 totals[N_REST] += len(ids) if len(ids) < window else 0
@@ -108,6 +113,13 @@ class InvertedIndex:
         self.last = np.append(self.first[1:], len(term))
         self.piece, self.weight = piece[order], weight[order]
 
+    def keep(self, wanted: np.ndarray) -> None:
+        """Drop the postings of the other pieces; their scores are nothing from then on."""
+        kept = wanted[self.piece]
+        before = np.append(0, np.cumsum(kept))
+        self.first, self.last = before[self.first], before[self.last]
+        self.piece, self.weight = self.piece[kept], self.weight[kept]
+
     def scores(self, terms: np.ndarray) -> np.ndarray:
         """BM25 of every piece of the shard for a set of terms that the shard holds."""
         at = np.searchsorted(self.term, terms)
@@ -120,10 +132,14 @@ def fill_windows(pieces: list[np.ndarray], index: InvertedIndex, window: int):
     """Yield (piece, from, to, sequence, offset); pieces open sequences in their order."""
     begin = np.zeros(len(pieces), np.int64)
     left = np.array([len(p) for p in pieces])
-    sequence = 0
+    sequence, indexed = 0, len(pieces)
     for seed in range(len(pieces)):
         if not left[seed]:
             continue
+        # Pieces that are used up are not ranked: they leave the index when enough of them can.
+        if (unused := np.count_nonzero(left)) <= STILL_UNUSED * indexed:
+            index.keep(left > 0)
+            indexed = unused
         yield seed, int(begin[seed]), len(pieces[seed]), sequence, 0
         room, offset = window - int(left[seed]), int(left[seed])
         left[seed] = 0

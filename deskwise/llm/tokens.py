@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 import os
-import struct
 from functools import lru_cache
 from unicodedata import category, normalize, ucd_3_2_0
 
@@ -45,6 +44,8 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+# A byte that UTF-8 never has; it stands for itself.
+NO_BYTE = b"\xff"
 
 
 def _lower(text: str) -> str:
@@ -103,16 +104,20 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _piece(self, piece: str) -> bytes:
+    def _new(self, pieces: list[str]) -> list[bytes]:
         """Ids of what the library would not split."""
         if self.dropped:
-            if piece[0].isspace():
-                return b""
-            piece = _lower(piece)
-        # The vocabulary is written in letters for bytes.
-        letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        ids = [token.id for token in self.library.model.tokenize(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+            pieces = ["" if p[0].isspace() else _lower(p) for p in pieces]
+        # The vocabulary is written in letters for bytes; no text has the byte between the pieces.
+        letters = NO_BYTE.join(p.encode() for p in pieces).decode("latin-1").translate(BYTE_LETTERS)
+        tokenize, flat, sizes = self.library.model.tokenize, [], []
+        for piece in letters.split(NO_BYTE.decode("latin-1")):
+            tokens = tokenize(piece) if piece else ()
+            sizes.append(len(tokens))
+            flat += [token.id for token in tokens]
+        ids = np.array(flat, "<u4").tobytes()
+        ends = (4 * np.cumsum(sizes)).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, unsigned 32-bit little-endian, without special tokens added."""
@@ -209,30 +214,29 @@ class Encoder:
         pieces = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(raw))
         coded = pieces.dictionary_encode()
         ids = self._ids(coded.dictionary.to_pylist())
-        which = coded.indices.to_numpy()
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        counts = np.array([len(i) for i in ids], np.int64) // 4
-        starts = np.cumsum(counts) - counts
-        each = counts[which]
-        ends = np.cumsum(each)
-        take = np.repeat(starts[which] - (ends - each), each) + np.arange(ends[-1])
-        whole = flat[take].tobytes()
+        each = pa.array(ids, pa.large_binary()).take(coded.indices)
+        _, ends, whole = each.buffers()
+        ends = np.frombuffer(ends, np.int64)
         # The ids before each text.
-        cuts = (4 * np.append(0, ends)[np.searchsorted(first, begins)]).tolist()
-        return [whole[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        cuts = ends[np.searchsorted(first, begins)].tolist()
+        return [whole[a:b].to_pybytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         if len(self.pieces) > KEPT_PIECES:
             self.pieces, self.older = {}, self.pieces
-        known, older, out = self.pieces, self.older, []
-        for piece in pieces:
-            ids = known.get(piece)
+        known, older = self.pieces, self.older
+        out = [*map(known.get, pieces)]
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        new = []
+        for k in missing:
+            ids = older.get(pieces[k])
             if ids is None:
-                ids = older.get(piece)
-                if ids is None:
-                    ids = self._piece(piece)
-                known[piece] = ids
-            out.append(ids)
+                new.append(k)
+            else:
+                known[pieces[k]] = out[k] = ids
+        if new:
+            for k, ids in zip(new, self._new([pieces[k] for k in new]), strict=True):
+                known[pieces[k]] = out[k] = ids
         return out
 
 

@@ -153,6 +153,38 @@ def test_seeds_take_their_best_neighbours():
     assert [(p, s) for p, _, _, s, _ in placed] == [(0, 0), (2, 0), (1, 1), (3, 1)]
 
 
+def test_pieces_that_are_used_up_leave_the_index(monkeypatch):
+    rng = np.random.default_rng(5)
+    pieces = [rng.integers(0, 50, n) for n in rng.integers(5, 60, 80)]
+    whole = InvertedIndex(pieces, rng.random(50), 32.0)
+    asked, scores = [], InvertedIndex.scores
+
+    def noted(index, terms):
+        asked.append(len(index.piece))
+        return scores(index, terms)
+
+    monkeypatch.setattr(InvertedIndex, "scores", noted)
+    index = InvertedIndex(pieces, np.ones(50), 32.0)
+    got = list(fill_windows(pieces, index, 70))
+    assert asked[0] == len(whole.piece) and asked[-1] < asked[0] / 4
+    # The same as with the whole index to the end.
+    monkeypatch.setattr(InvertedIndex, "keep", lambda index, wanted: None)
+    assert got == list(fill_windows(pieces, InvertedIndex(pieces, np.ones(50), 32.0), 70))
+    assert sum(last - first for _, first, last, _, _ in got) == sum(map(len, pieces))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_new_pieces_are_put_in_the_vocabularys_letters_at_once(name, monkeypatch):
+    texts = ["", "  ", "\u00ff \u00fe'S it's", "caf\u00e9 \u4e2d  a\n\n b\x00", "words words more"]
+    asked = []
+    own = Encoder(public_tokenizers.path(name))
+    new = own._new
+    monkeypatch.setattr(own, "_new", lambda pieces: asked.append(len(pieces)) or new(pieces))
+    whole = Encoder(public_tokenizers.path(name))
+    assert own.encode(texts) == whole._whole(texts)
+    assert len(asked) == 1 and own.encode(texts) == whole._whole(texts) and len(asked) == 1
+
+
 def test_counts_of_flat_files(spark, docs_of, folder):
     import base64
 
