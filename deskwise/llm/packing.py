@@ -72,20 +72,25 @@ def _frequencies(window: int):
     """Per task: for each term the pieces that hold it, and the totals."""
 
     def run(batches):
-        counts, last = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # The counts of up to 255 pieces are kept in bytes, which are quick to add.
+        counts, few, seen = np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.uint8)
         totals = {N_PIECES: 0, N_TOKENS: 0, N_REST: 0}
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                ids = np.frombuffer(raw, "<u4")
+                ids = np.frombuffer(raw, "<u4").astype(np.intp)
                 if (top := int(ids.max())) >= len(counts):
-                    counts, last = (np.pad(a, (0, top + 1 - len(a))) for a in (counts, last))
-                # Each term once: where the piece has it last.
-                at = np.arange(len(ids))
-                last[ids] = at
-                counts[ids[last[ids] == at]] += 1
+                    counts, few, seen = (np.pad(a, (0, top + 1 - len(a))) for a in (counts, few, seen))
+                # Each term once.
+                seen[ids] = 1
+                few += seen
+                seen[ids] = 0
                 totals[N_PIECES] += 1
                 totals[N_TOKENS] += len(ids)
                 totals[N_REST] += len(ids) if len(ids) < window else 0
+                if totals[N_PIECES] % 255 == 0:
+                    counts += few
+                    few[:] = 0
+        counts += few
         terms = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([*totals, *terms.tolist()], pa.int64()),

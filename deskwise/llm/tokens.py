@@ -2,7 +2,8 @@
 
 A BPE tokenizer cuts a text into pieces by a pattern before it merges anything, and the ids of a text are
 those of its pieces, one after the other. Pieces recur: many texts are cut at once with numpy, equal pieces
-are found with Arrow, and only pieces that the worker has not met are given to the library's merge model.
+are found with Arrow, and only pieces that the worker has not met are given to the library's merge model. The
+pieces that it has met are an Arrow array as well, so that no string is made of a piece that it knows.
 
 That is done for the two patterns below, and for texts of characters about whose class all versions of
 Unicode agree. Other tokenizers, texts with other characters and texts that hold the string of a special
@@ -19,9 +20,11 @@ from unicodedata import category, normalize, ucd_3_2_0
 import numpy as np
 import pyarrow as pa
 
-# When a worker has so many pieces (about 220 bytes each), those not met again before the next time are
-# forgotten. It has at most twice so many, and those of one group of texts.
+# When a worker has met so many pieces (some 40 bytes each), those it had not met since the last time are
+# forgotten. It has at most twice so many, and those of two groups of texts.
 KEPT_PIECES = 250_000
+# Pieces with more bytes than this together (a few very long ones) are all forgotten.
+KEPT_BYTES = 64 << 20
 # Characters of text that are cut at a time.
 GROUP_CHARS = 4 << 20
 
@@ -43,9 +46,7 @@ def _byte_letters() -> dict[int, int]:
     return {b: b if b in plain else 256 + others.index(b) for b in range(256)}
 
 
-BYTE_LETTERS = _byte_letters()
-# A byte that UTF-8 never has; it stands for itself.
-NO_BYTE = b"\xff"
+BYTE_LETTERS = np.array([letter for _, letter in sorted(_byte_letters().items())], "<u2")
 
 
 def _lower(text: str) -> str:
@@ -97,27 +98,37 @@ class Encoder:
             normal == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in steps] == ["Split", "ByteLevel"]
             and steps[0]["pattern"].get("Regex") == WORD_PATTERN
         )
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self._forget_all()
+
+    def _forget_all(self) -> None:
+        # The pieces, their ids, which of them were met since some were forgotten, and how many were left then.
+        self.pieces, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+        self.met, self.older = np.zeros(0, bool), 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _new(self, pieces: list[str]) -> list[bytes]:
+    def _new(self, pieces: pa.StringArray) -> pa.LargeBinaryArray:
         """Ids of what the library would not split."""
         if self.dropped:
-            pieces = ["" if p[0].isspace() else _lower(p) for p in pieces]
-        # The vocabulary is written in letters for bytes; no text has the byte between the pieces.
-        letters = NO_BYTE.join(p.encode() for p in pieces).decode("latin-1").translate(BYTE_LETTERS)
-        tokenize, flat, sizes = self.library.model.tokenize, [], []
-        for piece in letters.split(NO_BYTE.decode("latin-1")):
-            tokens = tokenize(piece) if piece else ()
+            pieces = pa.array(["" if p[0].isspace() else _lower(p) for p in pieces.to_pylist()], pa.string())
+        _, ends, raw = pieces.buffers()
+        ends = np.frombuffer(ends, np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+        # The vocabulary is written in letters for bytes.
+        raw = np.frombuffer(raw or b"", np.uint8)[ends[0] : ends[-1]]
+        letters = BYTE_LETTERS[raw].tobytes().decode("utf-16-le")
+        ends = (ends - ends[0]).tolist()
+        tokenize, sizes, flat = self.library.model.tokenize, [0], []
+        for a, b in zip(ends, ends[1:], strict=False):
+            tokens = tokenize(letters[a:b]) if a < b else ()
             sizes.append(len(tokens))
             flat += [token.id for token in tokens]
-        ids = np.array(flat, "<u4").tobytes()
-        ends = (4 * np.cumsum(sizes)).tolist()
-        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        ids = np.array(flat, "<u4")
+        cuts = 4 * np.cumsum(sizes, dtype=np.int64)
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(pieces), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(ids.tobytes())]
+        )
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, unsigned 32-bit little-endian, without special tokens added."""
@@ -212,32 +223,33 @@ class Encoder:
         first = np.flatnonzero(self._starts(raw, begins, classes))
         offsets = np.append(first, len(raw)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(raw))
-        coded = pieces.dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
-        each = pa.array(ids, pa.large_binary()).take(coded.indices)
+        rows = self._rows(pieces)
+        each = self.ids.take(rows)
         _, ends, whole = each.buffers()
         ends = np.frombuffer(ends, np.int64)
         # The ids before each text.
         cuts = ends[np.searchsorted(first, begins)].tolist()
         return [whole[a:b].to_pybytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces, self.older = {}, self.pieces
-        known, older = self.pieces, self.older
-        out = [*map(known.get, pieces)]
-        missing = [k for k, ids in enumerate(out) if ids is None]
-        new = []
-        for k in missing:
-            ids = older.get(pieces[k])
-            if ids is None:
-                new.append(k)
-            else:
-                known[pieces[k]] = out[k] = ids
-        if new:
-            for k, ids in zip(new, self._new([pieces[k] for k in new]), strict=True):
-                known[pieces[k]] = out[k] = ids
-        return out
+    def _rows(self, pieces: pa.StringArray) -> pa.Array:
+        """Where each piece stands among those that the worker knows; new ones are added to them."""
+        if self.pieces.nbytes > KEPT_BYTES:
+            self._forget_all()
+        elif np.count_nonzero(self.met) > KEPT_PIECES:
+            met = pa.array(self.met)
+            self.pieces, self.ids = self.pieces.filter(met), self.ids.filter(met)
+            self.older = len(self.pieces)
+            self.met = np.zeros(self.older, bool)
+        # Codes follow first places, so those of known pieces are where they stand.
+        known = len(self.pieces)
+        coded = pa.concat_arrays([self.pieces, pieces]).dictionary_encode()
+        rows, every = coded.indices[known:], coded.dictionary
+        if len(every) > known:
+            self.ids = pa.concat_arrays([self.ids, self._new(every[known:])])
+            self.met = np.append(self.met, np.ones(len(every) - known, bool))
+            self.pieces = every
+        self.met[rows.to_numpy()] = True
+        return rows
 
 
 @lru_cache(maxsize=4)

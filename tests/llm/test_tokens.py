@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from deskwise.llm import rans, tokens
-from deskwise.llm.packing import InvertedIndex, fill_windows, pack
+from deskwise.llm.packing import N_PIECES, N_REST, N_TOKENS, InvertedIndex, _frequencies, fill_windows, pack
 from deskwise.llm.token_counts import corpus_token_counts, count_tokens
 from deskwise.llm.token_files import File, encode_corpus, write_file
 from deskwise.llm.tokens import Encoder
@@ -246,6 +246,37 @@ def test_ids_stay_right_while_pieces_are_forgotten(monkeypatch):
     assert small.older
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_known_pieces_are_few_bytes_in_arrow(name, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(6000)]
+    own = Encoder(public_tokenizers.path(name))
+    texts = [" ".join(words[k : k + 60]) for k in range(0, 6000, 60)]
+    whole = own._whole(texts)
+    assert own.encode(texts) == whole
+    assert len(own.pieces) == len(own.ids) >= 6000 and own.met.all()
+    assert own.pieces.nbytes + own.ids.nbytes < 50 * len(own.pieces)
+    # What is met again stays, the rest is forgotten; the bound on bytes forgets all.
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 3000)
+    assert own.encode(texts[:9]) == whole[:9] and own.older >= 6000
+    assert own.encode(texts) == whole and own.encode(texts[:9]) == whole[:9]
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 1000)
+    assert own.encode([texts[0], "x" * 3000]) == own._whole([texts[0], "x" * 3000])
+    assert own.encode(["a", "", " "]) == own._whole(["a", "", " "]) and len(own.pieces) < 5
+
+
+def test_terms_of_more_pieces_than_a_byte_counts():
+    rng = np.random.default_rng(7)
+    pieces = [np.append(rng.integers(0, 9 + k, rng.integers(0, 12)), 3).astype("<u4") for k in range(700)]
+    rows = pa.RecordBatch.from_arrays([pa.array([p.tobytes() for p in pieces], pa.binary())], names=["ids"])
+    (got,) = _frequencies(9)([rows])
+    want = {N_PIECES: 700, N_TOKENS: sum(map(len, pieces)), N_REST: sum(len(p) for p in pieces if len(p) < 9)}
+    for p in pieces:
+        for term in set(p.tolist()):
+            want[term] = want.get(term, 0) + 1
+    assert want[3] == 700 and dict(zip(*(c.to_pylist() for c in got.columns), strict=True)) == want
+
+
 TROUBLE = "  \n\t\r\x0b\x85\u00a0''" + "'sStTrReEvVlLmMdDaZ,.!#12é½²ßΣĀİ日€’한🙂\u0301\u0300ᄀ"
 
 
